@@ -10,6 +10,7 @@ import struct
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Two-dimensional WKB type codes.
 POINT, LINE, POLYGON, MULTI_POINT, MULTI_LINE, MULTI_POLYGON = 1, 2, 3, 4, 5, 6
@@ -93,11 +94,11 @@ def to_geojson(parsed: tuple[str, list] | None) -> str | None:
     return json.dumps({"type": parsed[0], "coordinates": parsed[1]})
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def wkb_to_wkt(data: pd.Series) -> pd.Series:
     return data.map(lambda x: to_wkt(parse_wkb(x)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def wkb_to_geojson(data: pd.Series) -> pd.Series:
     return data.map(lambda x: to_geojson(parse_wkb(x)))

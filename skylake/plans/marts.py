@@ -41,13 +41,18 @@ def mart_newdata_(weather: DataFrame, depcode: DataFrame) -> DataFrame:
         .select(*schemas.MART_COLUMNS)
 
 
+def mart_core(weather: DataFrame, depcode: DataFrame, best_only: bool = False) -> DataFrame:
+    """The tolerant mart without its region averages."""
+    joined = fuzzy_lookup_join(weather, depcode, "department_lower", "dep_distance", best_only)
+    return _shaped(joined, schemas.FUZZY_MART_COLUMNS)
+
+
 def mart_newdata(weather: DataFrame, depcode: DataFrame, best_only: bool = False) -> DataFrame:
     """Observations joined to every department whose key is at most one edit away.
 
     `best_only` keeps only the closest departments of a name.
     """
-    joined = fuzzy_lookup_join(weather, depcode, "department_lower", "dep_distance", best_only)
-    core = _shaped(joined, schemas.FUZZY_MART_COLUMNS)
+    core = mart_core(weather, depcode, best_only)
     small = fits_in_broadcast(depcode)
     return with_group_averages(core, "reg_name", REGION_AVERAGES, groups_fit=small or None) \
         .select(*schemas.FUZZY_MART_COLUMNS)

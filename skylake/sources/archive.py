@@ -1,8 +1,9 @@
 """The archive of daily marts: month-partitioned Parquet, latest version wins.
 
-Layout: `<root>/extraction_date=D/yyyymm=M/`. A batch owns its `extraction_date` folder, so loading it
-again replaces exactly its own files, costs nothing in history size and never reads what it
-overwrites. Readers keep the latest version of each (dates, department).
+Layout: `<root>/extraction_date=D/part=P/yyyymm=M/`. Every load owns its folders (the daily load of a
+date, or one micro-batch), so loading it again replaces exactly its own files, costs nothing in
+history size and never reads what it overwrites. Readers keep the latest version of each
+(dates, department).
 """
 
 from __future__ import annotations
@@ -24,22 +25,37 @@ def archived_data(history: DataFrame, mart: DataFrame) -> DataFrame:
     return history.unionByName(mart)
 
 
+DAILY = "daily"
+
+
+def _ranged(df: DataFrame, *first: str) -> DataFrame:
+    """Few files per month, and a hot month or day still cut into several ranges."""
+    return (
+        df.withColumn("yyyymm", month_key("dates"))
+        .repartitionByRange(*first, "yyyymm", *KEYS, "record_id")
+        .sortWithinPartitions(*first, "yyyymm", *KEYS)
+    )
+
+
 def append_batch(mart: DataFrame, root: str, extraction_date: str) -> None:
     """Load one day's mart; loading the same day again leaves one copy."""
     require_rows(mart, "Data to be archived")
-    (
-        mart.withColumn("yyyymm", month_key("dates"))
-        .repartitionByRange("yyyymm", *KEYS, "record_id")
-        .sortWithinPartitions("yyyymm", *KEYS)
-        .write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("yyyymm").parquet(f"{root}/extraction_date={extraction_date}")
-    )
+    _ranged(mart).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .partitionBy("yyyymm").parquet(f"{root}/extraction_date={extraction_date}/part={DAILY}")
+
+
+def append_dated(mart: DataFrame, root: str, part: str) -> None:
+    """Load rows that carry their `extraction_date`; loading the same `part` again leaves one copy."""
+    _ranged(mart.withColumn("part", F.lit(part)), "extraction_date", "part") \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("extraction_date", "part", "yyyymm").parquet(root)
 
 
 def read_archive(spark: SparkSession, root: str, schema: T.StructType = schemas.ARCHIVED_DATA) -> DataFrame:
     """All versions, with `extraction_date` (date) and `yyyymm` (text) partition columns."""
-    partitions = [T.StructField("extraction_date", T.DateType()), T.StructField("yyyymm", T.StringType())]
-    return spark.read.schema(T.StructType([*schema.fields, *partitions])).parquet(root)
+    partitions = [T.StructField("extraction_date", T.DateType()), T.StructField("part", T.StringType()),
+                  T.StructField("yyyymm", T.StringType())]
+    return spark.read.schema(T.StructType([*schema.fields, *partitions])).parquet(root).drop("part")
 
 
 def between_dates(archive: DataFrame, first: str, last: str) -> DataFrame:
@@ -61,8 +77,4 @@ def latest(archive: DataFrame) -> DataFrame:
 
 def compact(archive: DataFrame, target: str) -> None:
     """Write the latest versions to a new root; readers switch to it when it is complete."""
-    (
-        latest(archive).drop("yyyymm").withColumn("yyyymm", month_key("dates"))
-        .repartitionByRange("yyyymm", *KEYS).sortWithinPartitions("yyyymm", *KEYS)
-        .write.partitionBy("extraction_date", "yyyymm").parquet(target)
-    )
+    append_dated(latest(archive).drop("yyyymm"), target, "compacted")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,11 +9,25 @@ from pyspark.sql import types as T
 from skylake import schemas
 from skylake.functions.numeric import nan_columns_to_null
 from skylake.functions.text import first_part, list_to_text
+from skylake.session import settle
+
+
+class Scan:
+    """A JSON scan split into records that fit the schema and records that do not."""
 
+    def __init__(self, parsed: DataFrame):
+        self._parsed = parsed
+        self._bad = F.col(schemas.CORRUPT).isNotNull()
 
-class Scan(NamedTuple):
-    good: DataFrame
-    rejects: DataFrame
+    @property
+    def good(self) -> DataFrame:
+        return self._parsed.where(~self._bad).drop(schemas.CORRUPT)
+
+    def rejects(self) -> DataFrame:
+        """(file_path, record text). Written with all parsed columns first: Spark parses only the
+        columns a query asks for, and a type error in a column nobody reads would go unnoticed."""
+        bad = self._parsed.select("*", F.col("_metadata.file_path").alias("file_path")).where(self._bad)
+        return settle(bad, "rejects").select("file_path", F.col(schemas.CORRUPT).alias("record"))
 
 
 def _json_reader(spark: SparkSession, schema: T.StructType, multiline: bool, suffix: str | None):
@@ -27,20 +39,14 @@ def _json_reader(spark: SparkSession, schema: T.StructType, multiline: bool, suf
     return reader.option("pathGlobFilter", f"*{suffix}") if suffix else reader
 
 
-def _scan(df: DataFrame) -> Scan:
-    bad = F.col(schemas.CORRUPT).isNotNull()
-    rejects = df.select("*", F.col("_metadata.file_path").alias("file_path")).where(bad)
-    return Scan(df.where(~bad).drop(schemas.CORRUPT), rejects.select("file_path", schemas.CORRUPT))
-
-
 def scan_payloads(spark: SparkSession, path: str, multiline: bool = True, suffix: str | None = ".json") -> Scan:
     """API documents `{locations: [...]}`; one per file, or one per line without `multiline`."""
-    return _scan(_json_reader(spark, schemas.PAYLOAD, multiline, suffix).json(path))
+    return Scan(_json_reader(spark, schemas.PAYLOAD, multiline, suffix).json(path))
 
 
 def scan_envelopes(spark: SparkSession, path: str, suffix: str | None = ".jsonl") -> Scan:
     """Landed lines `{_airbyte_raw_id, _airbyte_data: {...}}`."""
-    return _scan(_json_reader(spark, schemas.ENVELOPE, False, suffix).json(path))
+    return Scan(_json_reader(spark, schemas.ENVELOPE, False, suffix).json(path))
 
 
 def records(payloads: DataFrame, field: str = "locations") -> DataFrame:

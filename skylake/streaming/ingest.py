@@ -16,12 +16,13 @@ from skylake.sources import archive, landing
 
 
 def ingest_envelopes(
-    spark: SparkSession, source: str, target: str, checkpoint: str, max_files: int = 10_000
+    spark: SparkSession, source: str, target: str, checkpoint: str, max_files: int = 10_000,
+    suffix: str | None = ".jsonl",
 ) -> StreamingQuery:
     """New landed JSON lines below `source` to day rows in the Parquet dataset `target`."""
     lines = (
         spark.readStream.schema(schemas.with_corrupt(schemas.ENVELOPE))
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT).option("pathGlobFilter", "*.jsonl")
+        .option("columnNameOfCorruptRecord", schemas.CORRUPT).option("pathGlobFilter", f"*{suffix or ''}")
         .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).json(source)
     )
     good = lines.where(F.col(schemas.CORRUPT).isNull()).drop(schemas.CORRUPT)
@@ -34,21 +35,18 @@ def ingest_envelopes(
 
 def archive_daily(
     spark: SparkSession, source: str, root: str, checkpoint: str, schema: T.StructType = schemas.MART_NEWDATA,
-    extraction_date: str = "extraction_date",
+    max_files: int = 10_000,
 ) -> StreamingQuery:
-    """New mart files below `source` to the archive, one batch folder per extraction date.
+    """New mart files below `source`, which carry an `extraction_date` column, to the archive.
 
-    A batch holds whole extraction dates (each file carries one), and a repeated batch overwrites its
-    own folders, so re-delivery leaves one copy.
+    A micro-batch owns its folders, so a batch that is run again after a failure overwrites itself;
+    a day delivered twice is resolved by the latest-version read.
     """
-    daily = spark.readStream.schema(
-        T.StructType([*schema.fields, T.StructField(extraction_date, T.StringType())])
-    ).option("maxFilesPerTrigger", 1).parquet(source)
+    dated = T.StructType([*schema.fields, T.StructField("extraction_date", T.DateType())])
+    arrivals = spark.readStream.schema(dated).option("maxFilesPerTrigger", max_files).parquet(source)
 
-    def load(batch: DataFrame, _batch_id: int) -> None:
-        for row in batch.select(extraction_date).distinct().toLocalIterator():
-            day = batch.where(F.col(extraction_date) == row[0]).drop(extraction_date)
-            archive.append_batch(day, root, row[0])
+    def load(batch: DataFrame, batch_id: int) -> None:
+        archive.append_dated(batch, root, f"batch-{batch_id}")
 
-    return daily.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint) \
+    return arrivals.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()
