@@ -22,10 +22,6 @@ class Average(NamedTuple):
     name: str
 
 
-def group_averages(df: DataFrame, key: str, averages: list[Average]) -> DataFrame:
-    return df.groupBy(key).agg(*[rounded_avg(a.source, a.digits).alias(a.name) for a in averages])
-
-
 def with_group_averages(
     df: DataFrame, key: str, averages: list[Average], groups_fit: bool | None = None
 ) -> DataFrame:
@@ -35,7 +31,12 @@ def with_group_averages(
     key comes from a checked dimension). Without that proof the aggregate is written once, its
     size is read, and that decides how it is joined back.
     """
-    found = group_averages(df, key, averages)
+    # Two one-field structs are equal when both fields are NULL, which keeps the NULL group; and the
+    # join stays an equality on the grouping key, so Spark drops it where no average is read.
+    group = F.struct(F.col(key).alias("key"))
+    found = df.groupBy(group.alias("__group")).agg(
+        *[rounded_avg(a.source, a.digits).alias(a.name) for a in averages]
+    )
     if groups_fit is None:
         found = settle(found, "averages")
-    return lookup_join(df, found, key, "left", null_safe=True, small=groups_fit)
+    return lookup_join(df, found, "__group", "left", key=group, small=groups_fit)

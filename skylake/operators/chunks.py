@@ -41,7 +41,7 @@ def join_in_chunks(
     """
     if size < 1:
         raise ValueError("chunk size must be at least 1")
-    numbered = number_rows(df, order).withColumn(
+    numbered = number_rows(df.select(*dict.fromkeys([*order, value])), order).withColumn(
         "chunk", F.floor((F.col("position") - 1) / F.lit(size)) + F.lit(1)
     )
     text = F.array_join(

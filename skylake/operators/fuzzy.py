@@ -55,7 +55,7 @@ def near_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: st
 
 
 def fuzzy_lookup_join(
-    fact: DataFrame, lookup: DataFrame, on: str, distance: str, best_only: bool = False
+    fact: DataFrame, lookup: DataFrame, on: str, distance: str, best_only: bool = False, small: bool | None = None
 ) -> DataFrame:
     """Inner join of `fact` and `lookup` on `on` texts at edit distance 0 or 1.
 
@@ -68,6 +68,6 @@ def fuzzy_lookup_join(
     if best_only:
         best = pairs.groupBy("__name").agg(F.min(distance).alias(distance))
         pairs = pairs.join(best, ["__name", distance])
-    matched = lookup_join(pairs, lookup.withColumnRenamed(on, "__target"), "__target")
+    matched = lookup_join(pairs, lookup.withColumnRenamed(on, "__target"), "__target", small=small)
     matched = settle(matched.drop("__target").withColumnRenamed("__name", on), "matches")
     return lookup_join(fact, matched, on)

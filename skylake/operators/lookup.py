@@ -44,8 +44,16 @@ def row_salt(df: DataFrame, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.lit(salts)).cast("int")
 
 
+def _join(fact: DataFrame, lookup: DataFrame, on: str, how: str, key: Column | None, extra: Column | None = None):
+    right = lookup.withColumnRenamed(on, "__key")
+    condition = (F.col(on) if key is None else key) == F.col("__key")
+    if extra is not None:
+        condition = condition & extra
+    return fact.join(right, condition, how).drop("__key")
+
+
 def spread_join(
-    fact: DataFrame, lookup: DataFrame, on: str, how: str = "inner", null_safe: bool = False, salts: int = SALTS
+    fact: DataFrame, lookup: DataFrame, on: str, how: str = "inner", key: Column | None = None, salts: int = SALTS
 ) -> DataFrame:
     """Shuffled join whose fact rows of one key go to `salts` tasks instead of one.
 
@@ -53,19 +61,8 @@ def spread_join(
     """
     salted_fact = fact.withColumn("__salt", row_salt(fact, salts))
     salted_lookup = lookup.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return _join(
-        salted_fact, salted_lookup, on, how, null_safe, F.col("__salt") == F.col("__salt_r")
-    ).drop("__salt", "__salt_r")
-
-
-def _join(
-    fact: DataFrame, lookup: DataFrame, on: str, how: str, null_safe: bool, extra: Column | None = None
-) -> DataFrame:
-    right = lookup.withColumnRenamed(on, "__key")
-    condition = F.col(on).eqNullSafe(F.col("__key")) if null_safe else F.col(on) == F.col("__key")
-    if extra is not None:
-        condition = condition & extra
-    return fact.join(right, condition, how).drop("__key")
+    same_salt = F.col("__salt") == F.col("__salt_r")
+    return _join(salted_fact, salted_lookup, on, how, key, same_salt).drop("__salt", "__salt_r")
 
 
 def lookup_join(
@@ -73,13 +70,14 @@ def lookup_join(
     lookup: DataFrame,
     on: str,
     how: str = "inner",
-    null_safe: bool = False,
+    key: Column | None = None,
     small: bool | None = None,
 ) -> DataFrame:
-    """Join on one column: broadcast when `lookup` is proven small, else a salted shuffled join.
+    """Join column `on` of the lookup with `key` (by default the fact column of the same name).
 
+    The lookup is broadcast when it is proven small, else the join is shuffled with salted keys.
     `small` is the outcome of a check the caller already made; otherwise it is made here.
     """
     if fits_in_broadcast(lookup) if small is None else small:
-        return _join(fact, F.broadcast(lookup), on, how, null_safe)
-    return spread_join(fact, lookup, on, how, null_safe)
+        return _join(fact, F.broadcast(lookup), on, how, key)
+    return spread_join(fact, lookup, on, how, key)

@@ -16,35 +16,18 @@ REGION_AVERAGES = [
 ]
 
 
-def _shaped(joined: DataFrame, columns: list[str]) -> DataFrame:
-    averages = {a.name for a in REGION_AVERAGES}
-    return joined.withColumnRenamed("geo_shape", "geojson").select(*[c for c in columns if c not in averages])
-
-
-def mart_core_(weather: DataFrame, depcode: DataFrame, small: bool | None = None) -> DataFrame:
-    """The exact mart without its region averages: one pass over the observations, no shuffle.
-
-    Reports that do not show the two averages read this, which spares the averaging pass.
-    """
-    joined = lookup_join(weather, depcode, "department_lower", small=small)
-    return _shaped(joined.withColumnRenamed("snowdepth_filled", "snowdepth"), schemas.MART_COLUMNS)
+def _finished(joined: DataFrame, columns: list[str], regions_fit: bool) -> DataFrame:
+    """Region averages and the mart's columns. Regions come from the dimension, so a dimension that
+    fits a broadcast proves the same of them; Spark drops the averaging where it is not read."""
+    named = joined.withColumnRenamed("geo_shape", "geojson")
+    return with_group_averages(named, "reg_name", REGION_AVERAGES, groups_fit=regions_fit or None).select(*columns)
 
 
 def mart_newdata_(weather: DataFrame, depcode: DataFrame) -> DataFrame:
-    """Observations joined to the dimension on equal name keys, with region averages.
-
-    Regions come from the dimension, so a dimension that fits a broadcast proves the same of them.
-    """
+    """Observations joined to the dimension on equal name keys, with region averages."""
     small = fits_in_broadcast(depcode)
-    core = mart_core_(weather, depcode, small)
-    return with_group_averages(core, "reg_name", REGION_AVERAGES, groups_fit=small or None) \
-        .select(*schemas.MART_COLUMNS)
-
-
-def mart_core(weather: DataFrame, depcode: DataFrame, best_only: bool = False) -> DataFrame:
-    """The tolerant mart without its region averages."""
-    joined = fuzzy_lookup_join(weather, depcode, "department_lower", "dep_distance", best_only)
-    return _shaped(joined, schemas.FUZZY_MART_COLUMNS)
+    joined = lookup_join(weather, depcode, "department_lower", small=small)
+    return _finished(joined.withColumnRenamed("snowdepth_filled", "snowdepth"), schemas.MART_COLUMNS, small)
 
 
 def mart_newdata(weather: DataFrame, depcode: DataFrame, best_only: bool = False) -> DataFrame:
@@ -52,7 +35,6 @@ def mart_newdata(weather: DataFrame, depcode: DataFrame, best_only: bool = False
 
     `best_only` keeps only the closest departments of a name.
     """
-    core = mart_core(weather, depcode, best_only)
     small = fits_in_broadcast(depcode)
-    return with_group_averages(core, "reg_name", REGION_AVERAGES, groups_fit=small or None) \
-        .select(*schemas.FUZZY_MART_COLUMNS)
+    joined = fuzzy_lookup_join(weather, depcode, "department_lower", "dep_distance", best_only, small)
+    return _finished(joined, schemas.FUZZY_MART_COLUMNS, small)

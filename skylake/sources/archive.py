@@ -28,27 +28,29 @@ def archived_data(history: DataFrame, mart: DataFrame) -> DataFrame:
 DAILY = "daily"
 
 
-def _ranged(df: DataFrame, *first: str) -> DataFrame:
-    """Few files per month, and a hot month or day still cut into several ranges."""
-    return (
-        df.withColumn("yyyymm", month_key("dates"))
-        .repartitionByRange(*first, "yyyymm", *KEYS, "record_id")
-        .sortWithinPartitions(*first, "yyyymm", *KEYS)
-    )
-
-
 def append_batch(mart: DataFrame, root: str, extraction_date: str) -> None:
-    """Load one day's mart; loading the same day again leaves one copy."""
+    """Load one day's mart; loading the same day again leaves one copy.
+
+    The rebalance shuffles once by month and lets Spark cut a hot month into several files, where a
+    range partitioning would compute the mart a second time to sample it.
+    """
     require_rows(mart, "Data to be archived")
-    _ranged(mart).write.mode("overwrite").option("partitionOverwriteMode", "static") \
-        .partitionBy("yyyymm").parquet(f"{root}/extraction_date={extraction_date}/part={DAILY}")
+    monthly = mart.withColumn("yyyymm", month_key("dates")).hint("rebalance", "yyyymm")
+    monthly.sortWithinPartitions("yyyymm", *KEYS).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static").partitionBy("yyyymm") \
+        .parquet(f"{root}/extraction_date={extraction_date}/part={DAILY}")
 
 
 def append_dated(mart: DataFrame, root: str, part: str) -> None:
-    """Load rows that carry their `extraction_date`; loading the same `part` again leaves one copy."""
-    _ranged(mart.withColumn("part", F.lit(part)), "extraction_date", "part") \
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("extraction_date", "part", "yyyymm").parquet(root)
+    """Load rows that carry their `extraction_date`; loading the same `part` again leaves one copy.
+
+    Ranges over the keys and the record keep files few and cut a hot month also where Spark does not
+    re-plan at run time, as in a micro-batch.
+    """
+    folders = ["extraction_date", "part", "yyyymm"]
+    dated = mart.withColumn("part", F.lit(part)).withColumn("yyyymm", month_key("dates"))
+    dated.repartitionByRange(*folders, *KEYS, "record_id").sortWithinPartitions(*folders, *KEYS) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(root)
 
 
 def read_archive(spark: SparkSession, root: str, schema: T.StructType = schemas.ARCHIVED_DATA) -> DataFrame:

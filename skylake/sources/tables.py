@@ -119,15 +119,13 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def materialise(df: DataFrame, path: str, order: Sequence[str] = ("dates", "department"),
-                spread: Sequence[str] = ("record_id",)) -> DataFrame:
+def materialise(df: DataFrame, path: str, order: Sequence[str] = ("dates", "department")) -> DataFrame:
     """Write a model as a dataset sorted by `order` and return the written table.
 
-    `spread` columns are added to the range key so that one hot (date, department) is still cut
-    into several ranges.
+    One shuffle by the first sort column; Spark cuts a hot value into several files and each file is
+    sorted, so readers skip row groups by that column.
     """
-    ranged = df.repartitionByRange(*order, *spread).sortWithinPartitions(*order)
-    ranged.write.mode("overwrite").parquet(path)
+    df.hint("rebalance", order[0]).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

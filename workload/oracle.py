@@ -350,7 +350,7 @@ SQL["distinct_file_dates"] = \
     "select distinct strftime(ts, '%Y_%m_%d') as file_date from events where event_type <> 'error'"
 SQL["load_tables"] = "select * from raw_weather_"
 SQL["merge_daily_data"] = "select id, department, temp from raw_weather_"
-SQL["materialise_mart"] = "select * exclude (avg_solarenergy_kwhpm2, avg_solarradiation) from mart_newdata_"
+SQL["materialise_mart"] = "select * from mart_newdata_"
 
 SQL["dq_unique"] = """select resolvedAddress, count(*) as n_records from raw_weather_ group by 1 having count(*) > 1"""
 SQL["dq_unique_id"] = "select id, count(*) as n_records from raw_weather_ group by 1 having count(*) > 1"

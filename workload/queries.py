@@ -92,22 +92,14 @@ def mart_newdata_(spark, sf):
     return marts.mart_newdata_(int_most_recent_weather_(spark, sf), int_depcode_(spark, sf))
 
 
-def core_(spark, sf):
-    return marts.mart_core_(int_most_recent_weather_(spark, sf), int_depcode_(spark, sf))
-
-
-def core(spark, sf):
-    return marts.mart_core(int_most_recent_weather(spark, sf), int_depcode(spark, sf))
-
-
 @query
 def mart_today(spark, sf):
-    return views.mart_today(core_(spark, sf))
+    return views.mart_today(mart_newdata_(spark, sf))
 
 
 @query
 def mart_next_3_days(spark, sf):
-    return views.mart_next_3_days(core_(spark, sf))
+    return views.mart_next_3_days(mart_newdata_(spark, sf))
 
 
 @query
@@ -204,10 +196,6 @@ def archive_compacted(spark, sf):
 
 # --- served queries -------------------------------------------------------------------------------
 
-def _archive_core(spark, sf):
-    return archive.latest(core(spark, sf))
-
-
 @query
 def get_data(spark, sf):
     return serving.get_data(mart_newdata_(spark, sf))
@@ -215,7 +203,7 @@ def get_data(spark, sf):
 
 @query
 def get_temp_data(spark, sf):
-    return serving.get_temp_data(core_(spark, sf), DEPARTMENT)
+    return serving.get_temp_data(mart_newdata_(spark, sf), DEPARTMENT)
 
 
 @query
@@ -225,37 +213,37 @@ def get_solarenergy_geo_data(spark, sf):
 
 @query
 def get_date(spark, sf):
-    return serving.get_date(core_(spark, sf))
+    return serving.get_date(mart_newdata_(spark, sf))
 
 
 @query
 def get_tfptwgp(spark, sf):
-    return serving.get_tfptwgp(core_(spark, sf), DEPARTMENT)
+    return serving.get_tfptwgp(mart_newdata_(spark, sf), DEPARTMENT)
 
 
 @query
 def get_sunshine_data(spark, sf):
-    return serving.get_sunshine_data(core_(spark, sf))
+    return serving.get_sunshine_data(mart_newdata_(spark, sf))
 
 
 @query
 def get_region_sunshine_data(spark, sf):
-    return serving.get_region_sunshine_data(core_(spark, sf), REGION)
+    return serving.get_region_sunshine_data(mart_newdata_(spark, sf), REGION)
 
 
 @query
 def get_solarenergy_agg_pday(spark, sf):
-    return serving.get_solarenergy_agg_pday(core_(spark, sf), DEPARTMENT)
+    return serving.get_solarenergy_agg_pday(mart_newdata_(spark, sf), DEPARTMENT)
 
 
 @query
 def get_entire_department_data(spark, sf):
-    return serving.get_entire_department_data(_archive_core(spark, sf), DEPARTMENT)
+    return serving.get_entire_department_data(archive_latest(spark, sf), DEPARTMENT)
 
 
 @query
 def get_entire_region_data(spark, sf):
-    return serving.get_entire_region_data(_archive_core(spark, sf), REGION)
+    return serving.get_entire_region_data(archive_latest(spark, sf), REGION)
 
 
 @query
@@ -289,7 +277,7 @@ def get_today_data(spark, sf):
 
 
 def _stats(spark, sf, **arguments):
-    mart = core_(spark, sf)
+    mart = mart_newdata_(spark, sf)
     return serving.get_stats(views.mart_today(mart), views.mart_next_3_days(mart), **arguments)
 
 
@@ -643,7 +631,7 @@ def merge_daily_data(spark, sf):
 
 @query
 def materialise_mart(spark, sf):
-    return tables.materialise(core_(spark, sf), fresh_path(spark, "mart"))
+    return tables.materialise(mart_newdata_(spark, sf), fresh_path(spark, "mart"))
 
 
 # --- data quality ---------------------------------------------------------------------------------
