@@ -15,6 +15,10 @@ LAST_BAND = "waning crescent"
 RENAMED = (("CORSE DU SUD", "corse"), ("HAUTE CORSE", "corse0"))
 
 
+# Weekdays in the order of `dayofweek`.
+WEEKDAYS = "Sunday Monday Tuesday Wednesday Thursday Friday Saturday".split()
+
+
 def moonphase_label(phase: Column | str, strict: bool = False) -> Column:
     """Label of a moon phase in [0, 1].
 
@@ -34,7 +38,8 @@ def moonphase_label(phase: Column | str, strict: bool = False) -> Column:
 
 
 def weekday_name(date: Column | str) -> Column:
-    return F.date_format(date, "EEEE")
+    """English name of the weekday, looked up rather than formatted row by row."""
+    return F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.dayofweek(date))
 
 
 def renamed(name: Column | str) -> Column:

@@ -32,6 +32,29 @@ def nan_columns_to_null(df: DataFrame) -> DataFrame:
     return df.select(*[nan_to_null(c).alias(c) if c in floating else F.col(c) for c in df.columns])
 
 
+def _micros(c: Column | str) -> Column:
+    return F.rint(nan_to_null(c) * F.lit(_MICRO)).cast("bigint")
+
+
+def _mean(high: Column, low: Column, n: Column) -> Column:
+    return (high.cast("double") * F.lit(float(2**_LOW_BITS)) + low.cast("double")) / F.lit(_MICRO) / n
+
+
+def exact_sums(c: Column | str, name: str) -> list[Column]:
+    """The three sums behind `exact_avg`, to be aggregated once more by `avg_of_sums`."""
+    micros = _micros(c)
+    return [
+        F.sum(F.shiftright(micros, _LOW_BITS)).alias(f"{name}_high"),
+        F.sum(micros.bitwiseAND(F.lit(2**_LOW_BITS - 1).cast("bigint"))).alias(f"{name}_low"),
+        F.count(micros).alias(f"{name}_n"),
+    ]
+
+
+def avg_of_sums(name: str) -> Column:
+    """Average over groups whose `exact_sums` were taken under this name."""
+    return _mean(F.sum(f"{name}_high"), F.sum(f"{name}_low"), F.sum(f"{name}_n"))
+
+
 def exact_avg(c: Column | str) -> Column:
     """Average that does not depend on the order rows arrive in.
 
@@ -40,10 +63,7 @@ def exact_avg(c: Column | str) -> Column:
     runs. Both sums stay in the primitive hash-aggregate path, about 12x faster than a decimal
     sum, and leave room for 10^12 rows. NaN counts as missing.
     """
-    micros = F.rint(nan_to_null(c) * F.lit(_MICRO)).cast("bigint")
-    high = F.sum(F.shiftright(micros, _LOW_BITS)).cast("double")
-    low = F.sum(micros.bitwiseAND(F.lit(2**_LOW_BITS - 1).cast("bigint"))).cast("double")
-    return (high * F.lit(float(2**_LOW_BITS)) + low) / F.lit(_MICRO) / F.count(micros)
+    return _mean(*exact_sums(c, "sum"))
 
 
 def rounded_avg(c: Column | str, digits: int) -> Column:

@@ -29,9 +29,13 @@ def _ascii_bases() -> tuple[str, str]:
 
 
 def strip_accents(c: Column | str) -> Column:
-    """Accented letters become their ASCII base; other characters stay as they are."""
+    """Accented letters become their ASCII base; other characters stay as they are.
+
+    Text of one byte per character has none and skips the lookup.
+    """
     source, target = _ascii_bases()
-    return F.translate(_col(c), source, target)
+    value = _col(c)
+    return F.when(F.octet_length(value) == F.length(value), value).otherwise(F.translate(value, source, target))
 
 
 def plain_key(c: Column | str) -> Column:

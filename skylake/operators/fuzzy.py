@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skylake.operators.lookup import lookup_join
-from skylake.session import settle
 
 
 def _without(name: Column, position: Column) -> Column:
@@ -54,20 +53,19 @@ def near_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     )
 
 
-def fuzzy_lookup_join(
-    fact: DataFrame, lookup: DataFrame, on: str, distance: str, best_only: bool = False, small: bool | None = None
+def near_lookup(
+    names: DataFrame, lookup: DataFrame, on: str, distance: str, best_only: bool = False, small: bool | None = None
 ) -> DataFrame:
-    """Inner join of `fact` and `lookup` on `on` texts at edit distance 0 or 1.
+    """Inner join of `names` and `lookup` on `on` texts at edit distance 0 or 1.
 
-    Only distinct names are compared; the match table then joins back to the facts like any
-    lookup. `best_only` keeps the closest lookup names of each fact name.
+    Distinct texts are compared, then both sides are joined to the pairs found. `best_only` keeps
+    the closest lookup texts of each name.
     """
-    names = fact.select(F.col(on).alias("__name")).where("__name is not null").distinct()
-    targets = lookup.select(F.col(on).alias("__target")).where("__target is not null").distinct()
-    pairs = near_pairs(names, targets, "__name", "__target").withColumnRenamed("distance", distance)
+    left = names.select(F.col(on).alias("__name")).where("__name is not null").distinct()
+    right = lookup.select(F.col(on).alias("__target")).where("__target is not null").distinct()
+    pairs = near_pairs(left, right, "__name", "__target").withColumnRenamed("distance", distance)
     if best_only:
         best = pairs.groupBy("__name").agg(F.min(distance).alias(distance))
         pairs = pairs.join(best, ["__name", distance])
-    matched = lookup_join(pairs, lookup.withColumnRenamed(on, "__target"), "__target", small=small)
-    matched = settle(matched.drop("__target").withColumnRenamed("__name", on), "matches")
-    return lookup_join(fact, matched, on)
+    pairs = lookup_join(pairs, lookup.withColumnRenamed(on, "__target"), "__target", small=small)
+    return names.join(pairs.drop("__target").withColumnRenamed("__name", on), on)

@@ -1,4 +1,9 @@
-"""Marts: observations joined with their department, plus region averages."""
+"""Marts: observations joined with their department, plus region averages.
+
+Place names are few and observations many, so names are cleaned and matched once per distinct name:
+one pass over three columns finds the names and takes the sums for the averages, the match and the
+region averages are worked out on those few rows, and one pass without a shuffle joins them back.
+"""
 
 from __future__ import annotations
 
@@ -6,28 +11,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skylake import schemas
-from skylake.operators.averages import Average, with_group_averages
-from skylake.operators.fuzzy import fuzzy_lookup_join
+from skylake.functions.numeric import avg_of_sums, exact_sums, round_half_even
+from skylake.functions.text import name_key
+from skylake.operators.fuzzy import near_lookup
 from skylake.operators.lookup import fits_in_broadcast, lookup_join
+from skylake.session import settle
+
+# Measures averaged over the region, rounded to three digits.
+REGION_MEASURES = ["solarenergy_kwhpm2", "solarradiation"]
+
+
+def _names(weather: DataFrame) -> DataFrame:
+    """One row per department spelling: its key and the sums of its observations."""
+    sums = [s for m in REGION_MEASURES for s in exact_sums(m, m)]
+    return settle(weather.groupBy("department").agg(*sums), "names") \
+        .withColumn("department_lower", name_key("department"))
+
 
-REGION_AVERAGES = [
-    Average("solarenergy_kwhpm2", 3, "avg_solarenergy_kwhpm2"),
-    Average("solarradiation", 3, "avg_solarradiation"),
-]
+def _with_region_averages(matched: DataFrame, regions_fit: bool) -> DataFrame:
+    """Averages over all observations of a region, for every matched name; the names of departments
+    without a region form one group."""
+    group = F.struct(F.col("reg_name").alias("key"))
+    averages = [round_half_even(avg_of_sums(m), 3).alias(f"avg_{m}") for m in REGION_MEASURES]
+    regions = matched.groupBy(group.alias("__group")).agg(*averages)
+    # Regions come from the dimension: where that fits a broadcast, they do.
+    return lookup_join(matched, regions, "__group", "left", key=group, small=regions_fit)
 
 
-def _finished(joined: DataFrame, columns: list[str], regions_fit: bool) -> DataFrame:
-    """Region averages and the mart's columns. Regions come from the dimension, so a dimension that
-    fits a broadcast proves the same of them; Spark drops the averaging where it is not read."""
-    named = joined.withColumnRenamed("geo_shape", "geojson")
-    return with_group_averages(named, "reg_name", REGION_AVERAGES, groups_fit=regions_fit or None).select(*columns)
+def _attach(weather: DataFrame, matched: DataFrame, columns: list[str]) -> DataFrame:
+    attributes = matched.withColumnRenamed("geo_shape", "geojson")
+    attributes = attributes.select("department", *[c for c in attributes.columns if c not in weather.columns
+                                                   and c in columns])
+    return lookup_join(weather, settle(attributes, "departments"), "department").select(*columns)
 
 
 def mart_newdata_(weather: DataFrame, depcode: DataFrame) -> DataFrame:
     """Observations joined to the dimension on equal name keys, with region averages."""
     small = fits_in_broadcast(depcode)
-    joined = lookup_join(weather, depcode, "department_lower", small=small)
-    return _finished(joined.withColumnRenamed("snowdepth_filled", "snowdepth"), schemas.MART_COLUMNS, small)
+    matched = lookup_join(_names(weather), depcode, "department_lower", small=small)
+    weather = weather.withColumnRenamed("snowdepth_filled", "snowdepth")
+    return _attach(weather, _with_region_averages(matched, small), schemas.MART_COLUMNS)
 
 
 def mart_newdata(weather: DataFrame, depcode: DataFrame, best_only: bool = False) -> DataFrame:
@@ -36,5 +59,5 @@ def mart_newdata(weather: DataFrame, depcode: DataFrame, best_only: bool = False
     `best_only` keeps only the closest departments of a name.
     """
     small = fits_in_broadcast(depcode)
-    joined = fuzzy_lookup_join(weather, depcode, "department_lower", "dep_distance", best_only, small)
-    return _finished(joined, schemas.FUZZY_MART_COLUMNS, small)
+    matched = near_lookup(_names(weather), depcode, "department_lower", "dep_distance", best_only, small)
+    return _attach(weather, _with_region_averages(matched, small), schemas.FUZZY_MART_COLUMNS)
