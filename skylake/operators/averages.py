@@ -1,18 +1,18 @@
 """Whole-group averages next to every row (a window without order), without a window.
 
-A window would move every row of a group into one task. Here the groups are aggregated with
-map-side partial sums and the few group rows are joined back.
+A window would move every row of a group into one task. Here one pass takes map-side partial sums of
+all groupings at once, the averages are worked out on those few rows, and they are joined back.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylake.functions.numeric import rounded_avg
-from skylake.operators.lookup import lookup_join
+from skylake.functions.numeric import avg_of_sums, exact_sums, round_half_even
+from skylake.operators.lookup import fits_in_broadcast, lookup_join
 from skylake.session import settle
 
 
@@ -22,21 +22,32 @@ class Average(NamedTuple):
     name: str
 
 
-def with_group_averages(
-    df: DataFrame, key: str, averages: list[Average], groups_fit: bool | None = None
+def group_sums(df: DataFrame, keys: list[str], sources: list[str]) -> DataFrame:
+    """One row per combination of keys with the exact sums of each source, written once."""
+    return settle(df.groupBy(*keys).agg(*[s for c in sources for s in exact_sums(c, c)]), "sums")
+
+
+def group_of(key: str) -> Column:
+    """The key as a one-field struct: two such are equal also when both fields are NULL."""
+    return F.struct(F.col(key).alias("key"))
+
+
+def attach_averages(
+    df: DataFrame, sums: DataFrame, key: str, averages: list[Average], small: bool | None = None
 ) -> DataFrame:
-    """Add each row's group averages; rows with a NULL key form one group.
-
-    `groups_fit`: True when the caller has proven that the groups are few (for example because the
-    key comes from a checked dimension). Without that proof the aggregate is written once, its
-    size is read, and that decides how it is joined back.
-    """
-    # Two one-field structs are equal when both fields are NULL, which keeps the NULL group; and the
-    # join stays an equality on the grouping key, so Spark drops it where no average is read.
-    group = F.struct(F.col(key).alias("key"))
-    found = df.groupBy(group.alias("__group")).agg(
-        *[rounded_avg(a.source, a.digits).alias(a.name) for a in averages]
+    """Add the averages of each row's group; rows with a NULL key form one group."""
+    found = sums.groupBy(group_of(key).alias("__group")).agg(
+        *[round_half_even(avg_of_sums(a.source), a.digits).alias(a.name) for a in averages]
     )
-    if groups_fit is None:
-        found = settle(found, "averages")
-    return lookup_join(df, found, "__group", "left", key=group, small=groups_fit)
+    return lookup_join(df, found, "__group", "left", key=group_of(key), small=small)
+
+
+def with_group_averages(df: DataFrame, groupings: dict[str, list[Average]]) -> DataFrame:
+    """Add averages for several keys, from one pass over `df`."""
+    sources = list(dict.fromkeys(a.source for averages in groupings.values() for a in averages))
+    sums = group_sums(df, list(groupings), sources)
+    # A grouping has at most as many rows as the combinations it is taken from.
+    small = fits_in_broadcast(sums) or None
+    for key, averages in groupings.items():
+        df = attach_averages(df, sums, key, averages, small)
+    return df

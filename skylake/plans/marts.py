@@ -8,49 +8,40 @@ region averages are worked out on those few rows, and one pass without a shuffle
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from skylake import schemas
-from skylake.functions.numeric import avg_of_sums, exact_sums, round_half_even
 from skylake.functions.text import name_key
+from skylake.operators.averages import Average, attach_averages, group_sums
 from skylake.operators.fuzzy import near_lookup
 from skylake.operators.lookup import fits_in_broadcast, lookup_join
 from skylake.session import settle
 
-# Measures averaged over the region, rounded to three digits.
-REGION_MEASURES = ["solarenergy_kwhpm2", "solarradiation"]
+REGION_AVERAGES = [
+    Average("solarenergy_kwhpm2", 3, "avg_solarenergy_kwhpm2"),
+    Average("solarradiation", 3, "avg_solarradiation"),
+]
 
 
 def _names(weather: DataFrame) -> DataFrame:
     """One row per department spelling: its key and the sums of its observations."""
-    sums = [s for m in REGION_MEASURES for s in exact_sums(m, m)]
-    return settle(weather.groupBy("department").agg(*sums), "names") \
-        .withColumn("department_lower", name_key("department"))
+    sums = group_sums(weather, ["department"], [a.source for a in REGION_AVERAGES])
+    return sums.withColumn("department_lower", name_key("department"))
 
 
-def _with_region_averages(matched: DataFrame, regions_fit: bool) -> DataFrame:
-    """Averages over all observations of a region, for every matched name; the names of departments
-    without a region form one group."""
-    group = F.struct(F.col("reg_name").alias("key"))
-    averages = [round_half_even(avg_of_sums(m), 3).alias(f"avg_{m}") for m in REGION_MEASURES]
-    regions = matched.groupBy(group.alias("__group")).agg(*averages)
-    # Regions come from the dimension: where that fits a broadcast, they do.
-    return lookup_join(matched, regions, "__group", "left", key=group, small=regions_fit)
-
-
-def _attach(weather: DataFrame, matched: DataFrame, columns: list[str]) -> DataFrame:
-    attributes = matched.withColumnRenamed("geo_shape", "geojson")
-    attributes = attributes.select("department", *[c for c in attributes.columns if c not in weather.columns
-                                                   and c in columns])
-    return lookup_join(weather, settle(attributes, "departments"), "department").select(*columns)
+def _finish(weather: DataFrame, matched: DataFrame, columns: list[str], regions_fit: bool) -> DataFrame:
+    """Region averages for the matched names (regions come from the dimension, so where that fits a
+    broadcast they do), then the observations with everything known of their department."""
+    matched = attach_averages(matched, matched, "reg_name", REGION_AVERAGES, regions_fit or None)
+    known = matched.withColumnRenamed("geo_shape", "geojson")
+    new = [c for c in known.columns if c in columns and c not in weather.columns]
+    return lookup_join(weather, settle(known.select("department", *new), "departments"), "department").select(*columns)
 
 
 def mart_newdata_(weather: DataFrame, depcode: DataFrame) -> DataFrame:
     """Observations joined to the dimension on equal name keys, with region averages."""
     small = fits_in_broadcast(depcode)
     matched = lookup_join(_names(weather), depcode, "department_lower", small=small)
-    weather = weather.withColumnRenamed("snowdepth_filled", "snowdepth")
-    return _attach(weather, _with_region_averages(matched, small), schemas.MART_COLUMNS)
+    return _finish(weather.withColumnRenamed("snowdepth_filled", "snowdepth"), matched, schemas.MART_COLUMNS, small)
 
 
 def mart_newdata(weather: DataFrame, depcode: DataFrame, best_only: bool = False) -> DataFrame:
@@ -60,4 +51,4 @@ def mart_newdata(weather: DataFrame, depcode: DataFrame, best_only: bool = False
     """
     small = fits_in_broadcast(depcode)
     matched = near_lookup(_names(weather), depcode, "department_lower", "dep_distance", best_only, small)
-    return _attach(weather, _with_region_averages(matched, small), schemas.FUZZY_MART_COLUMNS)
+    return _finish(weather, matched, schemas.FUZZY_MART_COLUMNS, small)

@@ -42,7 +42,7 @@ def _averages(prefix: str, temperature: str) -> list[Average]:
 def mart_today_stats(today: DataFrame) -> DataFrame:
     """Each measure of the first day next to its region average."""
     averages = _averages("regavg", "temp")
-    with_region = with_group_averages(today, "reg_name", averages)
+    with_region = with_group_averages(today, {"reg_name": averages})
     columns = [c for m, a in zip(MEASURES, averages) for c in (m, a.name)]
     return with_region.select("reg_name", "department", *columns)
 
@@ -50,9 +50,7 @@ def mart_today_stats(today: DataFrame) -> DataFrame:
 def mart_next_3_days_stats(next_days: DataFrame) -> DataFrame:
     """Each measure of the next three days next to its department and region averages."""
     by_department, by_region = _averages("depavg", "temp_c"), _averages("regavg", "temp_c")
-    both = with_group_averages(
-        with_group_averages(next_days, "department", by_department), "reg_name", by_region
-    )
+    both = with_group_averages(next_days, {"department": by_department, "reg_name": by_region})
     columns = [c for m, d, r in zip(MEASURES, by_department, by_region) for c in (m, d.name, r.name)]
     return both.select("reg_name", "department", *columns)
 

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skylake.operators import chunks, fuzzy, lookup, quality
-from skylake.operators.averages import Average, with_group_averages
+from skylake.operators.averages import Average, attach_averages, group_sums, with_group_averages
 from skylake.operators.latest import latest_version
 from skylake.operators.topk import top_k
 
@@ -72,8 +72,10 @@ def grouped(spark):
         "k string, v double, w double").repartition(3)
 
 
-@pytest.mark.parametrize("fit", [None, True, False])
-def test_group_averages(grouped, fit):
+@pytest.mark.parametrize("max_rows", [10, 2, 0])
+def test_group_averages(grouped, max_rows, monkeypatch):
+    """All groups broadcast, only some, none."""
+    monkeypatch.setattr(lookup, "MAX_ROWS", max_rows)
     by_key = {}
     for r in grouped.collect():
         by_key.setdefault(r.k, []).append(r)
@@ -84,14 +86,20 @@ def test_group_averages(grouped, fit):
 
     want = sorted(((r.k, r.v, r.w, avg([x.v for x in by_key[r.k]], 1), avg([x.w for x in by_key[r.k]], 2))
                    for r in grouped.collect()), key=repr)
-    assert rows(with_group_averages(grouped, "k", AVERAGES, fit)) == want
+    assert rows(with_group_averages(grouped, {"k": AVERAGES})) == want
 
 
-def test_group_averages_use_no_window_and_vanish_when_unread(grouped, plan):
-    df = with_group_averages(grouped, "k", AVERAGES, groups_fit=True)
-    assert "Window" not in plan(df)
-    unread = plan(df.select("k", "v"))
-    assert "Join" not in unread and "Aggregate" not in unread
+def test_two_groupings_take_one_pass_and_no_window(grouped, plan):
+    both = with_group_averages(grouped, {"k": [Average("v", 1, "by_k")], "w": [Average("v", 1, "by_w")]})
+    assert "Window" not in plan(both)
+    assert {(r.k, r.w): (r.by_k, r.by_w) for r in both.collect()} == {
+        ("a", 1.0): (1.2, 1.2), ("a", None): (1.2, 1.2), ("b", None): (None, 1.2), (None, 2.0): (3.8, 3.8)}
+
+
+def test_unread_averages_are_dropped(grouped, plan):
+    sums = group_sums(grouped, ["k"], ["v", "w"])
+    assert "Join" in plan(attach_averages(grouped, sums, "k", AVERAGES, small=True))
+    assert "Join" not in plan(attach_averages(grouped, sums, "k", AVERAGES, small=True).select("k", "v"))
 
 
 # --- near names ---

@@ -206,6 +206,10 @@ SQL = {name: text or _board(name) for name, text in SQL.items()}
 SQL["example_model"] = """select id from (select c_custkey as id from customer union all
   select cast(null as bigint) from customer) t where id = 1"""
 
+SQL["daily_build"] = f"""select reg_name, {rnd(2, avg("regavg_humidity"))} as regavg_humidity,
+  count(distinct department) as n_departments, count(*) as n_records from mart_next_3_days_stats group by reg_name
+  order by regavg_humidity desc nulls last, reg_name limit 3"""
+
 _CUT = f"cast('{HISTORY_END}' as date)"
 SQL["archived_data"] = f"""select * from mart_newdata where dates < {_CUT} union all
   select * from mart_newdata where dates >= {_CUT}"""
@@ -239,6 +243,7 @@ SQL["get_entire_department_data"] = f"""select dates, department, {", ".join(f"{
   from archive where {_OF_DEPARTMENT} order by dates"""
 SQL["get_entire_region_data"] = f"""select dates, reg_name, {", ".join(f"{rnd(1, avg(m))} as {m}" for m in _HISTORY)}
   from archive where reg_name = '{REGION}' group by dates, reg_name order by dates, reg_name"""
+SQL["landed_build"] = SQL["get_entire_region_data"]
 SQL["get_ml_data"] = "select * from archive"
 SQL["get_today_stats"] = "select * from mart_today_stats"
 SQL["get_next_3_days_stats"] = "select * from mart_next_3_days_stats"
@@ -259,6 +264,8 @@ SQL["get_stats_warmest_departments"] = f"""select * from ({SQL["get_stats_depart
 SQL["unit_conversions"] = f"""select event_id, {rnd(0, "(value - 32.0e0) * (5.0e0 / 9.0e0)")} as celsius,
   {rnd(0, "value * 2.54e0")} as cm, {rnd(2, "value * 25.4e0")} as mm, {rnd(1, "value * 1.60934e0")} as kph,
   {rnd(3, "value * 0.2778e0")} as kwhpm2 from events"""
+SQL["conversions_in_sql"] = SQL["unit_conversions"].replace(
+    " from events", f", {rnd(1, 'value / 3')} as third from events")
 SQL["moonphase_labels"] = f"select id, moonphase, {LABEL} as label, {STRICT} as strict_label from raw_weather_"
 SQL["normalize_names"] = r"""select doc_id, upper(trim(regexp_replace(regexp_replace(strip_accents(text),
   '[^\x00-\x7F]', '', 'g'), '[-''\s\x0b\x1c-\x1f]+', ' ', 'g'))) as normalized from documents"""

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylake import schemas
-from skylake.functions import geometry, labels, numeric, text
+from skylake.functions import geometry, labels, numeric, sql, text
 from skylake.operators import chunks, fuzzy, quality
-from skylake.plans import dimension, marts, serving, staging, views
+from skylake.plans import build, dimension, marts, serving, staging, views
 from skylake.session import fresh_path
 from skylake.sources import archive, files, landing, tables
 from skylake.streaming import ingest
@@ -132,6 +132,40 @@ def example_model(spark, sf):
     return model.where("id = 1")
 
 
+@query
+def daily_build(spark, sf):
+    """All current models built and published, then asked in SQL."""
+    build.build_current(
+        inputs.raw_weather_(spark, sf), inputs.raw_depcode_(spark, sf), fresh_path(spark, "marts"))
+    return spark.sql("""
+        select b.reg_name, b.regavg_humidity, t.n_departments, t.n_records
+        from reg_3d_top3_humidity b join (
+          select reg_name, count(distinct department) as n_departments, count(*) as n_records
+          from mart_next_3_days_stats group by reg_name) t on b.reg_name = t.reg_name""")
+
+
+@query
+def landed_build(spark, sf):
+    """All landed models built and published, then loaded into an archive and read back."""
+    models = build.build_landed(
+        inputs.raw_weather(spark, sf), inputs.raw_depcode(spark, sf), fresh_path(spark, "marts"))
+    root = fresh_path(spark, "archive")
+    archive.append_batch(models["mart_newdata"], root, EXTRACTION)
+    return serving.get_entire_region_data(archive.latest(archive.read_archive(spark, root)), REGION)
+
+
+@query
+def conversions_in_sql(spark, sf):
+    sql.register_functions(spark)
+    return tables.run_query(
+        spark,
+        "select event_id, convert_f_to_c(value) as celsius, convert_inch_to_cm(value) as cm, "
+        "convert_inch_to_mm(value) as mm, convert_mph_to_kph(value) as kph, "
+        "convert_mj_per_m2_to_kwh_per_m2(value) as kwhpm2, round_even(value / 3, 1) as third from {events}",
+        events=table(spark, sf, "events"),
+    )
+
+
 # --- archive --------------------------------------------------------------------------------------
 
 @query
