@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skylake.functions.numeric import avg_of_sums, exact_sums, round_half_even
-from skylake.operators.lookup import fits_in_broadcast, lookup_join
-from skylake.session import settle
+from skylake.operators.lookup import lookup_join, settle_and_measure
 
 
 class Average(NamedTuple):
@@ -22,9 +21,11 @@ class Average(NamedTuple):
     name: str
 
 
-def group_sums(df: DataFrame, keys: list[str], sources: list[str]) -> DataFrame:
-    """One row per combination of keys with the exact sums of each source, written once."""
-    return settle(df.groupBy(*keys).agg(*[s for c in sources for s in exact_sums(c, c)]), "sums")
+def group_sums(df: DataFrame, keys: list[str], sources: list[str]) -> tuple[DataFrame, bool]:
+    """One row per combination of keys with the exact sums of each source, written once; and whether
+    that fits a broadcast."""
+    sums = df.groupBy(*keys).agg(*[s for c in sources for s in exact_sums(c, c)])
+    return settle_and_measure(sums, "sums")
 
 
 def group_of(key: str) -> Column:
@@ -45,9 +46,8 @@ def attach_averages(
 def with_group_averages(df: DataFrame, groupings: dict[str, list[Average]]) -> DataFrame:
     """Add averages for several keys, from one pass over `df`."""
     sources = list(dict.fromkeys(a.source for averages in groupings.values() for a in averages))
-    sums = group_sums(df, list(groupings), sources)
+    sums, small = group_sums(df, list(groupings), sources)
     # A grouping has at most as many rows as the combinations it is taken from.
-    small = fits_in_broadcast(sums) or None
     for key, averages in groupings.items():
-        df = attach_averages(df, sums, key, averages, small)
+        df = attach_averages(df, sums, key, averages, small or None)
     return df

@@ -17,19 +17,23 @@ def _positions(name: Column) -> Column:
     return F.when(F.length(name) > 0, F.sequence(F.lit(1), F.length(name))).otherwise(empty)
 
 
-def _probe(kind: str, position: Column, text: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), position.cast("int").alias("position"), text.alias("text"))
+# What a probe says of its text: the whole name, the name without the character at a position, the
+# left name without some character, the right name without some character.
+EQUAL, SUBSTITUTED, LEFT_SHORTER, RIGHT_SHORTER = range(4)
 
 
-def _probes(name: Column, whole_kind: str, shorter_kind: str) -> Column:
-    none = F.lit(0)
-    substituted = F.transform(_positions(name), lambda i: _probe("substituted", i, _without(name, i)))
-    shorter = F.transform(
+def _probe(text: Column, position: Column | int, kind: int) -> Column:
+    place = F.lit(position) if isinstance(position, int) else position
+    return F.struct(text.alias("text"), place.cast("int").alias("position"), F.lit(kind).cast("tinyint").alias("kind"))
+
+
+def _probes(name: Column, whole: int, shorter: int) -> Column:
+    substituted = F.transform(_positions(name), lambda i: _probe(_without(name, i), i, SUBSTITUTED))
+    cut = F.transform(
         F.array_distinct(F.transform(_positions(name), lambda i: _without(name, i))),
-        lambda text: _probe(shorter_kind, none, text),
+        lambda text: _probe(text, 0, shorter),
     )
-    whole = F.array(_probe("equal", none, name), _probe(whole_kind, none, name))
-    return F.concat(whole, substituted, shorter)
+    return F.concat(F.array(_probe(name, 0, EQUAL), _probe(name, 0, whole)), substituted, cut)
 
 
 def near_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
@@ -41,15 +45,13 @@ def near_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     pairs only: nothing is filtered by distance afterwards. A substitution probe is shared by at
     most one name per character of the alphabet, so no probe value can grow hot.
     """
-    a = left.select(left_name, F.explode(_probes(F.col(left_name), "inserted", "deleted")).alias("p"))
-    b = right.select(right_name, F.explode(_probes(F.col(right_name), "deleted", "inserted")).alias("p"))
-    a = a.select(left_name, "p.kind", "p.position", "p.text")
-    b = b.select(right_name, "p.kind", "p.position", "p.text")
+    a = left.select(left_name, F.inline(_probes(F.col(left_name), RIGHT_SHORTER, LEFT_SHORTER)))
+    b = right.select(right_name, F.inline(_probes(F.col(right_name), LEFT_SHORTER, RIGHT_SHORTER)))
     same = F.col(left_name) == F.col(right_name)
     return (
-        a.join(b, ["kind", "position", "text"])
-        .where((F.col("kind") != "substituted") | ~same)
-        .select(left_name, right_name, F.when(F.col("kind") == "equal", 0).otherwise(1).alias("distance"))
+        a.join(b, ["text", "position", "kind"])
+        .where((F.col("kind") != SUBSTITUTED) | ~same)
+        .select(left_name, right_name, F.when(F.col("kind") == EQUAL, 0).otherwise(1).alias("distance"))
     )
 
 

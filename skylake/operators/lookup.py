@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skylake.session import settle
+
 # A lookup side is broadcast only below both bounds.
 MAX_ROWS = 1_000_000
 MAX_BYTES = 64 * 1024 * 1024
@@ -29,14 +31,31 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
-def fits_in_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
-    """Count the rows and bytes of `df` (one distributed aggregate) against the broadcast bounds."""
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
-    return rows <= (MAX_ROWS if max_rows is None else max_rows) and (size or 0) <= (
+def _size(df: DataFrame) -> list[Column]:
+    return [F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("n_bytes")]
+
+
+def _within(n_rows: int, n_bytes: int, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    return n_rows <= (MAX_ROWS if max_rows is None else max_rows) and n_bytes <= (
         MAX_BYTES if max_bytes is None else max_bytes
     )
 
 
+def fits_in_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Count the rows and bytes of `df` (one distributed aggregate) against the broadcast bounds."""
+    return _within(*df.agg(*_size(df)).first(), max_rows, max_bytes)
+
+
+def settle_and_measure(df: DataFrame, label: str) -> tuple[DataFrame, bool]:
+    """Write `df` to the shared folder and say whether it fits a broadcast, counted while writing.
+
+    A task that is run twice can only make the count too high, which errs on the safe side.
+    """
+    seen = Observation()
+    table = settle(df.observe(seen, *_size(df)), label)
+    return table, _within(seen.get["n_rows"], seen.get["n_bytes"])
+
+
 def row_salt(df: DataFrame, salts: int = SALTS) -> Column:
     """A salt that a re-run task computes again: row content, plus the partition so that exact
     copies of one row still spread over as many salts as they have input splits."""

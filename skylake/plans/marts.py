@@ -13,8 +13,7 @@ from skylake import schemas
 from skylake.functions.text import name_key
 from skylake.operators.averages import Average, attach_averages, group_sums
 from skylake.operators.fuzzy import near_lookup
-from skylake.operators.lookup import fits_in_broadcast, lookup_join
-from skylake.session import settle
+from skylake.operators.lookup import fits_in_broadcast, lookup_join, settle_and_measure
 
 REGION_AVERAGES = [
     Average("solarenergy_kwhpm2", 3, "avg_solarenergy_kwhpm2"),
@@ -24,7 +23,7 @@ REGION_AVERAGES = [
 
 def _names(weather: DataFrame) -> DataFrame:
     """One row per department spelling: its key and the sums of its observations."""
-    sums = group_sums(weather, ["department"], [a.source for a in REGION_AVERAGES])
+    sums, _ = group_sums(weather, ["department"], [a.source for a in REGION_AVERAGES])
     return sums.withColumn("department_lower", name_key("department"))
 
 
@@ -34,7 +33,8 @@ def _finish(weather: DataFrame, matched: DataFrame, columns: list[str], regions_
     matched = attach_averages(matched, matched, "reg_name", REGION_AVERAGES, regions_fit or None)
     known = matched.withColumnRenamed("geo_shape", "geojson")
     new = [c for c in known.columns if c in columns and c not in weather.columns]
-    return lookup_join(weather, settle(known.select("department", *new), "departments"), "department").select(*columns)
+    departments, small = settle_and_measure(known.select("department", *new), "departments")
+    return lookup_join(weather, departments, "department", small=small).select(*columns)
 
 
 def mart_newdata_(weather: DataFrame, depcode: DataFrame) -> DataFrame:

@@ -97,7 +97,8 @@ def test_two_groupings_take_one_pass_and_no_window(grouped, plan):
 
 
 def test_unread_averages_are_dropped(grouped, plan):
-    sums = group_sums(grouped, ["k"], ["v", "w"])
+    sums, small = group_sums(grouped, ["k"], ["v", "w"])
+    assert small
     assert "Join" in plan(attach_averages(grouped, sums, "k", AVERAGES, small=True))
     assert "Join" not in plan(attach_averages(grouped, sums, "k", AVERAGES, small=True).select("k", "v"))
 
