@@ -36,6 +36,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", f"local[{cpus}]", {
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        # Megabytes of data: small partitions keep all cores busy (the default 64m is for real sizes).
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
     })
     spark.sparkContext.setLogLevel("ERROR")
     times = {}

@@ -8,6 +8,9 @@ with `nation`).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skylake.sources.files import spread
 
 DEPCODE = """
 select cast(null as string) as geo_point_2d, cast(null as string) as geo_shape, r_name as reg_name,
@@ -90,8 +93,11 @@ def raw_depcode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_weather_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension is broadcast: `nation` has 25 rows at every scale. Without the hint Spark
+    broadcasts `events` where that file is the smaller one."""
     text = WEATHER_.replace("{k}", SPARK_K)
-    return spark.sql(text, events=table(spark, sf_dir, "events"), depcode=raw_depcode_(spark, sf_dir))
+    events, depcode = spread(table(spark, sf_dir, "events")), F.broadcast(raw_depcode_(spark, sf_dir))
+    return spark.sql(text, events=events, depcode=depcode)
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
