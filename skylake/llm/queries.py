@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylake.llm import decontamination, packing, secret_scan, simhash, toxicity
+from skylake.llm import (
+    archive_convert, chat_format, decontamination, packing, secret_scan, simhash, site_style, toxicity, url_filter, weighted_sampling,
+)
 from skylake.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,9 +21,19 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": _over(toxicity.op1_toxicity, "documents", "labels"),
     "op2_simhash": _over(simhash.op2_simhash, "documents"),
+    "op3_chat": _over(chat_format.op3_chat, "conversations"),
     "op4_decontamination": _over(decontamination.op4_decontamination, "documents", "benchmark"),
     "op5_packing": _over(packing.op5_packing, "documents"),
+    "op6_url_filter": _over(url_filter.op6_url_filter, "pages"),
     "op7_secrets": _over(secret_scan.op7_secrets, "documents"),
+    "op8_warc": _over(archive_convert.op8_warc, "pages"),
+    "op9_main_text": _over(site_style.op9_main_text, "pages"),
+    "op10_fingerprints": _over(weighted_sampling.op10_fingerprints, "documents"),
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_decontamination": decontamination.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_chat": chat_format.SQL,
+    "op4_decontamination": decontamination.SQL,
+    "op6_url_filter": url_filter.SQL,
+    "op8_warc": archive_convert.SQL,
+}
