@@ -35,7 +35,7 @@ SAMPLE_PER_CLASS = 3_000
 SAMPLE_CHARS = 24_000_000
 LANDMARKS = 240
 INSTANCES = 8_000
-POOL = 80_000
+POOL = 40_000
 ROUNDS = 5
 COST = 8.0
 DECAY, SPAN = 0.7, 5
@@ -43,6 +43,8 @@ LETTERS = 64
 PIECE, OVERLAP = 40, 12
 MEMO = 400_000
 THRESHOLD = 0.7
+SURE = 0.6
+FOLDS = 4
 
 GAPS = [(i, j) for j in range(2, SPAN + 1) for i in range(1, j)]
 _NOT_LETTER = re.compile(r"[\W\d_]+")
@@ -115,7 +117,7 @@ class Model:
 
     weights: np.ndarray | None = None
     bias: float = 0.0
-    curve: np.ndarray = field(default_factory=lambda: np.zeros(5))
+    curve: np.ndarray = field(default_factory=lambda: np.zeros(6))
     constant: float | None = None
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
@@ -146,19 +148,20 @@ def _features(found: np.ndarray) -> np.ndarray:
     if not found.size:
         found = np.array([-9.0])
     top = np.partition(found, -2)[-2:] if found.size > 1 else np.array([-2.0, found[0]])
-    return np.array([1.0, np.clip(top[1], -1, 1.5), np.clip(top[0], -0.3, 1.5), np.log1p((found > 0).sum()), np.log1p(found.size) / 5])
+    sides = [np.log1p((found > least).sum()) for least in (0, SURE)]
+    return np.array([1.0, np.clip(top[1], -1, 1), np.clip(top[0], -0.3, 1), *sides, np.log1p(found.size) / 5])
 
 
-def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
     """Primal Newton steps for the squared hinge loss; the last column of z is the bias."""
-    w = np.zeros(z.shape[1])
+    w = np.zeros(z.shape[1]) if start is None else start
     ridge = np.eye(z.shape[1])
     ridge[-1, -1] = 1e-3
     for _ in range(30):
         on = y * (z @ w) < 1
         zw = z[on] * weight[on, None]
         new = np.linalg.solve(ridge + COST * zw.T @ z[on], COST * zw.T @ y[on])
-        if np.abs(new - w).max() < 1e-7:
+        if np.abs(new - w).max() < 1e-4:
             return new
         w = new
     return w
@@ -267,7 +270,7 @@ class _Trainer:
             y = np.r_[np.ones(len(bad)), -np.ones(len(fine))]
             share = max(1, len(fine)) / max(1, len(bad))
             weight = np.r_[np.full(len(bad), min(10.0, max(0.25, share))), np.ones(len(fine))]
-            w = _svm(self.z[[*bad, *fine]], y, weight)
+            w = _svm(self.z[[*bad, *fine]], y, weight, w)
             table = np.zeros(LETTERS ** 3, np.float32)
             table[self.index] = self.images[1:] @ (self.whiten @ w[:-1])
             bias = float(w[-1])
@@ -294,9 +297,9 @@ def fit(texts: list[str], toxic: list[int], prior: float | None = None) -> Model
     fold = np.zeros(len(y), int)
     for label in (True, False):
         same = np.flatnonzero(y == label)
-        fold[same] = np.arange(len(same)) % 2
-    x = np.zeros((len(y), 5))
-    for part in (0, 1):
+        fold[same] = np.arange(len(same)) % FOLDS
+    x = np.zeros((len(y), 6))
+    for part in range(FOLDS):
         train = np.flatnonzero(fold != part) if y[fold != part].any() else np.arange(len(y))
         half = Model(*trainer.fit(train))
         known = _Margins(half)
