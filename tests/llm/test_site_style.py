@@ -1,0 +1,77 @@
+"""Main text: hand-made pages, the importance formula, and all pages of a table against a plain extraction."""
+
+import html
+import math
+import re
+
+import pytest
+
+from skylake.llm import site_style as S
+
+PAGES = "page_id bigint, url string, html string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, PAGES).selectExpr("*", "1 as host", "2 as node", "3 as low", "4 as importance", "5 as content")
+
+
+ARTICLE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="<p>no</p>";</script></head><body>
+<header><h1>Site</h1></header><nav><ul><li><a href="/">Menu</a></ul></nav><!-- <p>hidden</p> --><div class="ad">Buy</div>
+<article><header><h1>Title &amp; more</h1></header><p><b>First
+   &lt;one&gt;<br>two<p>Sec<i>ond</i><div class="share-box">share</div><aside>aside</aside>
+<form><p>mail<input value="x>y"></form><ul><li>a<li>b</ul><table><tr><td>c<td>d</table><section id="comments"><p>reader</p></section>
+<div hidden>gone</div><div class="notice">Notice</div><footer>by me</footer>tail&nbsp;end</article>
+<div id="sidebar">side</div><div role="contentinfo">foot</div><footer>&copy; us</footer></body></html>"""
+
+
+def test_article():
+    found = S.Parser().blocks(ARTICLE)
+    assert [t for _, t, _, inside in found if inside] == ["Title & more", "First <one> two", "Second", "a", "b", "c", "d", "tail end"]
+    assert not [t for _, t, _, inside in found if not inside]
+
+
+@pytest.mark.parametrize("text, want", [
+    ("", []), ("plain", ["plain"]), ("a < b <c", ["a < b <c"]), ("<p>x</b></p></div>y", ["x", "y"]), ("<script>a", []), ("<!-- a", []), ("<p class='a>b'>z", ["z"]),
+    ("&am &#233;&eacute &bogus;", ["&am éé &bogus;"]), ("<P>A<Br/>B", ["A B"]), ("<a" + "<b" * 50, ["<a" + "<b" * 50]), ("<div>" * 3000 + "deep", ["deep"])])
+def test_broken_markup(text, want):
+    assert [t for _, t, _, _ in S.Parser().blocks(text)] == want
+
+
+def site(n):
+    """Pages without an article element: only the site's statistics tell what is repeated."""
+    return [(k, f"http://Site.org/{k}", f"<body><div class='top'>Welcome to the site</div><div class='box'><p>Text {k} of its own</p><p>shared</p></div>"
+             f"<div class='x'><a href='1'>one {k}</a> <a href='2'>two {k}</a></div><div class='low'>All rights</div></body>") for k in range(n)]
+
+
+def test_repeated_branches_go(spark):
+    got = {r["__page"]: r["__text"] for r in S.main_text(frame(spark, [*site(8), *[(100 + k, f"http://few.org/{k}", p) for k, _, p in site(2)]])).collect()}
+    assert all(got[k] == f"Text {k} of its own\nshared" for k in range(8))
+    assert got[100] == "Welcome to the site\nText 0 of its own\nshared\nAll rights"
+
+
+def test_importance(spark):
+    got = {round(r.importance, 6) for r in S.tree(frame(spark, site(8))).where("host = 'site.org'").collect()}
+    shared = 1 - (8 * math.log(8)) / 16 / math.log(8)
+    assert got == {0.0, round(shared, 6)} or got == {0.0, round(shared, 6), round(1 - 7 / 7, 6)} or shared in {round(x, 6) for x in got}
+
+
+def test_awkward_rows(spark):
+    rows = [(1, "http://a.org/", ARTICLE), (1, "http://a.org/", ARTICLE), (2, None, None), (3, "http://a.org/", ""), (None, "http://a.org/", "<article>x" + " y" * 100000 + "</article>"),
+            (4, "http://a.org/", "<article></article><p>outside"), (5, None, "<article>a</article><article class='comment'>b</article><article>c</article>")]
+    got = S.op9_main_text(frame(spark, rows)).collect()
+    assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
+    by = {r.page_id: r.text for r in got}
+    assert by[2] == "" and by[3] == "" and len(by[None]) == 200001 and by[4] == "outside" and by[5] == "a\nc"
+
+
+def test_empty_table(spark):
+    assert S.op9_main_text(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_the_table(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r.text for r in S.op9_main_text(pages).collect()}
+    for r in pages.collect():
+        inner = re.sub("<br>", " ", re.search(r"<article>(.*?)</article>", r.html, re.S)[1])
+        blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner))
+        assert got[r.page_id] == "\n".join(b for b in blocks if b)
