@@ -19,10 +19,10 @@ def jaccard(a, b):
 def test_collision_rate_is_the_weighted_similarity():
     rng = random.Random(1)
     sampler, far = W.Sampler(512), []
-    for _ in range(40):
-        words = [f"w{min(int(rng.expovariate(0.05)), 200)}" for _ in range(300)]
+    for pair in range(40):  # with words of its own: samples of one word are the same everywhere
+        words = [f"w{pair}-{min(int(rng.expovariate(0.05)), 200)}" for _ in range(300)]
         cut = rng.randrange(300)
-        a, b = " ".join(words), " ".join(words[:cut] + [f"v{rng.randrange(90)}" for _ in range(300 - cut)])
+        a, b = " ".join(words), " ".join(words[:cut] + [f"v{pair}-{rng.randrange(90)}" for _ in range(300 - cut)])
         far.append(W.likeness(sampler.fingerprint(a), sampler.fingerprint(b)) - jaccard(a, b))
     assert abs(np.mean(far)) < 0.01 and np.std(far) < 0.035
 
