@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylake.llm.common import settle_counted
-from skylake.session import fresh_path
+from skylake.session import fresh_path, settle
 
 RULES = "base-1"
 KINDS = ("assign", "access", "hex", "pem")
@@ -98,7 +98,8 @@ def scan(docs: DataFrame, ledger: Ledger, id_col: str = "doc_id", text_col: str
 def by_blob(ledger: Ledger, rules: str = RULES) -> DataFrame:
     """(blob, found): the findings of each blob that has any, as an array ordered by start and kind."""
     each = ledger.findings().where(F.col("rules") == rules).select("blob", "kind", "start", "end").distinct()
-    return each.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("found"))
+    found = each.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("found"))
+    return settle(found, "by_blob")  # read from files, a join with the rows of a hot blob can be split
 
 
 def findings(docs: DataFrame, ledger: Ledger | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
