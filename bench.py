@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from skylake.session import build_session  # noqa: E402
+from skylake.session import build_session, remove_scratch  # noqa: E402
 from workload.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
@@ -36,8 +36,6 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", f"local[{cpus}]", {
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "8g",
-        # Megabytes of data: small partitions keep all cores busy (the default 64m is for real sizes).
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
     })
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
@@ -48,6 +46,7 @@ def main() -> None:
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }))
+    remove_scratch(spark)
     spark.stop()
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from skylake.functions.numeric import avg_of_sums, exact_sums, round_half_even
 from skylake.operators.lookup import lookup_join, settle_and_measure
+from skylake.session import settle
 
 
 class Average(NamedTuple):
@@ -44,7 +45,9 @@ def attach_averages(
 
 
 def with_group_averages(df: DataFrame, groupings: dict[str, list[Average]]) -> DataFrame:
-    """Add averages for several keys, from one pass over `df`."""
+    """Add averages for several keys. `df` is computed once and written, then read for the sums and for the rows; both
+    jobs run when this is called."""
+    df = settle(df, "grouped")
     sources = list(dict.fromkeys(a.source for averages in groupings.values() for a in averages))
     sums, small = group_sums(df, list(groupings), sources)
     # A grouping has at most as many rows as the combinations it is taken from.

@@ -7,28 +7,28 @@ from pyspark.sql import functions as F
 
 from skylake.session import settle
 
+_PLACE_BITS = 33  # of `monotonically_increasing_id`: the row's place in its task
+
 
 def number_rows(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
     """Add the 1-based position of each row in the order of unique `order` columns.
 
-    Rows are range-partitioned and written once; a position is the row's place in its own range
-    plus the sizes of the ranges before it, so no task sees more than one range.
+    Rows are range-partitioned, sorted, numbered inside their range and written in one pass with one
+    shuffle; a position is the row's place plus the sizes of the ranges before it, which are added on reading.
     """
-    ranges = settle(
-        df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges"
-    )
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    ranges = settle(placed, "ranges").withColumn("__range", F.shiftright("__id", _PLACE_BITS))
     # One row per range: as many rows as shuffle partitions, whatever the data.
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranges.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows"))
         .select("__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
     )
-    place = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    place = F.col("__id").bitwiseAND(F.lit(2**_PLACE_BITS - 1).cast("bigint")) + 1
     return (
-        ranges.withColumn("__place", place)
-        .join(F.broadcast(offsets), "__range")
-        .withColumn(name, F.col("__place") + F.col("__before"))
-        .drop("__range", "__place", "__before")
+        ranges.join(F.broadcast(offsets), "__range")
+        .withColumn(name, place + F.col("__before"))
+        .drop("__range", "__id", "__before")
     )
 
 

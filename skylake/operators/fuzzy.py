@@ -5,54 +5,69 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylake.operators.lookup import lookup_join
+from skylake.operators.lookup import lookup_join, settle_and_measure
+
+# Pairs whose shorter name has up to this many characters are met by the names without one character, longer
+# ones by equal halves: a half of a long name says as much, and costs one pass instead of one per character.
+SHORT = 64
 
 
 def _without(name: Column, position: Column) -> Column:
     return F.concat(F.substring(name, 1, position - 1), F.substring(name, position + 1, F.length(name)))
 
 
-def _positions(name: Column) -> Column:
-    empty = F.array().cast("array<int>")
-    return F.when(F.length(name) > 0, F.sequence(F.lit(1), F.length(name))).otherwise(empty)
-
-
 # What a probe says of its text: the whole name, the name without the character at a position, the
-# left name without some character, the right name without some character.
-EQUAL, SUBSTITUTED, LEFT_SHORTER, RIGHT_SHORTER = range(4)
+# left name without some character, the right name without some character, a first half, a second half.
+EQUAL, SUBSTITUTED, LEFT_SHORTER, RIGHT_SHORTER, FIRST, SECOND = range(6)
 
 
 def _probe(text: Column, position: Column | int, kind: int) -> Column:
     place = F.lit(position) if isinstance(position, int) else position
-    return F.struct(text.alias("text"), place.cast("int").alias("position"), F.lit(kind).cast("tinyint").alias("kind"))
+    return F.xxhash64(text, place.cast("int"), F.lit(kind))
 
 
-def _probes(name: Column, whole: int, shorter: int) -> Column:
-    substituted = F.transform(_positions(name), lambda i: _probe(_without(name, i), i, SUBSTITUTED))
-    cut = F.transform(
-        F.array_distinct(F.transform(_positions(name), lambda i: _without(name, i))),
-        lambda text: _probe(text, 0, shorter),
-    )
+def _short_probes(name: Column, whole: int, shorter: int) -> Column:
+    """Probes of a name that may pair with one of `SHORT` characters or fewer."""
+    positions = F.when(F.length(name) > 0, F.sequence(F.lit(1), F.length(name))).otherwise(F.array().cast("array<int>"))
+    substituted = F.transform(positions, lambda i: _probe(_without(name, i), i, SUBSTITUTED))
+    cut = F.transform(positions, lambda i: _probe(_without(name, i), 0, shorter))
     return F.concat(F.array(_probe(name, 0, EQUAL), _probe(name, 0, whole)), substituted, cut)
 
 
+def _long_probes(name: Column) -> Column:
+    """Probes of a name that may pair with one of more than `SHORT` characters: for either length that the shorter
+    of the two can have, its first half and the rest of it. One edit leaves one of them whole in both names."""
+    def halves(least: Column) -> Column:
+        half = F.floor(least / 2).cast("int")
+        return F.when(least > SHORT, F.array(
+            _probe(F.substring(name, 1, half), least, FIRST),
+            _probe(F.substring(name, F.length(name) - (least - half) + 1, least - half), least, SECOND),
+        )).otherwise(F.array().cast("array<bigint>"))
+
+    return F.concat(halves(F.length(name)), halves(F.length(name) - 1))
+
+
+def _probes(name: Column, whole: int, shorter: int) -> Column:
+    none = F.array().cast("array<bigint>")
+    short = F.when(F.length(name) <= SHORT + 1, _short_probes(name, whole, shorter)).otherwise(none)
+    long = F.when(F.length(name) > SHORT, _long_probes(name)).otherwise(none)
+    return F.array_distinct(F.concat(short, long))
+
+
 def near_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
     """All pairs (left, right, distance) of names at edit distance 0 or 1, each pair once.
 
     `left` and `right` hold distinct names. Two names are one edit apart when they agree after
     dropping the character at the same position of both (substitution), or when one equals the
-    other with one character dropped. Each case is an equality of probes, so the join emits true
-    pairs only: nothing is filtered by distance afterwards. A substitution probe is shared by at
-    most one name per character of the alphabet, so no probe value can grow hot.
+    other with one character dropped; long names are met by halves instead. Each case is an equality of
+    64-bit probes, so the join is an equi-join, and every pair that it meets is verified. The probes of the right
+    side are written and measured first, and broadcast only if they fit.
     """
-    a = left.select(left_name, F.inline(_probes(F.col(left_name), RIGHT_SHORTER, LEFT_SHORTER)))
-    b = right.select(right_name, F.inline(_probes(F.col(right_name), LEFT_SHORTER, RIGHT_SHORTER)))
-    same = F.col(left_name) == F.col(right_name)
-    return (
-        a.join(b, ["text", "position", "kind"])
-        .where((F.col("kind") != SUBSTITUTED) | ~same)
-        .select(left_name, right_name, F.when(F.col("kind") == EQUAL, 0).otherwise(1).alias("distance"))
-    )
+    a = left.select(left_name, F.explode(_probes(F.col(left_name), RIGHT_SHORTER, LEFT_SHORTER)).alias("__probe"))
+    b = right.select(right_name, F.explode(_probes(F.col(right_name), LEFT_SHORTER, RIGHT_SHORTER)).alias("__probe"))
+    b, small = settle_and_measure(b, "probes")
+    met = a.join(F.broadcast(b) if small else b, "__probe").select(left_name, right_name).distinct()
+    return met.withColumn("distance", F.levenshtein(left_name, right_name, 1)).where(F.col("distance") >= 0)
 
 
 def near_lookup(
@@ -70,4 +85,4 @@ def near_lookup(
         best = pairs.groupBy("__name").agg(F.min(distance).alias(distance))
         pairs = pairs.join(best, ["__name", distance])
     pairs = lookup_join(pairs, lookup.withColumnRenamed(on, "__target"), "__target", small=small)
-    return names.join(pairs.drop("__target").withColumnRenamed("__name", on), on)
+    return lookup_join(names, pairs.drop("__target").withColumnRenamed("__name", on), on)

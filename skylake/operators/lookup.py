@@ -12,22 +12,22 @@ from skylake.session import settle
 MAX_ROWS = 1_000_000
 MAX_BYTES = 64 * 1024 * 1024
 SALTS = 64
+# A key is hot if it holds more than this share of the rows; there are at most 1 / HOT_SHARE such keys.
+HOT_SHARE = 0.01
+KINDS = ("inner", "left", "left_semi", "left_anti")
 
 _VARIABLE = (T.StringType, T.BinaryType)
 _NESTED = (T.ArrayType, T.StructType, T.MapType)
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    total = F.lit(0).cast("bigint")
+    total = F.lit(16 * len(df.columns)).cast("bigint")
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, _NESTED):
-            size = F.octet_length(F.to_json(F.struct(c)))
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
         elif isinstance(field.dataType, _VARIABLE):
-            size = F.octet_length(c)
-        else:
-            size = F.lit(0)
-        total = total + F.coalesce(size, F.lit(0)) + F.lit(16)
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
     return total
 
 
@@ -71,17 +71,31 @@ def _join(fact: DataFrame, lookup: DataFrame, on: str, how: str, key: Column | N
     return fact.join(right, condition, how).drop("__key")
 
 
+def hot_keys(fact: DataFrame, key: Column, share: float = HOT_SHARE) -> DataFrame:
+    """Keys that hold more than `share` of the rows, as `__hot`: 1 / `share` rows at most, from one aggregate."""
+    counts = settle(fact.groupBy(key.alias("__hot")).agg(F.count(F.lit(1)).alias("__n")), "key_counts")
+    least = counts.agg(F.sum("__n") * F.lit(share)).first()[0] or 0
+    return counts.where((F.col("__n") > F.lit(least)) & F.col("__hot").isNotNull()).select("__hot")
+
+
 def spread_join(
     fact: DataFrame, lookup: DataFrame, on: str, how: str = "inner", key: Column | None = None, salts: int = SALTS
 ) -> DataFrame:
-    """Shuffled join whose fact rows of one key go to `salts` tasks instead of one.
+    """Shuffled join whose fact rows of a hot key go to `salts` tasks instead of one.
 
-    Every lookup row is repeated once per salt, so each fact row still meets all its partners.
+    Only the lookup rows of the measured hot keys are repeated, once per salt, so each fact row still
+    meets all its partners; all other rows move once. Rows without a key meet nothing and are dealt out too.
     """
-    salted_fact = fact.withColumn("__salt", row_salt(fact, salts))
-    salted_lookup = lookup.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    value = F.col(on) if key is None else key
+    hot = hot_keys(fact, value)
+    is_hot = F.col("__hot").isNotNull()
+    marked = fact.withColumn("__on", value).join(F.broadcast(hot), F.col("__on") == F.col("__hot"), "left")
+    salted_fact = marked.withColumn("__salt", F.when(is_hot | F.col("__on").isNull(), row_salt(fact, salts)).otherwise(0)).drop("__hot")
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_lookup = lookup.join(F.broadcast(hot), F.col(on) == F.col("__hot"), "left") \
+        .withColumn("__salt_r", F.explode(copies)).drop("__hot")
     same_salt = F.col("__salt") == F.col("__salt_r")
-    return _join(salted_fact, salted_lookup, on, how, key, same_salt).drop("__salt", "__salt_r")
+    return _join(salted_fact, salted_lookup, on, how, F.col("__on"), same_salt).drop("__salt", "__salt_r", "__on")
 
 
 def lookup_join(
@@ -94,9 +108,12 @@ def lookup_join(
 ) -> DataFrame:
     """Join column `on` of the lookup with `key` (by default the fact column of the same name).
 
-    The lookup is broadcast when it is proven small, else the join is shuffled with salted keys.
-    `small` is the outcome of a check the caller already made; otherwise it is made here.
+    The lookup is broadcast when it is proven small, else the join is shuffled with its hot keys salted.
+    `small` is the outcome of a check the caller already made; otherwise it is made here. `how` is one
+    that keeps or drops fact rows; joins that also keep unmatched lookup rows are not served.
     """
+    if how not in KINDS:
+        raise ValueError(f"how must be one of {', '.join(KINDS)}")
     if fits_in_broadcast(lookup) if small is None else small:
         return _join(fact, F.broadcast(lookup), on, how, key)
     return spread_join(fact, lookup, on, how, key)

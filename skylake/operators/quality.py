@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from skylake.functions.numeric import nan_to_null
+
+
+def _value(df: DataFrame, column: str) -> Column:
+    """The column with NaN as NULL: both are missing."""
+    floating = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+    return nan_to_null(column) if floating else F.col(column)
 
 
 def duplicates(df: DataFrame, column: str) -> DataFrame:
@@ -16,7 +24,7 @@ def duplicates(df: DataFrame, column: str) -> DataFrame:
 
 
 def missing(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
+    return df.where(_value(df, column).isNull())
 
 
 def primary_key_violations(df: DataFrame, column: str) -> DataFrame:
@@ -35,19 +43,20 @@ def _by_column(df: DataFrame, summaries: list, value: str) -> DataFrame:
 
 
 def completeness(df: DataFrame) -> DataFrame:
-    """Share of non-NULL values per column, in one pass: (column_name, ratio)."""
-    return _by_column(
-        df, [exact_ratio(c) for c in df.columns], "ratio"
-    )
+    """Share of values that are neither NULL nor NaN per column, in one pass: (column_name, ratio)."""
+    return _by_column(df, [F.count(_value(df, c)) / F.count(F.lit(1)) for c in df.columns], "ratio")
 
 
-def exact_ratio(column: str):
-    return F.count(F.col(column)) / F.count(F.lit(1))
+def columns_with_nulls(df: DataFrame) -> DataFrame:
+    """Whether each column holds any NULL or NaN, in one pass: (column_name, has_null)."""
+    return _by_column(df, [F.coalesce(F.bool_or(_value(df, c).isNull()), F.lit(False)) for c in df.columns], "has_null")
 
 
-def columns_with_nulls(df: DataFrame) -> DataFrame:
-    """Whether each column holds any NULL, in one pass: (column_name, has_null)."""
-    return _by_column(df, [F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)) for c in df.columns], "has_null")
+def column_mismatches(df: DataFrame, expected: list[str]) -> DataFrame:
+    """Positions at which the columns differ from the expected ones: (position, found, expected)."""
+    n = max(len(df.columns), len(expected))
+    pairs = [(k, *(names[k] if k < len(names) else None for names in (df.columns, expected))) for k in range(n)]
+    return df.sparkSession.createDataFrame([p for p in pairs if p[1] != p[2]], "position int, found string, expected string")
 
 
 def require_columns(df: DataFrame, expected: list[str]) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from skylake.plans import marts, staging, views
-from skylake.sources.tables import materialise, publish_view
+from skylake.sources.tables import materialise, publish_view, store
 
 
 def build_current(raw_weather_: DataFrame, raw_depcode_: DataFrame, root: str) -> dict[str, DataFrame]:
@@ -18,9 +18,10 @@ def build_current(raw_weather_: DataFrame, raw_depcode_: DataFrame, root: str) -
     models["int_depcode_"] = staging.int_depcode_(models["stg_depcode_"])
     models["int_most_recent_weather_"] = staging.int_most_recent_weather_(models["stg_most_recent_weather_"])
     mart = marts.mart_newdata_(models["int_most_recent_weather_"], models["int_depcode_"])
-    models["mart_newdata_"] = mart = materialise(mart, f"{root}/mart_newdata_")
-    models["mart_today"] = today = views.mart_today(mart)
-    models["mart_next_3_days"] = following = views.mart_next_3_days(mart)
+    mart, first_day = store(mart, f"{root}/mart_newdata_")
+    models["mart_newdata_"] = mart
+    models["mart_today"] = today = views.mart_today(mart, first_day)
+    models["mart_next_3_days"] = following = views.mart_next_3_days(mart, first_day)
     models["mart_today_stats"] = views.mart_today_stats(today)
     models["mart_next_3_days_stats"] = views.mart_next_3_days_stats(following)
     for name, board in views.LEADERBOARDS.items():

@@ -11,12 +11,12 @@ from skylake.functions.text import normalize_name
 from skylake.operators.lookup import lookup_join
 from skylake.sources.landing import strings_for_objects
 
-_CODES = ["reg_name", "reg_code", "dep_name_upper", "dep_current_code", "dep_status"]
+_CODES = schemas.DEPCODE_COLUMNS[2:]
 
 
 def region_columns(df: DataFrame) -> DataFrame:
     """The columns of a wider geography file that the dimension needs."""
-    return df.select("geo_point_2d", "geo_shape", "reg_code", "reg_name", "dep_current_code", "dep_name_upper", "dep_status")
+    return df.select(*schemas.DEPCODE_COLUMNS)
 
 
 def build_depcode(geography: DataFrame, names: DataFrame) -> DataFrame:

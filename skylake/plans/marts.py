@@ -3,6 +3,8 @@
 Place names are few and observations many, so names are cleaned and matched once per distinct name:
 one pass over three columns finds the names and takes the sums for the averages, the match and the
 region averages are worked out on those few rows, and one pass without a shuffle joins them back.
+The pass over the names runs when a mart function is called, so `build` writes a mart once and everything else
+reads the written table.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Read-only queries over the marts and the archive, one function each."""
+"""Read-only queries over the stored marts and the compacted archive, one function each."""
 
 from __future__ import annotations
 
@@ -126,11 +126,11 @@ def get_stats(
     With `rank_by`, only the `k` highest (`top`) or lowest groups by that column.
     """
     if level not in ("region", "department"):
-        raise ValueError("level must be 'region' or 'department'")
+        raise ValueError(f"unknown level {level!r}: choose region or department")
     if period not in ("today", "next3days"):
-        raise ValueError("period must be 'today' or 'next3days'")
+        raise ValueError(f"unknown period {period!r}: choose today or next3days")
     if rank_by is not None and rank_by not in STATS:
-        raise ValueError(f"rank_by must be one of {', '.join(STATS)}")
+        raise ValueError(f"no statistic {rank_by!r}; there are {', '.join(STATS)}")
     rows = today if period == "today" else next_3_days
     key = "reg_name" if level == "region" else "department"
     stats = rows.groupBy(F.col(key).alias("geo_name")).agg(

@@ -6,9 +6,10 @@ the written mart, so that column pruning and the date filter reach the files.
 
 from __future__ import annotations
 
+from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skylake.functions.numeric import rounded_avg
@@ -24,13 +25,18 @@ _REPORTED = ["reg_name", "department", *MEASURES]
 FORECAST_DAYS = 3
 
 
-def mart_today(mart: DataFrame) -> DataFrame:
-    first_day = mart.select(F.min("dates")).scalar()
-    return mart.where(F.col("dates") == first_day).select(*_REPORTED)
+def _first(mart: DataFrame, first_day: date | None) -> Column:
+    return mart.select(F.min("dates")).scalar() if first_day is None else F.lit(first_day)
 
 
-def mart_next_3_days(mart: DataFrame) -> DataFrame:
-    first_day = mart.select(F.min("dates")).scalar()
+def mart_today(mart: DataFrame, first_day: date | None = None) -> DataFrame:
+    """Rows of the first day; a stored mart's `first` spares the scan that finds it."""
+    return mart.where(F.col("dates") == _first(mart, first_day)).select(*_REPORTED)
+
+
+def mart_next_3_days(mart: DataFrame, first_day: date | None = None) -> DataFrame:
+    """Rows of the three days after the first one."""
+    first_day = _first(mart, first_day)
     in_range = (F.col("dates") > first_day) & (F.col("dates") <= F.date_add(first_day, FORECAST_DAYS))
     return mart.where(in_range).select(*_REPORTED)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,7 +21,6 @@ def build_session(app_name: str = "skylake", master: str | None = None, conf: di
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     settings.update(conf or {})
     for key, value in settings.items():
@@ -31,22 +32,39 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's `spark.checkpoint.dir`.
 
     Only a local-mode session, where driver and executors are one process, may go without the
-    setting; it then gets one temporary folder for its lifetime.
+    setting; it then gets one temporary folder, which is removed when the process ends. On a cluster a
+    `file:` folder is refused: every machine would have one of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    local = context.master.startswith("local")
+    if configured and not local and configured.startswith("file:"):
+        raise RuntimeError(f"spark.checkpoint.dir must be shared by all executors, not {configured}")
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not local:
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
     if context.applicationId not in _LOCAL_DIRS:
-        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="skylake-")
+        folder = tempfile.mkdtemp(prefix="skylake-")
+        _LOCAL_DIRS[context.applicationId] = folder
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return _LOCAL_DIRS[context.applicationId]
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Folder of the intermediate tables of this application."""
+    return f"{shared_dir(spark)}/skylake/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/skylake/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the application's folder."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; call it when no result that reads them is needed any more."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:

@@ -21,8 +21,9 @@ KEYS = ("dates", "department")
 
 
 def archived_data(history: DataFrame, mart: DataFrame) -> DataFrame:
-    """History followed by the new mart, matched by name."""
-    return history.unionByName(mart)
+    """History and the new mart, matched by name: the latest version of each (dates, department) with its month."""
+    both = history.unionByName(mart, allowMissingColumns=True)
+    return latest(both.withColumn("yyyymm", month_key("dates")))
 
 
 DAILY = "daily"
@@ -61,7 +62,8 @@ def read_archive(spark: SparkSession, root: str, schema: T.StructType = schemas.
 
 
 def between_dates(archive: DataFrame, first: str, last: str) -> DataFrame:
-    """Rows with first <= dates <= last; only the months in range are read."""
+    """Rows with first <= dates <= last; only the months in range are read. Filter before `latest`: Spark does not
+    move the months' filter below it (`latest_between` does both)."""
     low, high = F.lit(first).cast("date"), F.lit(last).cast("date")
     return archive.where(
         F.col("dates").between(low, high)
@@ -70,13 +72,20 @@ def between_dates(archive: DataFrame, first: str, last: str) -> DataFrame:
 
 
 def latest(archive: DataFrame) -> DataFrame:
-    """Latest version of each (dates, department); `extraction_date` breaks versions when present."""
-    newest = [F.col("record_id").desc_nulls_last(), F.col("dep_code").asc_nulls_last()]
-    if "extraction_date" in archive.columns:
-        newest.insert(0, F.col("extraction_date").desc_nulls_last())
+    """Latest version of each (dates, department): of the latest extraction the observation with the highest id, and of
+    that observation its closest department, the lowest code first."""
+    newest = [F.col("extraction_date").desc_nulls_last()] if "extraction_date" in archive.columns else []
+    newest += [F.col("record_id").desc_nulls_last(), F.col("dep_distance").asc_nulls_last(), F.col("dep_code").asc_nulls_last()]
     return latest_version(archive, KEYS, newest)
 
 
+def latest_between(archive: DataFrame, first: str, last: str) -> DataFrame:
+    """Latest versions with first <= dates <= last. All versions of a row carry its date, so the months are filtered
+    before versions are compared, and only theirs are read."""
+    return latest(between_dates(archive, first, last))
+
+
 def compact(archive: DataFrame, target: str) -> None:
-    """Write the latest versions to a new root; readers switch to it when it is complete."""
+    """Write the latest versions to a new root; readers switch to it when it is complete. Served queries read this
+    table: it has one version per key, so a filter on any column reaches the files."""
     append_dated(latest(archive).drop("yyyymm"), target, "compacted")

@@ -28,13 +28,6 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
         .csv(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that has fewer splits than the cluster has cores (one small file,
-    say); a scan with enough splits, as any large dataset has, is returned as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def list_files(spark: SparkSession, path: str, suffix: str | None = None) -> DataFrame:
     """Files below `path` (a folder or a glob) as (path, name, length); contents are not read."""
     return (

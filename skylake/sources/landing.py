@@ -9,44 +9,47 @@ from pyspark.sql import types as T
 from skylake import schemas
 from skylake.functions.numeric import nan_columns_to_null
 from skylake.functions.text import first_part, list_to_text
-from skylake.session import settle
 
 
 class Scan:
-    """A JSON scan split into records that fit the schema and records that do not."""
+    """Landed documents split into those that fit the schema and those that do not.
 
-    def __init__(self, parsed: DataFrame):
-        self._parsed = parsed
-        self._bad = F.col(schemas.CORRUPT).isNotNull()
+    A document is parsed as a whole whatever columns are read afterwards, so each one is on exactly one
+    side: cut lines, other JSON than an object, and values of another type are rejects. Blank lines are
+    no documents.
+    """
+
+    def __init__(self, lines: DataFrame, schema: T.StructType):
+        """`lines` has the text of a document in `value`; `file_path` says where it came from."""
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+        parsed = F.from_json("value", schemas.with_corrupt(schema), options)
+        self._parsed = lines.where(F.length(F.trim("value")) > 0).select("file_path", "value", parsed.alias("p"))
+        self._fits = F.col("p").isNotNull() & F.col(f"p.{schemas.CORRUPT}").isNull()
 
     @property
     def good(self) -> DataFrame:
-        return self._parsed.where(~self._bad).drop(schemas.CORRUPT)
+        return self._parsed.where(self._fits).select("p.*").drop(schemas.CORRUPT)
 
     def rejects(self) -> DataFrame:
-        """(file_path, record text). Written with all parsed columns first: Spark parses only the
-        columns a query asks for, and a type error in a column nobody reads would go unnoticed."""
-        bad = self._parsed.select("*", F.col("_metadata.file_path").alias("file_path")).where(self._bad)
-        return settle(bad, "rejects").select("file_path", F.col(schemas.CORRUPT).alias("record"))
+        """(file_path, record text)."""
+        return self._parsed.where(~self._fits).select("file_path", F.col("value").alias("record"))
 
 
-def _json_reader(spark: SparkSession, schema: T.StructType, multiline: bool, suffix: str | None):
-    reader = (
-        spark.read.schema(schemas.with_corrupt(schema)).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-        .option("multiLine", str(multiline).lower()).option("recursiveFileLookup", "true")
-    )
-    return reader.option("pathGlobFilter", f"*{suffix}") if suffix else reader
+def text_lines(reader, path: str, suffix: str | None, whole: bool = False) -> DataFrame:
+    """(value, file_path) of the documents below `path`: one per line, or one per file."""
+    reader = reader.option("recursiveFileLookup", "true")
+    reader = reader.option("pathGlobFilter", f"*{suffix}") if suffix else reader
+    return reader.text(path, wholetext=whole).select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
 def scan_payloads(spark: SparkSession, path: str, multiline: bool = True, suffix: str | None = ".json") -> Scan:
     """API documents `{locations: [...]}`; one per file, or one per line without `multiline`."""
-    return Scan(_json_reader(spark, schemas.PAYLOAD, multiline, suffix).json(path))
+    return Scan(text_lines(spark.read, path, suffix, multiline), schemas.PAYLOAD)
 
 
 def scan_envelopes(spark: SparkSession, path: str, suffix: str | None = ".jsonl") -> Scan:
     """Landed lines `{_airbyte_raw_id, _airbyte_data: {...}}`."""
-    return Scan(_json_reader(spark, schemas.ENVELOPE, False, suffix).json(path))
+    return Scan(text_lines(spark.read, path, suffix), schemas.ENVELOPE)
 
 
 def records(payloads: DataFrame, field: str = "locations") -> DataFrame:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylake.functions.text import dated_file_name, file_date
+from skylake.session import settle
 from skylake.sources import files, landing
 from skylake.sources.landing import conform
 
@@ -24,19 +27,43 @@ def require_table(spark: SparkSession, table: str) -> None:
         raise ValueError(f"Table {table} does not exist.")
 
 
+SORT_KEY = "skylake.sort"
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def create_if_absent(spark: SparkSession, table: str, schema: T.StructType, location: str | None = None,
-                     partition_by: Sequence[str] = ()) -> None:
+                     partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
+    """Create a table unless it is there. Loads keep the files of a table with `sort_by` sorted, so readers skip
+    row groups by these columns; the key is kept as a table property."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     ddl = f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet"
     if partition_by:
         ddl += f" PARTITIONED BY ({', '.join(partition_by)})"
     if location:
-        ddl += f" LOCATION '{location}'"
+        ddl += f" LOCATION {_quoted(location)}"
+    if sort_by:
+        ddl += f" TBLPROPERTIES ({_quoted(SORT_KEY)} = {_quoted(','.join(sort_by))})"
     spark.sql(ddl)
 
 
+def sort_key(spark: SparkSession, table: str) -> list[str]:
+    """The sort key a table was created with."""
+    found = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return [c for c in found.get(SORT_KEY, "").split(",") if c]
+
+
+def table_names(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """The tables and views of a database as rows (name)."""
+    source = f" IN {database}" if database else ""
+    return spark.sql(f"SHOW TABLES{source}").select(F.col("tableName").alias("name"))
+
+
 def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(database))
+    return sorted(r.name for r in table_names(spark, database).collect())
 
 
 def run_query(spark: SparkSession, text: str, args: dict | list | None = None, **views: DataFrame) -> DataFrame:
@@ -45,17 +72,45 @@ def run_query(spark: SparkSession, text: str, args: dict | list | None = None, *
 
 
 def load_table(df: DataFrame, table: str, refresh: bool = False) -> None:
-    """Append to a table, or replace its rows when `refresh`; columns are matched by name."""
+    """Append to a table, or replace all its rows, in whatever partition, when `refresh`; columns are matched by
+    name, files are sorted by the table's key."""
     spark = df.sparkSession
     require_rows(df, "Data to be loaded")
     require_table(spark, table)
-    conform(df, spark.table(table).schema).write.insertInto(table, overwrite=refresh)
+    _insert(df, table, refresh)
+
 
+@contextmanager
+def _whole_overwrite(spark: SparkSession):
+    """An overwrite replaces the table, also where the session is set to replace single partitions."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "static")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _insert(df: DataFrame, table: str, refresh: bool = False) -> None:
+    spark = df.sparkSession
+    rows = conform(df, spark.table(table).schema)
+    key = sort_key(spark, table)
+    if key:
+        rows = rows.hint("rebalance", key[0]).sortWithinPartitions(*key)
+    with _whole_overwrite(spark):
+        rows.write.insertInto(table, overwrite=refresh)
 
-def merge_daily_data(spark: SparkSession, table: str, target: str) -> None:
-    """Append the rows of `table` to `target` by column name; an empty source is an error."""
-    require_rows(spark.table(table), f"Data from Table {table} to be appended")
-    load_table(spark.table(table), target)
+
+def merge_daily_data(spark: SparkSession, table: str, target: str, key: str = "id") -> None:
+    """Append the rows of `table` to `target` by column name, those left out whose `key` is there already, so that a
+    repeated merge changes nothing. Of the target only the key column is read. An empty source is an error."""
+    daily = spark.table(table)
+    require_rows(daily, f"Data from Table {table} to be appended")
+    require_table(spark, target)
+    known = spark.table(target).select(F.col(key).alias("__known")).distinct()
+    # Written first: Spark does not overwrite or append to what a plan reads.
+    _insert(settle(daily.join(known, F.col(key).eqNullSafe(F.col("__known")), "left_anti"), "merged"), target)
 
 
 def store_extraction(df: DataFrame, root: str, extraction_date: str) -> None:
@@ -75,58 +130,108 @@ def _sized(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
-def compact_envelopes(spark: SparkSession, source: str, raw_root: str, staging: str, extraction_date: str) -> None:
-    """Landed JSON lines to Parquet: dated raw folder first, then the staging snapshot from it."""
-    days = landing.flatten_envelopes(landing.scan_envelopes(spark, source).good)
-    store_extraction(days, raw_root, extraction_date)
+class Compaction(NamedTuple):
+    """Landed documents that were stored, and those set aside."""
+
+    good: int
+    rejected: int
+
+
+def rejects_path(raw_root: str, extraction_date: str) -> str:
+    """Where a compaction sets documents aside, next to the raw root and not in it."""
+    return f"{raw_root.rstrip('/')}-rejects/extraction_date={extraction_date}"
+
+
+def compact_envelopes(spark: SparkSession, source: str, raw_root: str, staging: str, extraction_date: str,
+                      suffix: str | None = ".jsonl", delete_source: bool = False) -> Compaction:
+    """Landed JSON lines to Parquet: bad lines to their own folder, the dated raw folder, then the staging snapshot
+    from it; every line is in one of the two. With `delete_source` the landed files go after all is stored."""
+    scan = landing.scan_envelopes(spark, source, suffix)
+    bad, good = Observation(), Observation()
+    one = F.count(F.lit(1)).alias("n")
+    scan.rejects().observe(bad, one).write.mode("overwrite").parquet(rejects_path(raw_root, extraction_date))
+    days = landing.flatten_envelopes(scan.good.observe(good, one))
+    _sized(days).write.mode("overwrite").parquet(f"{raw_root}/extraction_date={extraction_date}")
     stored = spark.read.schema(days.schema).parquet(f"{raw_root}/extraction_date={extraction_date}")
     store_snapshot(stored, staging)
+    if delete_source:
+        delete_files(spark, source, suffix)
+    return Compaction(good.get["n"], bad.get["n"])
 
 
-def delete_files(spark: SparkSession, path: str, suffix: str) -> int:
-    """Delete the files below `path` that end in `suffix`; call it after the compaction committed.
+def delete_files(spark: SparkSession, path: str, suffix: str | None = None) -> int:
+    """Delete the files below `path` that end in `suffix` and say how many; call it after the compaction committed.
 
-    Deletion is a file-system call on the driver: only names pass through it, one at a time.
+    Without a suffix the folder goes in one call. Names are listed in blocks, so the driver holds one block.
     """
-    jvm = spark.sparkContext._jvm
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    if suffix is None:
+        n = files.list_files(spark, path).count()
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(hadoop).delete(folder, True)
+        return n
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(hadoop)
+    listed = system.listFiles(root, True)
     deleted = 0
-    for row in files.list_files(spark, path, suffix).select("path").toLocalIterator():
-        target = jvm.org.apache.hadoop.fs.Path(row.path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, False)
-        deleted += 1
+    while listed.hasNext():
+        target = listed.next().getPath()
+        if target.getName().endswith(suffix):
+            system.delete(target, False)
+            deleted += 1
     return deleted
 
 
-def csv_to_parquet(spark: SparkSession, source: str, target: str, schema: T.StructType) -> None:
-    """CSV files to one Parquet dataset with each file's new dated name and its date as columns."""
+def csv_to_parquet(spark: SparkSession, source: str, target: str, schema: T.StructType, delete_source: bool = False) -> None:
+    """CSV files to one Parquet dataset with each file's new dated name and its date as columns; with `delete_source`
+    the CSV files go after the dataset is written."""
     df = files.read_csv(spark, source, schema)
     name = F.col("_metadata.file_name")
     df.select("*", dated_file_name(name).alias("file_name"), file_date(name).alias("file_date")) \
         .write.mode("overwrite").parquet(target)
+    if delete_source:
+        delete_files(spark, source, ".csv")
 
 
-def append_history(df: DataFrame, path: str) -> None:
-    """Add rows to a consolidated history without rewriting it; it is created when absent."""
-    df.write.mode("append").parquet(path)
+def append_history(df: DataFrame, path: str, part: str) -> None:
+    """Add rows to a consolidated history without rewriting it; it is created when absent. A part (the day, say) owns
+    its folder, so adding it again replaces it."""
+    df.write.mode("overwrite").parquet(f"{path}/part={part}")
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """A history whose appended frames had differing columns."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A history whose parts had differing columns; a column that a part lacks is NULL there. The schema is given, so
+    no footer is read for it."""
+    whole = T.StructType([*schema.fields, T.StructField("part", T.StringType())])
+    return spark.read.schema(whole).parquet(path).drop("part")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
+class Stored(NamedTuple):
+    """A written model and the least value of its first sort column (NULL if it is empty)."""
+
+    table: DataFrame
+    first: object
+
+
 def materialise(df: DataFrame, path: str, order: Sequence[str] = ("dates", "department")) -> DataFrame:
     """Write a model as a dataset sorted by `order` and return the written table.
 
     One shuffle by the first sort column; Spark cuts a hot value into several files and each file is
     sorted, so readers skip row groups by that column.
     """
-    df.hint("rebalance", order[0]).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return store(df, path, order).table
+
+
+def store(df: DataFrame, path: str, order: Sequence[str] = ("dates", "department")) -> Stored:
+    """`materialise`, with the least value of the first column noted while it is written."""
+    seen = Observation()
+    noted = df.observe(seen, F.min(order[0]).alias("first"))
+    noted.hint("rebalance", order[0]).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    return Stored(df.sparkSession.read.schema(df.schema).parquet(path), seen.get["first"])
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:

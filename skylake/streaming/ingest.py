@@ -6,8 +6,9 @@ done, so a restart after a lost driver or executor neither skips nor repeats one
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,22 +16,36 @@ from skylake import schemas
 from skylake.sources import archive, landing
 
 
+def _start(spark: SparkSession, rows: DataFrame, checkpoint: str, load) -> StreamingQuery:
+    """Run `load(batch, part)` on every micro-batch. `part` names the batch for good: the id that Spark keeps in the
+    checkpoint, and the number. A batch that is run again after a failure has the same name, one of another stream
+    or of a new checkpoint never has."""
+    name = f"skylake-{uuid.uuid4().hex}"
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        query = next(q for q in spark.streams.active if q.name == name)
+        load(batch, f"{query.id}-{batch_id}")
+
+    return rows.writeStream.queryName(name).foreachBatch(run).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start()
+
+
 def ingest_envelopes(
     spark: SparkSession, source: str, target: str, checkpoint: str, max_files: int = 10_000,
-    suffix: str | None = ".jsonl",
+    suffix: str | None = ".jsonl", rejects: str | None = None,
 ) -> StreamingQuery:
-    """New landed JSON lines below `source` to day rows in the Parquet dataset `target`."""
-    lines = (
-        spark.readStream.schema(schemas.with_corrupt(schemas.ENVELOPE))
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT).option("pathGlobFilter", f"*{suffix or ''}")
-        .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).json(source)
-    )
-    good = lines.where(F.col(schemas.CORRUPT).isNull()).drop(schemas.CORRUPT)
-    return (
-        landing.to_warehouse_form(landing.flatten_envelopes(good))
-        .writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+    """New landed JSON lines below `source` to day rows in the Parquet dataset `target`, bad lines with their file to
+    the dataset `rejects` (by default `target` with `-rejects`). A batch owns a folder in each."""
+    lines = landing.text_lines(spark.readStream.option("maxFilesPerTrigger", max_files), source, suffix)
+    aside = rejects or f"{target.rstrip('/')}-rejects"
+
+    def load(batch: DataFrame, part: str) -> None:
+        scan = landing.Scan(batch, schemas.ENVELOPE)
+        scan.rejects().write.mode("overwrite").parquet(f"{aside}/part={part}")
+        days = landing.to_warehouse_form(landing.flatten_envelopes(scan.good))
+        days.write.mode("overwrite").parquet(f"{target}/part={part}")
+
+    return _start(spark, lines, checkpoint, load)
 
 
 def archive_daily(
@@ -39,14 +54,9 @@ def archive_daily(
 ) -> StreamingQuery:
     """New mart files below `source`, which carry an `extraction_date` column, to the archive.
 
-    A micro-batch owns its folders, so a batch that is run again after a failure overwrites itself;
+    A micro-batch owns its folders, so a batch that is run again after a failure overwrites itself and nothing else;
     a day delivered twice is resolved by the latest-version read.
     """
     dated = T.StructType([*schema.fields, T.StructField("extraction_date", T.DateType())])
     arrivals = spark.readStream.schema(dated).option("maxFilesPerTrigger", max_files).parquet(source)
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        archive.append_dated(batch, root, f"batch-{batch_id}")
-
-    return arrivals.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint) \
-        .trigger(availableNow=True).start()
+    return _start(spark, arrivals, checkpoint, lambda batch, part: archive.append_dated(batch, root, part))

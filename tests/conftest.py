@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from skylake.session import build_session  # noqa: E402
+from skylake.session import build_session, remove_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_scratch(session)
     session.stop()
 
 

@@ -3,7 +3,6 @@ import random
 import struct
 import sys
 import unicodedata
-from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,10 +22,16 @@ def test_round_half_even(spark, value, digits, expected):
     assert one(spark, numeric.round_half_even(F.lit(value).cast("double"), digits)) == expected
 
 
-def test_exact_avg_is_exact_in_any_order(spark):
+@pytest.mark.parametrize("kind", ["thousandths", "tiny", "large", "fifteen digits", "mixed"])
+def test_exact_avg_is_exact_in_any_order(spark, kind):
     rng = random.Random(1)
-    values = [rng.randint(-(10**9), 10**9) / 1000 for _ in range(2000)]
-    expected = float(sum(Fraction(round(v * 10**6), 10**6) for v in values)) / len(values)
+    make = {
+        "thousandths": lambda: rng.randint(-(10**9), 10**9) / 1000, "tiny": lambda: rng.choice([1e-7, 3e-7, -2e-9]),
+        "large": lambda: rng.choice([1e13, -3e13, 9.9e14]) + rng.random(), "fifteen digits": lambda: rng.uniform(-1, 1),
+        "mixed": lambda: rng.uniform(-1, 1) * 10 ** rng.randint(-12, 14),
+    }[kind]
+    values = [make() for _ in range(2000)]
+    expected = math.fsum(values) / len(values)
     for parts in (1, 3, 7):
         rng.shuffle(values)
         df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
@@ -34,6 +39,14 @@ def test_exact_avg_is_exact_in_any_order(spark):
         assert len({df.repartition(p).agg(numeric.exact_avg("v")).first()[0] for p in (1, 2, 5)}) == 1
 
 
+@pytest.mark.parametrize("values, expected", [
+    ([1e-7, 3e-7], 2e-7), ([1e-30, 3e-30], 2e-30), ([1e300, 1e300, 1.0], 2e300 / 3), ([math.inf, 1.0], math.inf), ([2.0**50, 2.0], 2.0**49 + 1),
+    ([-math.inf, -math.inf], -math.inf), ([-0.5, -1.5], -1.0), ([0.1], 0.1), ([1e13, 1e-7], (1e13 + 1e-7) / 2)])
+def test_no_value_is_cut(spark, values, expected):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert df.agg(numeric.exact_avg("v")).first()[0] == pytest.approx(expected, rel=1e-15)
+
+
 def test_exact_avg_missing_values(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", math.nan), ("a", 2.0), ("b", None)], "k string, v double")
     assert dict(df.groupBy("k").agg(numeric.exact_avg("v")).collect()) == {"a": 1.5, "b": None}
@@ -128,6 +141,23 @@ GEOMETRIES = {
                      "MULTIPOLYGON (((0 0, 1 0, 1 1.5, 0 0)), ((5 0, 6 0, 6 1.5, 5 0)))", None),
     "multipoint": (struct.pack("<BII", 1, 4, 1) + struct.pack("<BI2d", 1, 1, 1, 2), "MULTIPOINT ((1 2))",
                    '{"type": "MultiPoint", "coordinates": [[1.0, 2.0]]}'),
+    "point z": (struct.pack("<BI3d", 1, 1001, 1, 2, 3), "POINT Z (1 2 3)", '{"type": "Point", "coordinates": [1.0, 2.0, 3.0]}'),
+    "point m": (struct.pack("<BI3d", 1, 0x40000001, 1, 2, 3), "POINT M (1 2 3)", '{"type": "Point", "coordinates": [1.0, 2.0]}'),
+    "point zm with srid": (struct.pack("<BII4d", 1, 0xE0000001, 4326, 1, 2, 3, 4), "POINT ZM (1 2 3 4)",
+                           '{"type": "Point", "coordinates": [1.0, 2.0, 3.0]}'),
+    "empty point": (struct.pack("<BI2d", 1, 1, math.nan, math.nan), "POINT EMPTY", '{"type": "Point", "coordinates": []}'),
+    "empty line": (struct.pack("<BII", 1, 2, 0), "LINESTRING EMPTY", '{"type": "LineString", "coordinates": []}'),
+    "collection": (struct.pack("<BII", 1, 7, 2) + struct.pack("<BI2d", 1, 1, 1, 2) + struct.pack("<BII4d", 1, 2, 2, 0, 1, 2, 3),
+                   "GEOMETRYCOLLECTION (POINT (1 2), LINESTRING (0 1, 2 3))",
+                   '{"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [1.0, 2.0]}, '
+                   '{"type": "LineString", "coordinates": [[0.0, 1.0], [2.0, 3.0]]}]}'),
+    "multi line z": (struct.pack("<BII", 1, 1005, 1) + struct.pack("<BII6d", 1, 1002, 2, 0, 1, 5, 2, 3, 5), "MULTILINESTRING Z ((0 1 5, 2 3 5))", None),
+    "multipoint with empty": (struct.pack("<BII", 1, 4, 2) + struct.pack("<BI2d", 1, 1, math.nan, math.nan) + struct.pack("<BI2d", 1, 1, 1, 2),
+                              "MULTIPOINT (EMPTY, (1 2))", '{"type": "MultiPoint", "coordinates": [[], [1.0, 2.0]]}'),
+    "infinite": (struct.pack("<BI2d", 1, 1, math.inf, 1), None, None),
+    "nan in a line": (struct.pack("<BII4d", 1, 2, 2, 0, 1, math.nan, 3), None, None),
+    "deep": (struct.pack("<BII", 1, 7, 1) * 3000 + struct.pack("<BI2d", 1, 1, 1, 2), None, None),
+    "wrong part": (struct.pack("<BII", 1, 4, 1) + struct.pack("<BII4d", 1, 2, 2, 0, 1, 2, 3), None, None),
     "truncated": (b"\x01\x01\x00\x00\x00\x00", None, None),
     "trailing": (struct.pack("<BI2d", 1, 1, 2.5, 48.0) + b"x", None, None),
     "unknown type": (struct.pack("<BI", 1, 99), None, None),

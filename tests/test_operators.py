@@ -37,6 +37,32 @@ def test_spread_join_equals_plain_join(spark, hot_fact, how):
     assert rows(lookup.lookup_join(hot_fact, table_of_keys(spark), "k", how, small=False).select("k", "v", "x")) == expected
 
 
+def test_only_hot_keys_are_copied(spark, hot_fact):
+    assert [r["__hot"] for r in lookup.hot_keys(hot_fact, F.col("k"), 0.1).collect()] == ["hot"]
+    big = spark.range(5000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("x"))
+    few = spark.range(0, 5000, 1, 4).select(F.col("id").cast("string").alias("k"))
+    assert lookup.spread_join(few, big, "k").count() == 5000
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+@pytest.mark.parametrize("small", [True, False])
+def test_semi_and_anti_joins(spark, hot_fact, how, small):
+    expected = rows(hot_fact.join(table_of_keys(spark), "k", how))
+    assert rows(lookup.lookup_join(hot_fact, table_of_keys(spark), "k", how, small=small)) == expected
+
+
+@pytest.mark.parametrize("how", ["right", "full", "outer", "cross"])
+def test_joins_that_keep_lookup_rows_are_refused(spark, hot_fact, how):
+    with pytest.raises(ValueError, match="how must be"):
+        lookup.lookup_join(hot_fact, table_of_keys(spark), "k", how)
+
+
+def test_rows_without_a_key_are_dealt_out(spark):
+    fact = spark.range(0, 3000, 1, 3).select(F.when(F.col("id") % 3 == 0, F.lit("k1")).alias("k"), F.col("id").alias("v"))
+    got = lookup.spread_join(fact, table_of_keys(spark), "k", "left")
+    assert rows(got.select("k", "v", "x")) == rows(fact.join(table_of_keys(spark), "k", "left").select("k", "v", "x"))
+
+
 def test_small_lookup_is_broadcast_and_large_is_not(spark, hot_fact, plan):
     big = spark.range(20).select(F.col("id").cast("string").alias("k"), F.repeat(F.lit("x"), 1000).alias("text"))
     assert lookup.fits_in_broadcast(big)
@@ -143,6 +169,33 @@ def test_near_pairs_property(spark, left, right):
     assert near(spark, left, right) == brute(left, right)
 
 
+@pytest.mark.parametrize("length", [62, 63, 64, 65, 66, 67, 130])
+def test_near_pairs_of_long_names(spark, length):
+    """Around the length at which names are met by halves."""
+    rng = random.Random(length)
+    base = "".join(rng.choice("ab") for _ in range(length))
+    names = {base, base[1:], base[:-1], base + "a", "b" + base, base[:30] + "x" + base[31:], base[:30] + base[31:], base[:30] + "x" + base[30:],
+             base[:-1] + "x", "x" + base[1:], "x" + base[1:-1] + "y", base[:10] + base[12:], base[length // 2:], base[:length // 2]}
+    names |= {base[:i] + "z" + base[i + 1:] for i in range(length // 2 - 2, length // 2 + 3)}
+    assert near(spark, names, names) == brute(names, names)
+
+
+def test_very_long_names_take_little_time(spark):
+    import time
+
+    name = "ab" * 10_000
+    near(spark, [name], ["x"])
+    start = time.time()
+    assert near(spark, [name, name + "c"], [name[:-1]]) == [(name, name[:-1], 1)]
+    assert time.time() - start < 10  # most of it starts jobs
+
+
+def test_probes_beyond_the_bound_are_shuffled(spark, monkeypatch, plan):
+    monkeypatch.setattr(lookup, "MAX_ROWS", 0)
+    names = ["aude", "aube", "loire", "", "audé"]
+    assert near(spark, names, names) == brute(names, names)
+
+
 def test_near_pairs_is_an_equi_join(spark, plan):
     words = spark.createDataFrame([("aude",), ("aube",)], "a string")
     text = plan(fuzzy.near_pairs(words, words.withColumnRenamed("a", "b"), "a", "b"))
@@ -174,6 +227,14 @@ def test_top_k(spark, plan):
     assert "TakeOrderedAndProject" in plan(top_k(df, "v", ascending=True))
 
 
+def test_rows_are_numbered_with_one_shuffle(spark):
+    df = spark.range(0, 1000, 1, 5).select((F.col("id") * 7919 % 10007).alias("o"))
+    ordered = sorted(r.o for r in df.collect())
+    numbered = chunks.number_rows(df, ["o"])
+    assert sorted((r.position, r.o) for r in numbered.collect()) == list(enumerate(ordered, 1))
+    assert "Window" not in numbered.select("o", "position").drop("position")._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("n, size", [(1, 5), (23, 5), (20, 5), (7, 1), (5, 100)])
 def test_chunks(spark, n, size):
     df = spark.range(n).select(((F.col("id") * 7919) % 10007).alias("o"), F.concat(F.lit("n"), "id").alias("name")).repartition(3)
@@ -204,3 +265,12 @@ def test_quality_checks(spark):
     quality.require_columns(df, ["id", "t"])
     with pytest.raises(ValueError):
         quality.require_columns(df, ["t", "id"])
+    assert rows(quality.column_mismatches(df, ["id", "x", "y"])) == [(1, "t", "x"), (2, None, "y")]
+    assert quality.column_mismatches(df, ["id", "t"]).count() == 0
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0, 1), (float("nan"), 2), (None, 3), (2.0, 4)], "v double, n int")
+    assert rows(quality.completeness(df)) == [("n", 1.0), ("v", 0.5)]
+    assert rows(quality.columns_with_nulls(df.where("n = 2"))) == [("n", False), ("v", True)]
+    assert sorted(r.n for r in quality.missing(df, "v").collect()) == [2, 3]

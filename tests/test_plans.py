@@ -1,4 +1,5 @@
 import datetime
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from skylake import schemas
 from skylake.operators import lookup
 from skylake.plans import dimension, marts, serving, staging, views
+from skylake.sources import tables
 
 NAMES = [("Aude", "AUDE", "11", "Occitanie"), ("Aube", "AUBE", "10", "Grand Est"), ("Val-d'Oise", "VAL D OISE", "95", None),
          ("Corse-du-Sud", "CORSE DU SUD", "2A", "Corse"), ("Haute Corse", "HAUTE CORSE", "2B", "Corse")]
@@ -96,6 +98,21 @@ def test_mart_pass_has_no_shuffle(spark, depcode, plan):
     assert "NestedLoop" not in text and "Cartesian" not in text and "BatchEvalPython" not in text
 
 
+def test_reports_and_served_queries_read_the_stored_mart_once(spark, depcode, tmp_path, plan):
+    mart, first = tables.store(marts.mart_newdata_(*models_(spark, depcode)), str(tmp_path / "mart"))
+    assert first == datetime.date(2025, 1, 1)
+    served = [views.mart_today(mart, first), views.mart_next_3_days(mart, first), serving.get_temp_data(mart, "Aude"),
+              views.leaderboard("dep_3d_top3_temperature", views.mart_next_3_days(mart, first)),
+              serving.get_stats(views.mart_today(mart, first), views.mart_next_3_days(mart, first), "region")]
+    for df in served:
+        scans = re.findall(r"FileScan parquet .*?Location: [^\[]*\[[^\]]*/([^/\]]*)\]", plan(df).split("Initial Plan")[0])
+        assert scans == ["mart"], scans
+    assert "PushedFilters: [IsNotNull(department), EqualTo(department,Aude)]" in plan(serving.get_temp_data(mart, "Aude"))
+    assert [r.department for r in views.mart_today(mart, first).collect()] == ["Aude"]
+    empty = tables.store(mart.where("false"), str(tmp_path / "empty"))
+    assert empty.first is None and views.mart_today(*empty).count() == 0
+
+
 def test_views_and_leaderboards(spark, depcode, plan):
     mart = marts.mart_newdata_(*models_(spark, depcode))
     today, following = views.mart_today(mart), views.mart_next_3_days(mart)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skylake import schemas
-from skylake.session import shared_dir
+from skylake.session import fresh_path, shared_dir
 from skylake.sources import archive, files, landing, tables
 from skylake.streaming import ingest
 
@@ -88,20 +88,50 @@ def test_envelopes_set_bad_lines_aside(spark, tmp_path):
     assert scan.rejects().count() == 2
 
 
+BAD = ['{"_airbyte_raw_id": "k2", "_airb', '{"_airbyte_raw_id": "k3", "_airbyte_data": {"latitude": "north"}}', "[1, 2]", "null", "7", "text",
+       '{"_airbyte_raw_id": "k4", "_airbyte_data": {"days": [{"temp": {}}]}}']
+FEW = ["", "   ", {"unknown": 1}, {"_airbyte_raw_id": "k5", "_airbyte_data": None}]
+
+
+def test_each_line_is_on_one_side(spark, tmp_path):
+    """Whatever columns are read."""
+    write_lines(tmp_path / "in", [envelope("k1", "Aude, France", [day("2025-01-01")]), *BAD, *FEW])
+    scan = landing.scan_envelopes(spark, str(tmp_path / "in"))
+    assert sorted(r.record for r in scan.rejects().collect()) == sorted(BAD)
+    assert scan.good.count() == 3
+    assert rows(scan.good.select("_airbyte_raw_id")) == [("k1",), ("k5",), (None,)]
+    assert scan.good.select("_airbyte_data.latitude").collect() == scan.good.select(F.col("_airbyte_data")["latitude"]).collect()
+
+
 def test_compaction_then_delete(spark, tmp_path):
     landed, raw, staged = (str(tmp_path / x) for x in ("landed", "raw", "staged"))
     write_lines(landed, [envelope("k1", "Aude", [day("2025-01-01"), day("2025-01-02")])])
     write_lines(landed, [envelope("k2", "Gard", [day("2025-01-01")])])
+    write_lines(landed, BAD)
     for _ in range(2):
-        tables.compact_envelopes(spark, landed, raw, staged, "2025-01-05")
+        assert tables.compact_envelopes(spark, landed, raw, staged, "2025-01-05") == (2, len(BAD))
     tables.compact_envelopes(spark, landed, raw, staged, "2025-01-06")
+    aside = spark.read.parquet(tables.rejects_path(raw, "2025-01-05"))
+    assert sorted(r.record for r in aside.collect()) == sorted(BAD)
     assert files.read_parquet(spark, staged).count() == 3
     stored = spark.read.parquet(raw)
     assert rows(stored.groupBy("extraction_date").count()) == [
         (datetime.date(2025, 1, 5), 3), (datetime.date(2025, 1, 6), 3)]
-    assert rows(files.list_files(spark, landed, ".jsonl").select("name")) == [("0.jsonl",), ("1.jsonl",)]
-    assert tables.delete_files(spark, landed, ".jsonl") == 2
+    assert rows(files.list_files(spark, landed, ".jsonl").select("name")) == [("0.jsonl",), ("1.jsonl",), ("2.jsonl",)]
+    assert tables.delete_files(spark, landed, ".jsonl") == 3
     assert [f for f in os.listdir(landed) if f.endswith(".jsonl")] == []
+    write_lines(landed, [envelope("k1", "Aude", [day("2025-01-01")])])
+    tables.compact_envelopes(spark, landed, raw, staged, "2025-01-07", delete_source=True)
+    assert [f for f in os.listdir(landed) if f.endswith(".jsonl")] == []
+    assert tables.delete_files(spark, staged) >= 1 and not os.path.exists(staged)
+
+
+def test_only_bad_lines_are_an_error_and_are_kept(spark, tmp_path):
+    landed, raw, staged = (str(tmp_path / x) for x in ("landed", "raw", "staged"))
+    write_lines(landed, BAD)
+    with pytest.raises(ValueError, match="empty"):
+        tables.compact_envelopes(spark, landed, raw, staged, "2025-01-05", delete_source=True)
+    assert os.listdir(landed) and spark.read.parquet(tables.rejects_path(raw, "2025-01-05")).count() == len(BAD)
 
 
 def test_empty_input_is_an_error(spark, tmp_path):
@@ -130,11 +160,32 @@ def test_refresh_append_merge(spark):
     tables.load_table(swapped, "t_daily")
     assert rows(spark.table("t_daily")) == [(1, "a"), (1, "a")]
     tables.load_table(swapped, "t_daily", refresh=True)
-    tables.merge_daily_data(spark, "t_daily", "t_target")
+    for _ in range(2):
+        tables.merge_daily_data(spark, "t_daily", "t_target")
     assert rows(spark.table("t_target")) == [(1, "a")]
     assert rows(tables.run_query(spark, "select name from t_target where id = :id", {"id": 1})) == [("a",)]
 
 
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_refresh_of_a_partitioned_table_leaves_only_new_rows(spark, tmp_path, mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        schema = spark.createDataFrame([], "id int, v int, part string").schema
+        name = f"t_parted_{mode}"
+        tables.create_if_absent(spark, name, schema, f"{tmp_path}/it's here", partition_by=["part"], sort_by=["v", "id"])
+        assert tables.sort_key(spark, name) == ["v", "id"]
+        tables.load_table(spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], schema), name)
+        many = spark.range(2000).selectExpr("cast(id as int) id", "cast(-id as int) v", "'a' part")
+        tables.load_table(many, name, refresh=True)
+        assert spark.table(name).count() == 2000 and spark.table(name).where("part = 'b'").count() == 0
+        for file in files.list_files(spark, f"{tmp_path}/it's here/part=a", ".parquet").collect():
+            values = [r.v for r in spark.read.parquet(file.path).collect()]
+            assert values == sorted(values)
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
 def test_csv_codes_stay_text(spark, tmp_path):
     names = [("Ain", "01"), ("Corse-du-Sud", "2A"), ("Guyane", "973")]
     source = tmp_path / "csv"
@@ -150,9 +201,11 @@ def test_csv_codes_stay_text(spark, tmp_path):
 
 def test_history_with_differing_columns(spark, tmp_path):
     path = str(tmp_path / "h")
-    tables.append_history(spark.createDataFrame([(1, "a")], "id int, t string"), path)
-    tables.append_history(spark.createDataFrame([(2, 0.5)], "id int, v double"), path)
-    assert rows(tables.read_history(spark, path).select("id", "t", "v")) == [(1, "a", None), (2, None, 0.5)]
+    for _ in range(2):
+        tables.append_history(spark.createDataFrame([(1, "a")], "id int, t string"), path, "2025-01-01")
+    tables.append_history(spark.createDataFrame([(2, 0.5)], "id int, v double"), path, "2025-01-02")
+    schema = spark.createDataFrame([], "id int, t string, v double").schema
+    assert rows(tables.read_history(spark, path, schema)) == [(1, "a", None), (2, None, 0.5)]
 
 
 def test_concat_and_file_dates(spark):
@@ -164,7 +217,7 @@ def test_concat_and_file_dates(spark):
 
 def mart(spark, entries):
     names = schemas.MART_NEWDATA.fieldNames()
-    given = [dict(zip(("record_id", "dates", "department", "dep_code", "temp"), e)) for e in entries]
+    given = [dict(zip(("record_id", "dates", "department", "dep_code", "temp", "dep_distance"), e)) for e in entries]
     data = [tuple(datetime.date.fromisoformat(g[n]) if n == "dates" else g.get(n) for n in names) for g in given]
     return spark.createDataFrame(data, schemas.MART_NEWDATA)
 
@@ -189,6 +242,33 @@ def test_archive_loads_are_idempotent(spark, tmp_path):
     assert archive.read_archive(spark, str(tmp_path / "compact")).count() == 3
 
 
+def test_the_closest_department_of_an_observation_is_archived(spark, tmp_path):
+    """Aube (10) is one edit from Aude (11) and has the lower code."""
+    entries = [("r1", "2025-01-30", "Aude", "10", 1.0, 1), ("r1", "2025-01-30", "Aude", "11", 1.0, 0), ("r1", "2025-01-30", "Aude", "09", 1.0, None),
+               ("r2", "2025-01-31", "Aude", "10", 2.0, 1), ("r1", "2025-01-31", "Aude", "11", 1.0, 0)]
+    got = archive.latest(mart(spark, entries)).select("dates", "record_id", "dep_code")
+    assert rows(got) == [(datetime.date(2025, 1, 30), "r1", "11"), (datetime.date(2025, 1, 31), "r2", "10")]
+
+
+def test_archived_data_takes_the_newest_of_both(spark):
+    old = mart(spark, DAY1).withColumn("extraction_date", F.lit("2025-01-30").cast("date"))
+    new = mart(spark, DAY2).withColumn("extraction_date", F.lit("2025-01-31").cast("date"))
+    got = archive.archived_data(old, new).select(*SHOWN, "yyyymm")
+    assert rows(got.select("record_id", "yyyymm")) == [("r1", "202501"), ("r2", "202502"), ("r8", "202502"), ("r9", "202501")]
+
+
+def test_months_are_filtered_before_versions(spark, tmp_path, plan):
+    root = str(tmp_path / "archive")
+    for entries, date in ((DAY1, "2025-01-30"), (DAY2, "2025-01-31")):
+        archive.append_batch(mart(spark, entries), root, date)
+    found = archive.latest_between(archive.read_archive(spark, root), "2025-01-31", "2025-01-31")
+    assert rows(found.select("record_id", "temp")) == [("r9", 9.0)]
+    assert "PartitionFilters: [isnotnull(yyyymm" in plan(found)
+    archive.compact(archive.read_archive(spark, root), str(tmp_path / "served"))
+    region = archive.read_archive(spark, str(tmp_path / "served")).where("reg_name = 'X'")
+    assert "EqualTo(reg_name,X)" in plan(region)
+
+
 def test_archive_reads_only_the_months_asked_for(spark, tmp_path, plan):
     root = str(tmp_path / "archive")
     archive.append_batch(mart(spark, DAY1), root, "2025-01-30")
@@ -208,6 +288,18 @@ def test_stream_ingests_each_file_once(spark, tmp_path):
         ingest.ingest_envelopes(spark, landed, target, marks).awaitTermination()
     got = spark.read.schema(schemas.RAW_WEATHER).parquet(target)
     assert rows(got.groupBy("department", "preciptype").count()) == [("Aude", '["rain"]', 1), ("Gard", '["rain"]', 2)]
+    aside = spark.read.parquet(f"{target}-rejects")
+    assert [(r.record, r.file_path.endswith("0.jsonl")) for r in aside.collect()] == [("broken", True)]
+
+
+def test_streams_do_not_erase_each_other(spark, tmp_path):
+    root = str(tmp_path / "archive")
+    for name, entries in (("a", DAY1[:1]), ("b", DAY1[1:])):
+        mart(spark, entries).withColumn("extraction_date", F.lit("2025-01-30").cast("date")).write.parquet(str(tmp_path / name))
+        ingest.archive_daily(spark, str(tmp_path / name), root, str(tmp_path / f"marks-{name}")).awaitTermination()
+    assert archive.read_archive(spark, root).count() == 3
+    ingest.archive_daily(spark, str(tmp_path / "a"), root, str(tmp_path / "marks-new")).awaitTermination()
+    assert archive.latest(archive.read_archive(spark, root)).count() == 3
 
 
 def test_archive_stream_keeps_all_files_of_a_day(spark, tmp_path):
@@ -223,3 +315,19 @@ def test_archive_stream_keeps_all_files_of_a_day(spark, tmp_path):
 
 def test_intermediate_tables_go_to_the_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert fresh_path(spark, "x").startswith(f"{shared_dir(spark)}/skylake/{spark.sparkContext.applicationId}/x-")
+
+
+class Cluster:
+    """What `shared_dir` asks of a session."""
+
+    def __init__(self, master, folder):
+        self.sparkContext = type("C", (), {"master": master, "applicationId": "a"})
+        self.conf = type("F", (), {"get": staticmethod(lambda *_: folder)})
+
+
+@pytest.mark.parametrize("folder", [None, "file:/tmp/x"])
+def test_a_cluster_needs_a_shared_folder(folder):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster("yarn", folder))
+    assert shared_dir(Cluster("yarn", "hdfs://x/")) == "hdfs://x"

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylake.sources.files import spread
-
 DEPCODE = """
-select cast(null as string) as geo_point_2d, cast(null as string) as geo_shape, r_name as reg_name,
+select concat('POINT (', cast(n as string), ' ', cast(n + 40 as string), ')') as geo_point_2d,
+  concat(chr(123), '"type": "Point", "coordinates": [', cast(n as string), '.0, ', cast(n + 40 as string), '.0]', chr(125)) as geo_shape,
+  r_name as reg_name,
   cast(r_regionkey as string) as reg_code, dep_name as dep_name_upper, cast(n as string) as dep_current_code,
   case when n % 4 = 0 then null else 'rural' end as dep_status,
   case when n = 23 then 'Corse-du-Sud' when n = 24 then 'Haute Corse'
@@ -96,7 +96,7 @@ def raw_weather_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension is broadcast: `nation` has 25 rows at every scale. Without the hint Spark
     broadcasts `events` where that file is the smaller one."""
     text = WEATHER_.replace("{k}", SPARK_K)
-    events, depcode = spread(table(spark, sf_dir, "events")), F.broadcast(raw_depcode_(spark, sf_dir))
+    events, depcode = table(spark, sf_dir, "events"), F.broadcast(raw_depcode_(spark, sf_dir))
     return spark.sql(text, events=events, depcode=depcode)
 
 

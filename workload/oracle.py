@@ -9,7 +9,9 @@ import re
 
 from skylake import schemas
 from workload import inputs
-from workload.queries import DATE, DEPARTMENT, DOCUMENT_EVENTS, EXTRACTION, HISTORY_END, REGION
+from workload.queries import (
+    DATE, DEPARTMENT, DOCUMENT_EVENTS, EXTRACTED, EXTRACTED_BEFORE, EXTRACTION, HISTORY_SHIFT, REGION,
+)
 
 
 def rnd(digits: int, x: str) -> str:
@@ -17,7 +19,8 @@ def rnd(digits: int, x: str) -> str:
 
 
 def avg(x: str, over: str = "") -> str:
-    return f"cast(sum(cast({x} as decimal(18,6))) {over} as double) / count({x}) {over}"
+    """A plain average, summed without loss of small parts."""
+    return f"fsum({x}) {over} / count({x}) {over}"
 
 
 def plain(x: str) -> str:
@@ -145,8 +148,16 @@ CTES["mart_next_3_days_stats"] = "select reg_name, department, " + ", ".join(
     f"{m}, {_over(m, 'department', f'depavg_{_c(m)}')}, {_over(m, 'reg_name', f'regavg_{_c(m)}')}" for m in MEASURES
 ) + " from mart_next_3_days"
 
-CTES["archive"] = """select * exclude (rn) from (select *, row_number() over (
-  partition by dates, department order by record_id desc, dep_code) as rn from mart_newdata) t where rn = 1"""
+# Of each day and department: the latest extraction, of that the observation with the highest id, and of that
+# observation the department whose name is closest.
+_NEWEST = "record_id desc, dep_distance asc nulls last, dep_code"
+CTES["archive"] = f"""select * exclude (rn) from (select *, row_number() over (
+  partition by dates, department order by {_NEWEST}) as rn from mart_newdata) t where rn = 1"""
+CTES["versions"] = f"""select *, strftime(dates, '%Y%m') as yyyymm from (
+  select * replace (cast(dates - {HISTORY_SHIFT} as date) as dates, temp - 1.0e0 as temp), date '{EXTRACTED_BEFORE}' as extraction_date
+  from mart_newdata union all by name select *, date '{EXTRACTED}' as extraction_date from mart_newdata) t"""
+CTES["newest"] = f"""select * exclude (rn) from (select *, row_number() over (
+  partition by dates, department order by extraction_date desc, {_NEWEST}) as rn from versions) t where rn = 1"""
 
 _DAYS = ", ".join(c for c in schemas.LANDED_COLUMNS if c not in ("_airbyte_ab_id", "preciptype", "stations", "department"))
 _LISTED = """case when preciptype is not null and uvindex < 3 then '["rain","snow"]'
@@ -210,18 +221,16 @@ SQL["daily_build"] = f"""select reg_name, {rnd(2, avg("regavg_humidity"))} as re
   count(distinct department) as n_departments, count(*) as n_records from mart_next_3_days_stats group by reg_name
   order by regavg_humidity desc nulls last, reg_name limit 3"""
 
-_CUT = f"cast('{HISTORY_END}' as date)"
-SQL["archived_data"] = f"""select * from mart_newdata where dates < {_CUT} union all
-  select * from mart_newdata where dates >= {_CUT}"""
+SQL["archived_data"] = "select * from newest"
 SQL["archive_latest"] = "select * from archive"
 SQL["archive_append_twice"] = "select * from mart_newdata"
-SQL["archive_by_month"] = f"""select strftime(dates, '%Y%m') as yyyymm, count(*) as n_records,
-  {rnd(3, avg("temp"))} as avg_temp from mart_newdata group by 1"""
-SQL["archive_date_range"] = """select dates, department, record_id, temp from archive
-  where dates between date '2024-01-10' and date '2024-01-20'"""
+SQL["archive_by_month"] = f"""select yyyymm, count(*) as n_records, {rnd(3, avg("temp"))} as avg_temp from versions group by yyyymm"""
+SQL["archive_date_range"] = """select dates, department, dep_code, record_id, temp, extraction_date, yyyymm from newest
+  where dates between date '2023-12-20' and date '2024-01-10'"""
 SQL["archive_stream"] = \
-    "select * replace (temp + 1.0e0 as temp), date '2024-02-02' as extraction_date from archive"
-SQL["archive_compacted"] = "select *, date '2024-02-02' as extraction_date from archive"
+    f"select * replace (temp + 1.0e0 as temp), date '{EXTRACTED}' as extraction_date from archive"
+SQL["archive_two_streams"] = f"select distinct *, date '{EXTRACTED}' as extraction_date from mart_newdata"
+SQL["archive_compacted"] = "select * from newest"
 
 _OF_DEPARTMENT = f"department = '{DEPARTMENT}'"
 SQL["get_data"] = "select * from mart_newdata_"
@@ -341,9 +350,18 @@ SQL["flatten_payload"] = f"""select * replace (sha256(concat(resolvedAddress, '|
   {_LISTED} as preciptype, concat('["', icon, '"]') as stations) from raw_weather_"""
 SQL["extract_records"] = f"""select resolvedAddress, latitude, longitude, cast(count(*) as int) as n_days from raw_weather_
   group by datetimeEpoch // {DOCUMENT_EVENTS}, resolvedAddress, latitude, longitude"""
-_LINE = """concat('{"_airbyte_raw_id":"', id, '","_airbyte_data":{"latitude":')"""
-SQL["scan_rejects"] = f"""select case when preciptype is null then substr({_LINE}, 1, 30) else id end as record,
-  preciptype is not null as accepted from raw_weather_"""
+_QUOTED = """case when datetimeEpoch % 7 = 0 then '"north"' else format('{:.1f}', latitude) end"""
+_LINE = f"""concat('{{"_airbyte_raw_id":"', id, '","_airbyte_data":{{"latitude":', {_QUOTED},
+  ',"resolvedAddress":"X","days":[{{"datetime":"2024-01-01"}}]}}}}')"""
+_SIDES = f"""select case when preciptype is null then substr({_LINE}, 1, 30) when datetimeEpoch % 7 = 0 then {_LINE} else id end as record,
+  preciptype is not null and datetimeEpoch % 7 <> 0 as accepted from raw_weather_"""
+SQL["scan_rejects"] = SQL["stream_rejects"] = _SIDES
+SQL["compact_rejects"] = f"""select record, accepted, cast(count(*) filter (accepted) over () as int) as n_good,
+  cast(count(*) filter (not accepted) over () as int) as n_rejected, 0 as n_left from ({_SIDES}) t"""
+SQL["flatten_payload_multiline"] = SQL["flatten_payload"]
+SQL["list_by_suffix"] = "select distinct event_type from events"
+SQL["list_by_glob"] = "select distinct event_type from events where event_type between 'c' and 'pzzz'"
+SQL["catalog_tables"] = "select r_regionkey from region"
 SQL["concat_mixed_schema"] = \
     "select * replace (case when datetimeEpoch % 2 = 0 then preciptype end as preciptype) from raw_weather_"
 SQL["history_append"] = """select id, department, temp,
@@ -355,15 +373,21 @@ SQL["filename_dates"] = """select event_id, strftime(ts, 'france_weather_%Y-%m-%
   cast(ts as date) as file_date from events"""
 SQL["distinct_file_dates"] = \
     "select distinct strftime(ts, '%Y_%m_%d') as file_date from events where event_type <> 'error'"
-SQL["load_tables"] = "select * from raw_weather_"
+SQL["load_tables"] = """select * from raw_weather_ where datetimeEpoch % 2 = 0 and department like 'Nation-1%'
+  or datetimeEpoch % 2 = 1 and department like 'Nation-2%'"""
 SQL["merge_daily_data"] = "select id, department, temp from raw_weather_"
 SQL["materialise_mart"] = "select * from mart_newdata_"
 
 SQL["dq_unique"] = """select resolvedAddress, count(*) as n_records from raw_weather_ group by 1 having count(*) > 1"""
-SQL["dq_unique_id"] = "select id, count(*) as n_records from raw_weather_ group by 1 having count(*) > 1"
+SQL["dq_unique_id"] = "select id, 2 as n_records from raw_weather_ where id like '%7'"
 SQL["dq_not_null"] = "select id, department, datetime from raw_weather_ where snowdepth is null"
-SQL["dq_primary_key"] = """select preciptype, count(*) as n_records from raw_weather_ group by 1
-  having count(*) > 1 or preciptype is null"""
+SQL["dq_primary_key"] = """select resolvedAddress, count(*) as n_records from raw_weather_ group by 1
+  having count(*) > 1 or resolvedAddress is null"""
+_ICON, _END = schemas.RAW_COLUMNS.index("icon"), len(schemas.RAW_COLUMNS)
+SQL["dq_columns"] = f"""select * from (values ({_ICON}, 'pictogram', 'icon'), ({_END}, 'more', null)) t(position, found, expected)"""
+SQL["dq_completeness_nan"] = """select 'id' as column_name, 1.0e0 as ratio, false as has_null union all
+  select 'temp', count(*) filter (preciptype is null) / count(*), bool_or(preciptype is not null) from raw_weather_ union all
+  select 'preciptype', count(preciptype) / count(*), bool_or(preciptype is null) from raw_weather_"""
 SQL["dq_completeness"] = " union all ".join(
     f"select '{c}' as column_name, count({c}) / count(*) as ratio from raw_weather_" for c in schemas.RAW_COLUMNS)
 SQL["dq_null_columns"] = " union all ".join(

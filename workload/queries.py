@@ -27,7 +27,6 @@ DEPARTMENT = "Nation-5"
 REGION = "EUROPE"
 DATE = "2024-01-05"
 EXTRACTION = "2024-02-01"
-HISTORY_END = "2024-01-16"
 
 
 def query(fn: Query) -> Query:
@@ -92,14 +91,33 @@ def mart_newdata_(spark, sf):
     return marts.mart_newdata_(int_most_recent_weather_(spark, sf), int_depcode_(spark, sf))
 
 
+_STORED: dict[tuple[str, str, str], tables.Stored] = {}
+
+
+def stored(spark, sf, name: str) -> tables.Stored:
+    """A mart, built and written once per session and data folder; reports and served queries read it."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORED:
+        _STORED[key] = tables.store(QUERIES[name](spark, sf), fresh_path(spark, name))
+    return _STORED[key]
+
+
+def stored_mart_(spark, sf) -> DataFrame:
+    return stored(spark, sf, "mart_newdata_").table
+
+
+def stored_mart(spark, sf) -> DataFrame:
+    return stored(spark, sf, "mart_newdata").table
+
+
 @query
 def mart_today(spark, sf):
-    return views.mart_today(mart_newdata_(spark, sf))
+    return views.mart_today(*stored(spark, sf, "mart_newdata_"))
 
 
 @query
 def mart_next_3_days(spark, sf):
-    return views.mart_next_3_days(mart_newdata_(spark, sf))
+    return views.mart_next_3_days(*stored(spark, sf, "mart_newdata_"))
 
 
 @query
@@ -149,9 +167,10 @@ def landed_build(spark, sf):
     """All landed models built and published, then loaded into an archive and read back."""
     models = build.build_landed(
         inputs.raw_weather(spark, sf), inputs.raw_depcode(spark, sf), fresh_path(spark, "marts"))
-    root = fresh_path(spark, "archive")
+    root, served = fresh_path(spark, "archive"), fresh_path(spark, "archive")
     archive.append_batch(models["mart_newdata"], root, EXTRACTION)
-    return serving.get_entire_region_data(archive.latest(archive.read_archive(spark, root)), REGION)
+    archive.compact(archive.read_archive(spark, root), served)
+    return serving.get_entire_region_data(archive.read_archive(spark, served), REGION)
 
 
 @query
@@ -168,22 +187,44 @@ def conversions_in_sql(spark, sf):
 
 # --- archive --------------------------------------------------------------------------------------
 
+# The history was extracted a day before the new mart, and starts HISTORY_SHIFT days earlier: it reaches back into
+# the month before, and both hold the days in between.
+HISTORY_SHIFT = 16
+EXTRACTED_BEFORE = "2024-02-01"
+EXTRACTED = "2024-02-02"
+
+
+def _dated(mart: DataFrame, day: str) -> DataFrame:
+    return mart.withColumn("extraction_date", F.lit(day).cast("date"))
+
+
+def _history(mart: DataFrame) -> DataFrame:
+    return mart.withColumns({"dates": F.date_sub("dates", HISTORY_SHIFT), "temp": F.col("temp") - F.lit(1.0)})
+
+
+def _two_loads(spark, sf) -> str:
+    """An archive with the history and the new mart."""
+    root, mart = fresh_path(spark, "archive"), stored_mart(spark, sf)
+    archive.append_batch(_history(mart), root, EXTRACTED_BEFORE)
+    archive.append_batch(mart, root, EXTRACTED)
+    return root
+
+
 @query
 def archived_data(spark, sf):
-    mart = mart_newdata(spark, sf)
-    cut = F.lit(HISTORY_END).cast("date")
-    return archive.archived_data(mart.where(F.col("dates") < cut), mart.where(F.col("dates") >= cut))
+    mart = stored_mart(spark, sf)
+    return archive.archived_data(_dated(_history(mart), EXTRACTED_BEFORE), _dated(mart, EXTRACTED))
 
 
 @query
 def archive_latest(spark, sf):
-    return archive.latest(mart_newdata(spark, sf))
+    return archive.latest(stored_mart(spark, sf))
 
 
 @query
 def archive_append_twice(spark, sf):
     root = fresh_path(spark, "archive")
-    mart = mart_newdata(spark, sf)
+    mart = stored_mart(spark, sf)
     for _ in range(2):
         archive.append_batch(mart, root, EXTRACTION)
     return archive.read_archive(spark, root).drop("extraction_date", "yyyymm")
@@ -191,98 +232,116 @@ def archive_append_twice(spark, sf):
 
 @query
 def archive_by_month(spark, sf):
-    root = fresh_path(spark, "archive")
-    archive.append_batch(mart_newdata(spark, sf), root, EXTRACTION)
-    months = archive.read_archive(spark, root).groupBy("yyyymm")
+    months = archive.read_archive(spark, _two_loads(spark, sf)).groupBy("yyyymm")
     return months.agg(F.count(F.lit(1)).alias("n_records"), numeric.rounded_avg("temp", 3).alias("avg_temp"))
 
 
 @query
 def archive_date_range(spark, sf):
-    root = fresh_path(spark, "archive")
-    archive.append_batch(mart_newdata(spark, sf), root, EXTRACTION)
-    stored = archive.latest(archive.read_archive(spark, root))
-    return archive.between_dates(stored, "2024-01-10", "2024-01-20").select("dates", "department", "record_id", "temp")
+    found = archive.latest_between(archive.read_archive(spark, _two_loads(spark, sf)), "2023-12-20", "2024-01-10")
+    return found.select("dates", "department", "dep_code", "record_id", "temp", "extraction_date", "yyyymm")
 
 
 @query
 def archive_stream(spark, sf):
     """Two daily deliveries through the stream; the second replaces the first for every key."""
     drop, root, marks = (fresh_path(spark, x) for x in ("drop", "archive", "marks"))
-    mart = mart_newdata(spark, sf)
-    for day, shift in (("2024-02-01", 0.0), ("2024-02-02", 1.0)):
-        dated = mart.withColumn("temp", F.col("temp") + F.lit(shift)) \
-            .withColumn("extraction_date", F.lit(day).cast("date"))
-        dated.write.mode("append").parquet(drop)
+    mart = stored_mart(spark, sf)
+    for day, shift in ((EXTRACTED_BEFORE, 0.0), (EXTRACTED, 1.0)):
+        _dated(mart.withColumn("temp", F.col("temp") + F.lit(shift)), day).write.mode("append").parquet(drop)
         ingest.archive_daily(spark, drop, root, marks).awaitTermination()
     return archive.latest(archive.read_archive(spark, root)).drop("yyyymm")
 
 
+@query
+def archive_two_streams(spark, sf):
+    """Two streams deliver the halves of one day into one archive, then a new checkpoint delivers the first half again."""
+    root, mart = fresh_path(spark, "archive"), _dated(stored_mart(spark, sf), EXTRACTED)
+    odd = F.col("datetimeEpoch") % 2 == 1
+    drops = [fresh_path(spark, "drop") for _ in range(2)]
+    for part, drop in zip((mart.where(odd), mart.where(~odd)), drops):
+        part.write.parquet(drop)
+    for drop in (*drops, drops[0]):
+        ingest.archive_daily(spark, drop, root, fresh_path(spark, "marks")).awaitTermination()
+    return archive.read_archive(spark, root).drop("yyyymm").distinct()
+
+
 @query
 def archive_compacted(spark, sf):
-    root, target = fresh_path(spark, "archive"), fresh_path(spark, "archive")
-    mart = mart_newdata(spark, sf)
-    for day in ("2024-02-01", "2024-02-02"):
-        archive.append_batch(mart, root, day)
-    archive.compact(archive.read_archive(spark, root), target)
-    return archive.read_archive(spark, target).drop("yyyymm")
+    target = fresh_path(spark, "archive")
+    archive.compact(archive.read_archive(spark, _two_loads(spark, sf)), target)
+    return archive.read_archive(spark, target)
 
 
 # --- served queries -------------------------------------------------------------------------------
 
+_ARCHIVES: dict[tuple[str, str], str] = {}
+
+
+def served_archive(spark, sf) -> DataFrame:
+    """The compacted archive of the landed mart, loaded and compacted once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _ARCHIVES:
+        root, target = fresh_path(spark, "archive"), fresh_path(spark, "archive")
+        archive.append_batch(stored_mart(spark, sf), root, EXTRACTION)
+        archive.compact(archive.read_archive(spark, root), target)
+        _ARCHIVES[key] = target
+    return archive.read_archive(spark, _ARCHIVES[key]).drop("extraction_date", "yyyymm")
+
+
 @query
 def get_data(spark, sf):
-    return serving.get_data(mart_newdata_(spark, sf))
+    return serving.get_data(stored_mart_(spark, sf))
 
 
 @query
 def get_temp_data(spark, sf):
-    return serving.get_temp_data(mart_newdata_(spark, sf), DEPARTMENT)
+    return serving.get_temp_data(stored_mart_(spark, sf), DEPARTMENT)
 
 
 @query
 def get_solarenergy_geo_data(spark, sf):
-    return serving.get_solarenergy_geo_data(mart_newdata_(spark, sf), DATE)
+    return serving.get_solarenergy_geo_data(stored_mart_(spark, sf), DATE)
 
 
 @query
 def get_date(spark, sf):
-    return serving.get_date(mart_newdata_(spark, sf))
+    return serving.get_date(stored_mart_(spark, sf))
 
 
 @query
 def get_tfptwgp(spark, sf):
-    return serving.get_tfptwgp(mart_newdata_(spark, sf), DEPARTMENT)
+    return serving.get_tfptwgp(stored_mart_(spark, sf), DEPARTMENT)
 
 
 @query
 def get_sunshine_data(spark, sf):
-    return serving.get_sunshine_data(mart_newdata_(spark, sf))
+    return serving.get_sunshine_data(stored_mart_(spark, sf))
 
 
 @query
 def get_region_sunshine_data(spark, sf):
-    return serving.get_region_sunshine_data(mart_newdata_(spark, sf), REGION)
+    return serving.get_region_sunshine_data(stored_mart_(spark, sf), REGION)
 
 
 @query
 def get_solarenergy_agg_pday(spark, sf):
-    return serving.get_solarenergy_agg_pday(mart_newdata_(spark, sf), DEPARTMENT)
+    return serving.get_solarenergy_agg_pday(stored_mart_(spark, sf), DEPARTMENT)
 
 
 @query
 def get_entire_department_data(spark, sf):
-    return serving.get_entire_department_data(archive_latest(spark, sf), DEPARTMENT)
+    return serving.get_entire_department_data(served_archive(spark, sf), DEPARTMENT)
 
 
 @query
 def get_entire_region_data(spark, sf):
-    return serving.get_entire_region_data(archive_latest(spark, sf), REGION)
+    return serving.get_entire_region_data(served_archive(spark, sf), REGION)
 
 
 @query
 def get_ml_data(spark, sf):
-    return serving.get_ml_data(archive_latest(spark, sf))
+    return serving.get_ml_data(served_archive(spark, sf))
 
 
 @query
@@ -311,8 +370,7 @@ def get_today_data(spark, sf):
 
 
 def _stats(spark, sf, **arguments):
-    mart = mart_newdata_(spark, sf)
-    return serving.get_stats(views.mart_today(mart), views.mart_next_3_days(mart), **arguments)
+    return serving.get_stats(mart_today(spark, sf), mart_next_3_days(spark, sf), **arguments)
 
 
 @query
@@ -535,14 +593,26 @@ def flatten_jsonl(spark, sf):
     return landing.to_warehouse_form(landing.flatten_envelopes(landed.good))
 
 
-@query
-def flatten_payload(spark, sf):
+def _payloads(spark, sf) -> DataFrame:
     locations = _locations(spark, sf)
-    payloads = locations.groupBy("run", F.floor("longitude").alias("part")).agg(
+    return locations.groupBy("run", F.floor("longitude").alias("part")).agg(
         F.collect_list(F.struct("resolvedAddress", "address", "latitude", "longitude", "days")).alias("locations")
-    )
-    path = _write_lines(payloads.select("locations"))
-    scan = landing.scan_payloads(spark, path, multiline=False)
+    ).select("locations")
+
+
+@query
+def flatten_payload(spark, sf):
+    scan = landing.scan_payloads(spark, _write_lines(_payloads(spark, sf)), multiline=False)
+    return landing.to_warehouse_form(landing.flatten_payloads(scan.good, EXTRACTION))
+
+
+@query
+def flatten_payload_multiline(spark, sf):
+    """One indented document per file."""
+    path = fresh_path(spark, "landed")
+    text = _payloads(spark, sf).select(F.to_json(F.struct("locations"), {"pretty": "true"}).alias("value"))
+    text.write.option("maxRecordsPerFile", 1).text(path)
+    scan = landing.scan_payloads(spark, path, suffix=".txt")
     return landing.to_warehouse_form(landing.flatten_payloads(scan.good, EXTRACTION))
 
 
@@ -554,36 +624,95 @@ def extract_records(spark, sf):
     return landing.remove_fields(landing.records(payloads), "queryCost", "address", "tzoffset", "timezone", "days")
 
 
-@query
-def scan_rejects(spark, sf):
-    """Lines cut short are set aside, the others are read."""
+def _faulty_lines(spark, sf) -> str:
+    """A line per observation with one day: dry ones are cut short, and every seventh has text for its latitude."""
     raw = inputs.raw_weather_(spark, sf)
-    line = F.to_json(F.struct(
-        F.col("id").alias("_airbyte_raw_id"), F.struct("latitude", "longitude", "resolvedAddress").alias("_airbyte_data")
-    ))
+    latitude = F.when(F.col("datetimeEpoch") % 7 == 0, F.lit("north")).otherwise(F.format_string("%.1f", "latitude"))
+    quoted = F.when(F.col("datetimeEpoch") % 7 == 0, F.concat(F.lit('"'), latitude, F.lit('"'))).otherwise(latitude)
+    line = F.concat(F.lit('{"_airbyte_raw_id":"'), "id", F.lit('","_airbyte_data":{"latitude":'), quoted,
+                    F.lit(',"resolvedAddress":"X","days":[{"datetime":"2024-01-01"}]}}'))
     cut = F.when(F.col("preciptype").isNull(), F.substring(line, 1, 30)).otherwise(line)
     path = fresh_path(spark, "landed")
     raw.select(cut.alias("value")).write.text(path)
-    scan = landing.scan_envelopes(spark, path, suffix=None)
+    return path
+
+
+@query
+def scan_rejects(spark, sf):
+    """Lines cut short or of the wrong type are set aside, the others are read; each line is on one side."""
+    scan = landing.scan_envelopes(spark, _faulty_lines(spark, sf), suffix=None)
     good = scan.good.select(F.col("_airbyte_raw_id").alias("record"), F.lit(True).alias("accepted"))
     return good.unionByName(scan.rejects().select("record", F.lit(False).alias("accepted")))
 
 
+@query
+def compact_rejects(spark, sf):
+    """What a compaction of faulty lines stored and what it set aside; the landed files are gone."""
+    landed, raw, staged = _faulty_lines(spark, sf), fresh_path(spark, "raw"), fresh_path(spark, "staging")
+    counts = tables.compact_envelopes(spark, landed, raw, staged, EXTRACTION, suffix=".txt", delete_source=True)
+    aside = spark.read.parquet(tables.rejects_path(raw, EXTRACTION)).select("record", F.lit(False).alias("accepted"))
+    kept = files.read_parquet(spark, staged).select(F.col("_airbyte_ab_id").alias("record"), F.lit(True).alias("accepted"))
+    left = files.list_files(spark, landed, ".txt").count()
+    return kept.unionByName(aside).withColumns(
+        {"n_good": F.lit(counts.good), "n_rejected": F.lit(counts.rejected), "n_left": F.lit(left)})
+
+
+@query
+def stream_rejects(spark, sf):
+    """The same lines through the stream, in two files sets and two runs."""
+    landed, target, marks = _faulty_lines(spark, sf), fresh_path(spark, "silver"), fresh_path(spark, "marks")
+    for _ in range(2):
+        ingest.ingest_envelopes(spark, landed, target, marks, suffix=".txt").awaitTermination()
+    kept = spark.read.parquet(target).select(F.col("_airbyte_ab_id").alias("record"), F.lit(True).alias("accepted"))
+    aside = spark.read.parquet(f"{target}-rejects").select("record", F.lit(False).alias("accepted"))
+    return kept.unionByName(aside)
+
+
 @query
 def compact_jsonl(spark, sf):
     landed, raw, staged = _envelopes(spark, sf), fresh_path(spark, "raw"), fresh_path(spark, "staging")
-    days = landing.flatten_envelopes(landing.scan_envelopes(spark, landed, suffix=".json").good)
-    tables.store_extraction(days, raw, EXTRACTION)
-    stored = spark.read.schema(days.schema).parquet(f"{raw}/extraction_date={EXTRACTION}")
-    tables.store_snapshot(stored, staged)
-    return landing.to_warehouse_form(files.read_parquet(spark, staged, days.schema))
+    tables.compact_envelopes(spark, landed, raw, staged, EXTRACTION, suffix=".json")
+    return landing.to_warehouse_form(files.read_parquet(spark, staged))
 
 
 @query
 def stream_ingest(spark, sf):
     landed, target, marks = _envelopes(spark, sf), fresh_path(spark, "silver"), fresh_path(spark, "marks")
     ingest.ingest_envelopes(spark, landed, target, marks, suffix=".json").awaitTermination()
-    return spark.read.schema(schemas.RAW_WEATHER).parquet(target)
+    return spark.read.schema(schemas.RAW_WEATHER).parquet(target).drop("part")
+
+
+def _event_files(spark, sf) -> str:
+    path = fresh_path(spark, "events")
+    table(spark, sf, "events").select("event_id", "event_type").write.partitionBy("event_type").json(path)
+    return path
+
+
+def _types_of(listed: DataFrame) -> DataFrame:
+    return listed.where("length > 0").select(F.regexp_extract("path", "event_type=([a-z]+)", 1).alias("event_type")).distinct()
+
+
+@query
+def list_by_suffix(spark, sf):
+    """The folders that hold a JSON file; names without the suffix are not listed."""
+    path = _event_files(spark, sf)
+    return _types_of(files.list_files(spark, path, ".json").union(files.list_files(spark, path, ".none")))
+
+
+@query
+def list_by_glob(spark, sf):
+    return _types_of(files.list_files(spark, f"{_event_files(spark, sf)}/event_type=[c-p]*", ".json"))
+
+
+@query
+def catalog_tables(spark, sf):
+    """Tables of the catalog, one per region."""
+    mark = "listed_" + fresh_path(spark, "x")[-32:]
+    names = [r.r_regionkey for r in table(spark, sf, "region").collect()]
+    for key in names:
+        tables.create_if_absent(spark, f"{mark}_{key}", schemas.DEPARTMENT_CODES, fresh_path(spark, "table"), sort_by=["department"])
+    found = tables.table_names(spark).where(F.col("name").startswith(mark))
+    return found.select(F.substring_index("name", "_", -1).cast("int").alias("r_regionkey"))
 
 
 @query
@@ -595,12 +724,14 @@ def concat_mixed_schema(spark, sf):
 
 @query
 def history_append(spark, sf):
+    """Two parts with differing columns, the first one added twice."""
     path = fresh_path(spark, "history")
     raw = inputs.raw_weather_(spark, sf).select("id", "department", "temp", "preciptype")
     odd = F.substring("id", -1, 1).cast("int") % 2 == 1
-    tables.append_history(raw.where(~odd), path)
-    tables.append_history(raw.where(odd).drop("preciptype"), path)
-    return tables.read_history(spark, path).select(*raw.columns)
+    for _ in range(2):
+        tables.append_history(raw.where(~odd), path, "even")
+    tables.append_history(raw.where(odd).drop("preciptype"), path, "odd")
+    return tables.read_history(spark, path, raw.schema)
 
 
 @query
@@ -638,34 +769,35 @@ def distinct_file_dates(spark, sf):
 
 @query
 def load_tables(spark, sf):
-    """Refresh a table twice, then append; only the last refresh and the append remain."""
+    """Refresh a partitioned table twice, then append; only the last refresh and the append remain."""
     raw = inputs.raw_weather_(spark, sf)
     location = fresh_path(spark, "table")
     name = "raw_weather_" + location[-32:]
-    tables.create_if_absent(spark, name, schemas.RAW_WEATHER_, location)
+    tables.create_if_absent(spark, name, schemas.RAW_WEATHER_, location, partition_by=["department"], sort_by=["datetime", "id"])
     odd = F.col("datetimeEpoch") % 2 == 1
     tables.load_table(raw, name, refresh=True)
-    tables.load_table(raw.where(~odd), name, refresh=True)
-    tables.load_table(raw.where(odd), name)
+    tables.load_table(raw.where(~odd & F.col("department").like("Nation-1%")), name, refresh=True)
+    tables.load_table(raw.where(odd & F.col("department").like("Nation-2%")), name)
     return spark.table(name)
 
 
 @query
 def merge_daily_data(spark, sf):
-    """Append a source table whose columns are in another order."""
+    """Append a source table whose columns are in another order, twice."""
     raw = inputs.raw_weather_(spark, sf).select("id", "department", "temp")
     source, target = fresh_path(spark, "table"), fresh_path(spark, "table")
     source_name, target_name = "daily_" + source[-32:], "target_" + target[-32:]
     tables.create_if_absent(spark, source_name, raw.select("temp", "id", "department").schema, source)
     tables.create_if_absent(spark, target_name, raw.schema, target)
     tables.load_table(raw, source_name)
-    tables.merge_daily_data(spark, source_name, target_name)
+    for _ in range(2):
+        tables.merge_daily_data(spark, source_name, target_name)
     return spark.table(target_name)
 
 
 @query
 def materialise_mart(spark, sf):
-    return tables.materialise(mart_newdata_(spark, sf), fresh_path(spark, "mart"))
+    return tables.materialise(stored_mart_(spark, sf), fresh_path(spark, "mart"))
 
 
 # --- data quality ---------------------------------------------------------------------------------
@@ -677,7 +809,8 @@ def dq_unique(spark, sf):
 
 @query
 def dq_unique_id(spark, sf):
-    return quality.duplicates(inputs.raw_weather_(spark, sf), "id")
+    raw = inputs.raw_weather_(spark, sf).select("id")
+    return quality.duplicates(raw.unionAll(raw.where("id like '%7'")), "id")
 
 
 @query
@@ -687,7 +820,26 @@ def dq_not_null(spark, sf):
 
 @query
 def dq_primary_key(spark, sf):
-    return quality.primary_key_violations(inputs.raw_weather_(spark, sf), "preciptype")
+    return quality.primary_key_violations(inputs.raw_weather_(spark, sf), "resolvedAddress")
+
+
+@query
+def dq_columns(spark, sf):
+    """Columns that are not as declared."""
+    found = inputs.raw_weather_(spark, sf).withColumnRenamed("icon", "pictogram").withColumn("more", F.lit(1))
+    return quality.column_mismatches(found, schemas.RAW_COLUMNS)
+
+
+def _with_nan(spark, sf):
+    wet = F.col("preciptype").isNotNull()
+    temp = F.when(wet, F.lit(float("nan"))).otherwise(F.col("temp"))
+    return inputs.raw_weather_(spark, sf).select("id", temp.alias("temp"), "preciptype")
+
+
+@query
+def dq_completeness_nan(spark, sf):
+    """NaN counts as missing, in the share and in the flag."""
+    return quality.completeness(_with_nan(spark, sf)).join(quality.columns_with_nulls(_with_nan(spark, sf)), "column_name")
 
 
 @query
