@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from skylake import schemas
 from skylake.functions.geometry import wkb_to_geojson, wkb_to_wkt

@@ -28,3 +28,20 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert compare(spark, con, name, QUERIES[name], SQL[name], SF_DIR) is None
+
+
+SERVED = [n for n in sorted(QUERIES) if n.startswith(("get_", "mart_today", "mart_next_3_days", "dep_", "reg_"))]
+
+
+@pytest.mark.parametrize("name", SERVED)
+def test_reports_and_served_queries_do_not_read_the_observations(spark, plan, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "events.parquet" not in text and "Cartesian" not in text
+
+
+def test_the_archive_reads_only_the_months_in_range(spark, plan):
+    assert "PartitionFilters: [isnotnull(yyyymm" in plan(QUERIES["archive_date_range"](spark, SF_DIR))
+
+
+def test_a_region_is_filtered_in_the_files(spark, plan):
+    assert "EqualTo(reg_name,EUROPE)" in plan(QUERIES["get_entire_region_data"](spark, SF_DIR))
