@@ -35,7 +35,7 @@ def words(text: Column) -> Column:
 
 @dataclass
 class Phrases:
-    """`phrases`: (phrase id, words, n); `items`: (phrase id, item); `terms`: (term) of all items, `item_terms`: (item, term)."""
+    """`phrases`: (phrase id, words, n); `items`: (phrase id, item); `item_terms`: (item, term)."""
 
     phrases: DataFrame
     items: DataFrame

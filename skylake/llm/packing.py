@@ -3,7 +3,7 @@
 A document is its token ids followed by the end id. Documents longer than a window are first cut into full windows; what
 is left of each is packed: longest first, each piece into the tightest open window that it fits in. A segment tree
 over the remaining capacities (1 to the window size) finds that window in about log2(window) steps, however
-many windows are open. Pieces are dealt to shards of SHARD pieces by a hash and every shard is packed on its own, so
+many windows are open. Pieces are dealt out evenly to shards of about SHARD pieces and every shard is packed on its own, so
 packing spreads over the cluster; a shard leaves at most a few windows unfilled.
 """
 
@@ -149,15 +149,16 @@ def pack(found: DataFrame, window: int = WINDOW) -> DataFrame:
     packed shard by shard. Equal rows are told apart by nothing, so they take places in any order."""
     table, seen = settle_counted(found, "pieces", rests=F.sum((F.col("length") < window).cast("bigint")))
     shards = max(1, -(-seen["rests"] // SHARD))
+    # Dealt out by place in the written table, so that equal rows spread as well.
     rest = table.where(F.col("length") < window).withColumn(
-        "__shard", F.pmod(F.xxhash64("__row", "start", "length"), F.lit(shards)).cast("int"))
+        "__shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("bigint"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema) + ", sequence_id bigint, offset bigint"
 
     def run(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["length", "__row", "start"], ascending=[False, True, True], kind="stable")
         where, offset = best_fit(shard["length"].tolist(), window)
         number = int(shard["__shard"].iloc[0]) if len(shard) else 0
-        return shard.drop(columns="__shard").assign(sequence_id=[2 * (number * 2 * SHARD + w) for w in where], offset=offset)
+        return shard.drop(columns="__shard").assign(sequence_id=[2 * ((number << 32) + w) for w in where], offset=offset)
 
     packed = rest.groupBy("__shard").applyInPandas(run, schema)
     full = table.where(F.col("length") == window).select(

@@ -3,7 +3,7 @@
 Every version of a text is addressed by its SHA-256. A ledger table records which (blob, rule version) pairs have been
 scanned, and another the findings, a row per finding. A scan reads only the blobs whose pair is new: each is sent once to be scanned,
 by the row with the smallest id that holds it, however many rows and paths share it. Findings are then joined back to all rows of
-their blob. The ledger grows by one folder per scan; a scan that failed leaves no folder with a `done` row, and is not read.
+their blob. The ledger is only appended to: findings first, then the pairs, so what a failed scan left is scanned again.
 
 Rules (versioned together by RULES): the three base kinds, and `pem` for the header line of a private key.
 """
