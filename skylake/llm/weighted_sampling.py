@@ -13,8 +13,10 @@ range rows are streamed in order, two texts at a time.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,80 +26,101 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLES = 64
-CACHE = 150_000
+CACHE = 200_000
+WINDOW_CHARS = 200_000
 RANGE_CHARS = 8_000_000
 MAX_RANGES = 4096  # bounds what the driver learns of the ids: one row per range
 _LOWEST = -(1 << 63)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    """`x`, a new array of 32-bit numbers, with its bits mixed in place."""
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        x ^= x >> np.uint32(shift)
+        x *= np.uint32(factor)
+    x ^= x >> np.uint32(16)
+    return x
 
 
-def samples(words: list[bytes], counts: list[int], n: int = SAMPLES) -> tuple[np.ndarray, np.ndarray]:
-    """ln a (float32) and the 16-bit name of (word, t) for each word and sample."""
-    h = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)[:, None]
-    k = np.arange(n, dtype=np.uint64)[None, :]
+Key = str | tuple[str, int]  # a word that occurs once, or a word and its count
+
+
+def samples(keys: list[Key], n: int = SAMPLES) -> np.ndarray:
+    """For each key and sample one number that orders as ln a does; its lowest 16 bits name (word, t)."""
+    pairs = [(k, 1) if isinstance(k, str) else k for k in keys]
+    words, counts = [w for w, _ in pairs], [c for _, c in pairs]
+    h = np.array([xxhash.xxh64_intdigest(w) for w in words], "<u8").view("<u4").reshape(-1, 2)
+    low, high = h[:, :1], h[:, 1:]
+    k = np.arange(n, dtype=np.uint32)[None, :] * np.uint32(5)
 
     def uniform(j: int) -> np.ndarray:
-        x = _mixed(h + (k * np.uint64(5) + np.uint64(j + 1)) * np.uint64(0x9E3779B97F4A7C15))
-        return ((x >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -24)
+        """Numbers in (0, 1) of 24 bits for each word and sample."""
+        x = _mixed(low ^ _mixed((k + np.uint32(j + 1)) * np.uint32(0x9E3779B1)))
+        x += high
+        x = _mixed(x)
+        x >>= np.uint32(8)
+        u = x.astype(np.float32)
+        u += np.float32(0.5)
+        u *= np.float32(2.0 ** -24)
+        return u
 
     r = -np.log(uniform(0) * uniform(1))
     c = -np.log(uniform(2) * uniform(3))
     b = uniform(4)
     t = np.floor(np.log(np.array(counts, np.float32))[:, None] / r + b)
-    name = _mixed(h + (t.astype(np.int64).view(np.uint64) << np.uint64(8)) + np.uint64(1))
-    return np.log(c) - r * (t - b + 1), (name >> np.uint64(48)).astype(np.uint16)
+    name = _mixed((t.astype(np.int32).view(np.uint32) * np.uint32(0x27D4EB2F)) ^ (high + np.uint32(1)) ^ (low << np.uint32(7)))
+    bits = (np.log(c) - r * (t - b + 1)).view(np.int32)
+    bits ^= (bits >> 31) & np.int32(0x7FFFFFFF)  # floats in the order of whole numbers
+    out = bits.astype(np.int64)
+    out <<= 16
+    out |= name >> np.uint32(16)
+    return out
 
 
 class Sampler:
-    """Fingerprints of texts; samples of (word, count) pairs are kept, CACHE of them at most."""
+    """Fingerprints of texts; the samples of CACHE keys at most are kept."""
 
     def __init__(self, n: int = SAMPLES):
         self.n = n
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[tuple[bytes, int], int] = {}
-        self.log_a = np.zeros((0, self.n), np.float32)
-        self.names = np.zeros((0, self.n), np.uint16)
+        self.at: dict[Key, int] = {}
+        self.table = np.zeros((0, self.n), np.int64)
+
+    def _learn(self, keys: list[Key]) -> None:
+        used = len(self.at)
+        if used + len(keys) > len(self.table):
+            grown = np.empty((max(2 * used, used + len(keys), 4096), self.n), np.int64)
+            grown[:used] = self.table[:used]
+            self.table = grown
+        for at in range(0, len(keys), 256):
+            some = keys[at:at + 256]
+            self.table[used + at:used + at + len(some)] = samples(some, self.n)
+        self.at.update(zip(keys, range(used, used + len(keys))))
+
+    def fingerprints(self, texts: list[str]) -> list[str]:
+        """Hex of the sample names of each text; empty for a text without words. New keys of all texts are sampled together."""
+        held = [[w if c == 1 else (w, c) for w, c in Counter(t.lower().split()).items()] for t in texts]
+        rows = [list(map(self.at.get, keys)) for keys in held]
+        new = dict.fromkeys(k for keys, at in zip(held, rows) if None in at for k, row in zip(keys, at) if row is None)
+        if len(self.at) + len(new) > CACHE:
+            self.clear()
+            self._learn(list(dict.fromkeys(k for keys in held for k in keys)))
+            rows = [list(map(self.at.get, keys)) for keys in held]
+        elif new:
+            self._learn(list(new))
+            rows = [[self.at[k] if row is None else row for k, row in zip(keys, at)] if None in at else at for keys, at in zip(held, rows)]
+        return [self._least(at) if at else "" for at in rows]
+
+    def _least(self, rows: list[int]) -> str:
+        least = np.full(self.n, np.iinfo(np.int64).max)
+        for at in range(0, len(rows), 4096):
+            np.minimum(least, self.table[rows[at:at + 4096]].min(axis=0), out=least)
+        return (least & 0xFFFF).astype(">u2").tobytes().hex()
 
     def fingerprint(self, text: str) -> str:
-        """Hex of the sample names; empty for a text without words."""
-        weights = list(Counter(text.lower().split()).items())
-        if not weights:
-            return ""
-        pairs = [(w.encode(), c) for w, c in weights]
-        new = [p for p in pairs if p not in self.at]
-        if new:
-            used = len(self.at)
-            if used + len(new) > CACHE:
-                self.clear()
-                new, used = pairs, 0
-            if used + len(new) > len(self.log_a):
-                grown = max(2 * len(self.log_a), used + len(new), 4096)
-                self.log_a = np.vstack([self.log_a[:used], np.empty((grown - used, self.n), np.float32)])
-                self.names = np.vstack([self.names[:used], np.empty((grown - used, self.n), np.uint16)])
-            for at in range(0, len(new), 2048):
-                some = new[at:at + 2048]
-                place = slice(used + at, used + at + len(some))
-                self.log_a[place], self.names[place] = samples([w for w, _ in some], [c for _, c in some], self.n)
-            self.at.update(zip(new, range(used, used + len(new))))
-        rows = np.array([self.at[p] for p in pairs])
-        least = np.full(self.n, np.inf, np.float32)
-        name = np.zeros(self.n, np.uint16)
-        for at in range(0, len(rows), 4096):
-            part = rows[at:at + 4096]
-            block = self.log_a[part]
-            best = block.argmin(axis=0)
-            value = block[best, np.arange(self.n)]
-            better = value < least
-            least[better] = value[better]
-            name[better] = self.names[part[best], np.arange(self.n)][better]
-        return name.astype(">u2").tobytes().hex()
+        return self.fingerprints([text])[0]
 
 
 def likeness(a: str, b: str) -> float:
@@ -115,19 +138,19 @@ def edited(text: str, following: str) -> str:
 
 
 def _ranges(docs: DataFrame, id_col: str, text_col: str) -> list[tuple[int, int]]:
-    """(id, text hash) of the first row of each range, ascending; a null id counts as the lowest number."""
+    """(id, text hash) of the first row of each range, ascending; a null id counts as the lowest number. Rows of one id can lie in
+    several ranges."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LOWEST)).alias("id"), F.xxhash64(text_col).alias("th"),
                        F.length(text_col).alias("n"))
     chars = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n = min(MAX_RANGES, max(1, -(-chars // RANGE_CHARS)))
-    dealt = rows.select("id", "th").repartitionByRange(n, "id").withColumn("p", F.spark_partition_id())
+    dealt = rows.select("id", "th").repartitionByRange(n, "id", "th").withColumn("p", F.spark_partition_id())
     return sorted((r.s["id"], r.s["th"]) for r in dealt.groupBy("p").agg(F.min(F.struct("id", "th")).alias("s")).collect())
 
 
 def _in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows (part, extra, id, none, th, packed): every text in its range, and as `extra` the follower of the range's last one."""
     firsts = _ranges(docs, id_col, text_col)
-    starts = np.array([f[0] for f in firsts], np.int64)
     rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LOWEST)).alias("id"), F.col(id_col).isNull().alias("none"),
                        F.xxhash64(text_col).alias("th"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("packed"))
 
@@ -135,9 +158,9 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ids, none, th = (batch.column(k).to_pylist() for k in range(3))
-            part = np.searchsorted(starts, np.array(ids, np.int64), side="right") - 1
             out: list[tuple] = []
-            for p, i, x, h, text in zip(part.tolist(), ids, none, th, batch.column(3)):
+            for i, x, h, text in zip(ids, none, th, batch.column(3)):
+                p = bisect_right(firsts, (i, h)) - 1
                 packed = pack.compress(text.as_py())
                 out.append((p, False, i, x, h, packed))
                 if (i, h) == firsts[p]:
@@ -151,6 +174,29 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return dealt.repartition(max(1, len(firsts)), "part").sortWithinPartitions("part", "extra", "id", "th")
 
 
+class Row(NamedTuple):
+    part: int
+    extra: bool
+    doc: int
+    none: bool
+    text: str
+
+
+def _windows(batch: pa.RecordBatch) -> Iterator[list[Row]]:
+    """Rows of a batch, unpacked, some WINDOW_CHARS characters at a time."""
+    unpack = zstandard.ZstdDecompressor()
+    some, size = [], 0
+    for part, extra, doc, none, _, packed in zip(*(batch.column(k) for k in range(6))):
+        text = unpack.decompress(packed.as_py()).decode("utf-8", "replace")
+        some.append(Row(part.as_py(), extra.as_py(), doc.as_py(), none.as_py(), text))
+        size += len(text)
+        if size >= WINDOW_CHARS:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 _OUT = [("__doc", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
         ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
 
@@ -161,30 +207,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hash of their text). Null texts are empty. A lone row is its own next one. An empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack, sampler = zstandard.ZstdDecompressor(), Sampler()
-        out: list[tuple] = []
-        held = None  # (part, id, none, text, fingerprint) of the row that waits for its follower
-
-        def close(row: tuple, text: str, found: str) -> None:
-            _, doc, none, own, mark = row
-            new = edited(own, text)
-            other = mark if new == own else sampler.fingerprint(new)
-            out.append((None if none else doc, len(own), hashlib.sha256(new.encode()).hexdigest(), mark, other,
-                        likeness(mark, other), likeness(mark, found)))
-
+        sampler = Sampler()
+        held = None  # the row that waits for its follower, with its fingerprint
         for batch in batches:
-            for part, extra, doc, none, _, packed in zip(*(batch.column(k) for k in range(6))):
-                part, extra = part.as_py(), extra.as_py()
-                if extra and (held is None or held[0] != part):
-                    continue  # a further copy of the follower
-                text = unpack.decompress(packed.as_py()).decode("utf-8", "replace")
-                mark = sampler.fingerprint(text)
-                if held is not None:
-                    close(held, text, mark)
-                held = None if extra else (part, doc.as_py(), none.as_py(), text, mark)
+            out: list[tuple] = []
+            for some in _windows(batch):
+                pairs = []
+                for row, mark in zip(some, sampler.fingerprints([r.text for r in some])):
+                    if row.extra and (held is None or held[0].part != row.part):
+                        continue  # a further copy of the follower
+                    if held is not None:
+                        pairs.append((*held, row.text, mark))
+                    held = None if row.extra else (row, mark)
+                texts = [edited(row.text, after) for row, _, after, _ in pairs]
+                for (row, mark, _, following), new, other in zip(pairs, texts, sampler.fingerprints(texts)):
+                    out.append((None if row.none else row.doc, len(row.text), hashlib.sha256(new.encode()).hexdigest(), mark, other,
+                                likeness(mark, other), likeness(mark, following)))
             columns = list(zip(*out)) if out else [[]] * len(_OUT)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _OUT)], names=[n for n, _ in _OUT])
-            out.clear()
 
     schema = ("__doc bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")

@@ -37,9 +37,11 @@ def test_cache_changes_nothing(monkeypatch):
     texts = [" ".join(f"w{(i * k) % 97}" for i in range(60)) for k in range(1, 30)]
     whole = W.Sampler()
     want = [whole.fingerprint(t) for t in texts]
+    assert W.Sampler().fingerprints(texts) == want
     monkeypatch.setattr(W, "CACHE", 70)
     small = W.Sampler()
     assert [small.fingerprint(t) for t in texts] == want and len(small.at) <= 130
+    assert small.fingerprints(["", *texts, "  "]) == ["", *want, ""]
 
 
 def brute(table):
