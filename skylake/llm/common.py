@@ -33,6 +33,11 @@ def bounded(df: DataFrame, label: str, width: Column | None = None) -> DataFrame
     return F.broadcast(table) if seen["n"] <= BROADCAST_ROWS and seen["bytes"] <= BROADCAST_BYTES else table
 
 
+def packed(df: DataFrame) -> Column:
+    """A row as one column `__row`, so that columns put beside it cannot clash with any of its own; `__row.*` unpacks it."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("__row")
+
+
 def row_key(id_col: str, text_col: str) -> list[Column]:
     """Two columns `__id`, `__th` that tell rows apart by id and text, null ids included; only rows
     that are equal in both share them."""

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylake.llm.common import bounded, row_key
+from skylake.llm.common import bounded, packed, row_key
 from skylake.session import settle
 
 WINDOW = 10
@@ -177,9 +177,8 @@ def op4_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without the rows in which a benchmark phrase occurs."""
     hits = contamination(docs, benchmark)
-    marked = docs.select("*", *row_key("doc_id", "text"))
-    return marked.join(hits.select("__id", "__th"), ["__id", "__th"], "left_anti").select(
-        *(F.col(f"`{c}`") for c in docs.columns))
+    marked = docs.select(packed(docs), *row_key("doc_id", "text"))
+    return marked.join(hits.select("__id", "__th"), ["__id", "__th"], "left_anti").select("__row.*")
 
 
 SQL = r"""

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylake.llm.common import settle_counted
+from skylake.llm.common import packed, settle_counted
 from skylake.session import fresh_path, settle
 
 RULES = "base-1"
@@ -148,13 +148,14 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_c
     ledger = ledger or Ledger(docs.sparkSession)
     scan(docs, ledger, text_col=text_col)
     found = by_blob(ledger).select(F.col("blob").alias("__blob"), F.col("found").alias("__found"))
-    rows = docs.withColumn("__b", blob(text_col)).join(found, F.col("__b") == F.col("__blob"), "left")
+    rows = docs.select(packed(docs), blob(text_col).alias("__b")).join(found, F.col("__b") == F.col("__blob"), "left")
+    own = lambda c: F.col("__row").getField(c)
     empty = F.array().cast("array<bigint>")
     part = lambda name: F.coalesce(F.col(f"__found.{name}"), empty)
-    text = F.when(F.col("__found").isNotNull(), F.pandas_udf(_redacted, "string")(F.coalesce(F.col(text_col), F.lit("")), part("start"), part("end"), part("kind")))
+    text = F.when(F.col("__found").isNotNull(), F.pandas_udf(_redacted, "string")(F.coalesce(own(text_col), F.lit("")), part("start"), part("end"), part("kind")))
     rows = rows.withColumn("__new", text)
-    new = F.coalesce("__new", F.col(text_col))
+    new = F.coalesce("__new", own(text_col))
     columns = [new.alias(c) if c == text_col else
-               F.when(F.col("__new").isNotNull(), F.length("__new")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c)
-               if c == chars_col else F.col(f"`{c}`") for c in docs.columns]
+               F.when(F.col("__new").isNotNull(), F.length("__new")).otherwise(own(c)).cast(docs.schema[c].dataType).alias(c)
+               if c == chars_col else own(c).alias(c) for c in docs.columns]
     return rows.select(*columns)

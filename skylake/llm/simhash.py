@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylake.llm.common import row_key, settle_counted
+from skylake.llm.common import packed, row_key, settle_counted
 from skylake.llm.graph import components
 from skylake.session import settle
 
@@ -182,10 +182,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     best = found.groupBy("component", F.when(F.col("component").isNull(), F.col("fp")).alias("__fp")).agg(
         F.min_by(F.struct("__id", "__th"), F.struct(F.col("__doc").isNull(), "__id", "__th")).alias("__k"))
     kept = best.select(F.col("__k.__id").alias("__ki"), F.col("__k.__th").alias("__kt"))
-    key_id, key_th = row_key(id_col, text_col)
-    marked = docs.select("*", key_id, key_th)
+    marked = docs.select(packed(docs), *row_key(id_col, text_col))
     same = (F.col("__id") == F.col("__ki")) & (F.col("__th") == F.col("__kt"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["__id", "__th"]).drop("__id", "__th")
+    return marked.join(kept, same, "left_semi").dropDuplicates(["__id", "__th"]).select("__row.*")
 
 
 def op2_simhash(docs: DataFrame) -> DataFrame:

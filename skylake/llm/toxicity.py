@@ -22,8 +22,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -158,9 +157,14 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, start: np.ndarray | N
     ridge = np.eye(z.shape[1])
     ridge[-1, -1] = 1e-3
     for _ in range(30):
-        on = y * (z @ w) < 1
-        zw = z[on] * weight[on, None]
-        new = np.linalg.solve(ridge + COST * zw.T @ z[on], COST * zw.T @ y[on])
+        on = np.flatnonzero(y * (z @ w) < 1)
+        gram, target = ridge.copy(), np.zeros(z.shape[1])
+        for at in range(0, len(on), 4096):
+            some = on[at:at + 4096]
+            part = z[some].astype(np.float64)
+            gram += COST * (part * weight[some, None]).T @ part
+            target += COST * part.T @ (weight[some] * y[some])
+        new = np.linalg.solve(gram, target)
         if np.abs(new - w).max() < 1e-4:
             return new
         w = new
@@ -180,33 +184,44 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def _ordered(words) -> list[str]:
-    return sorted(words, key=lambda w: (zlib.crc32(w.encode()), w))
-
-
 class _Trainer:
-    """Words of the sample, their kernels with the landmarks, and the machine trained on some of its texts."""
-
-    def __init__(self, bags: list[set[str]], toxic: np.ndarray):
-        self.bags, self.toxic = bags, toxic
-        good = Counter(w for bag, t in zip(bags, toxic) if not t for w in bag)
-        self.suspects = [{w for w in bag if w not in good} if t else set() for bag, t in zip(bags, toxic)]
+    """The sample's words as numbers, their kernels with the landmarks, and the machine trained on some of its texts."""
+
+    def __init__(self, vocabulary: list[str], bags: list[np.ndarray], toxic: np.ndarray):
+        """`bags` hold the numbers of each text's different words."""
+        self.vocabulary, self.bags, self.toxic = vocabulary, bags, toxic
+        size = len(vocabulary)
+        self.hash = np.array([zlib.crc32(w.encode()) for w in vocabulary], np.uint32)
+        good = self._count(b for b, t in zip(bags, toxic) if not t)
+        self.suspects = [b[good[b] == 0] if t else b[:0] for b, t in zip(bags, toxic)]
         # Toxic texts that share their least hash are taken for copies of each other and count once.
-        groups: dict[int, set[str]] = {}
-        for k, bag in enumerate(self.suspects):
-            if bag:
-                groups.setdefault(min(zlib.crc32(w.encode()) for w in bag), set()).update(bag)
-        self.support = Counter(w for bag in groups.values() for w in bag)
-        ranked = sorted(self.support, key=lambda w: (-self.support[w], zlib.crc32(w.encode()), w))[:INSTANCES]
-        frequent = sorted(good, key=lambda w: (-good[w], w))[:INSTANCES // 2]
-        self.clean = _ordered(good)[:POOL]
-        third = LANDMARKS // 4
-        spread = ranked[2 * third::max(1, (len(ranked) - 2 * third) // third)][:third]
-        self.landmarks = [_pieces(w)[0] for w in dict.fromkeys([*ranked[:2 * third], *spread, *frequent[:third]])]
+        groups: dict[int, list[np.ndarray]] = {}
+        for b in self.suspects:
+            if b.size:
+                groups.setdefault(int(self.hash[b].min()), []).append(b)
+        self.support = self._count(np.unique(np.concatenate(g)) for g in groups.values())
+        ranked = self._first(-self.support, self.support > 0)[:INSTANCES]
+        frequent = self._first(-good, good > 0)[:INSTANCES // 2]
+        self.clean = self._first(np.zeros(size), good > 0)[:POOL]
+        part = LANDMARKS // 4
+        spread = ranked[2 * part::max(1, (len(ranked) - 2 * part) // part)][:part]
+        chosen = dict.fromkeys(np.concatenate([ranked[:2 * part], spread, frequent[:part]]).tolist())
+        self.landmarks = [_pieces(vocabulary[k])[0] for k in chosen]
         self._prepare()
-        self.at: dict[str, int] = {}
-        self.z = np.zeros((0, self.whiten.shape[1] + 1))
-        self.add([*ranked, *frequent, *self.clean[:INSTANCES // 4]])
+        self.row = np.full(size, -1, np.int32)
+        self.z = np.zeros((0, self.whiten.shape[1] + 1), np.float32)
+        self.add(np.concatenate([ranked, frequent, self.clean[:INSTANCES // 4]]))
+
+    def _count(self, bags) -> np.ndarray:
+        out = np.zeros(len(self.vocabulary), np.int64)
+        for b in bags:
+            out[b] += 1
+        return out
+
+    def _first(self, order: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Numbers of the wanted words in this order, equals by their hash."""
+        k = np.flatnonzero(wanted)
+        return k[np.lexsort((self.hash[k], order[k]))]
 
     def _prepare(self) -> None:
         codes = _matrix(self.landmarks)
@@ -224,12 +239,13 @@ class _Trainer:
         keep = values > 1e-4 * values.max()
         self.whiten = vectors[:, keep] / np.sqrt(values[keep])
 
-    def add(self, words: list[str]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self.at]
-        if new:
-            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
-            z = self._kernel([_pieces(w)[0] for w in new]) @ self.whiten
-            self.z = np.vstack([self.z, np.hstack([z, np.ones((len(new), 1))])])
+    def add(self, words: np.ndarray) -> None:
+        """Take words among the instances."""
+        new = np.array(list(dict.fromkeys(words[self.row[words] < 0].tolist())), int)
+        if new.size:
+            self.row[new] = np.arange(len(self.z), len(self.z) + len(new))
+            z = self._kernel([_pieces(self.vocabulary[k])[0] for k in new]) @ self.whiten
+            self.z = np.vstack([self.z, np.hstack([z, np.ones((len(new), 1))]).astype(np.float32)])
 
     def _kernel(self, pieces: list[str]) -> np.ndarray:
         """Kernel of each piece with each landmark: only triples that some landmark has are looked at."""
@@ -249,51 +265,53 @@ class _Trainer:
     def fit(self, chosen: np.ndarray) -> tuple[np.ndarray, float]:
         """Weights per triple and bias from the chosen texts. Starts from the suspects that most separate toxic
         texts share; each round keeps the words on the toxic side and adds the clean words that were misjudged."""
-        clean = {w for k in chosen if not self.toxic[k] for w in self.bags[k]}
-        pool = [w for w in self.clean if w in clean]
-        good = {w for w in self.at if w in clean}
-        bags = [np.array(sorted(self.at[w] for w in self.suspects[k] if w in self.at), int) for k in chosen if self.toxic[k]]
+        seen = self._count(self.bags[k] for k in chosen if not self.toxic[k]) > 0
+        pool = self.clean[seen[self.clean]]
+        good = np.flatnonzero(seen & (self.row >= 0))
+        bags = [b[self.row[b] >= 0] for b in (self.suspects[k] for k in chosen if self.toxic[k])]
         bags = [b for b in bags if b.size]
-        support = np.zeros(len(self.at))
-        for w, n in self.support.items():
-            if w in self.at:
-                support[self.at[w]] = n
-        table, bias, w = None, 0.0, None
+        table, bias, w = np.zeros(LETTERS ** 3, np.float32), 0.0, None
         for step in range(ROUNDS):
-            picked: set[int] = set()
+            picked: list[np.ndarray] = []
             for b in bags:
-                found = support[b] if w is None else self.z[b] @ w
+                found = self.support[b] if w is None else self.z[self.row[b]] @ w
                 least = max(2, found.max() / 2) if w is None else 0
-                hits = b[found >= least] if (found >= least).any() else b if w is None else b[[found.argmax()]]
-                picked.update(hits.tolist())
-            bad, fine = sorted(picked), sorted(self.at[x] for x in good)
-            y = np.r_[np.ones(len(bad)), -np.ones(len(fine))]
-            share = max(1, len(fine)) / max(1, len(bad))
-            weight = np.r_[np.full(len(bad), min(10.0, max(0.25, share))), np.ones(len(fine))]
-            w = _svm(self.z[[*bad, *fine]], y, weight, w)
+                hits = b[found >= least]
+                picked.append(hits if hits.size else b if w is None else b[[found.argmax()]])
+            bad = np.unique(np.concatenate(picked)) if picked else np.zeros(0, int)
+            y = np.r_[np.ones(len(bad)), -np.ones(len(good))]
+            share = max(1, len(good)) / max(1, len(bad))
+            weight = np.r_[np.full(len(bad), min(10.0, max(0.25, share))), np.ones(len(good))]
+            w = _svm(self.z[self.row[np.r_[bad, good]]], y, weight, w)
             table = np.zeros(LETTERS ** 3, np.float32)
             table[self.index] = self.images[1:] @ (self.whiten @ w[:-1])
             bias = float(w[-1])
-            if pool and step < ROUNDS - 1:
-                found = Model(table, bias).margins(pool)
-                worst = [pool[k] for k in np.argsort(-found, kind="stable")[:INSTANCES // 8] if found[k] > -0.7]
+            if pool.size and step < ROUNDS - 1:
+                found = Model(table, bias).margins([self.vocabulary[k] for k in pool])
+                order = np.argsort(-found, kind="stable")[:INSTANCES // 8]
+                worst = pool[order[found[order] > -0.7]]
                 self.add(worst)
-                good.update(worst)
+                good = np.union1d(good, worst)
         return table, bias
 
 
-def fit(texts: list[str], toxic: list[int], prior: float | None = None) -> Model:
+def _numbered(texts: Iterable[str]) -> tuple[list[str], list[np.ndarray]]:
+    """Words of the texts, and each text's different words as numbers."""
+    at: dict[str, int] = {}
+    bags = [np.unique(np.array([at.setdefault(w, len(at)) for w in map(plain, tokens(t)) if w], np.int32)) for t in texts]
+    return list(at), bags
+
+
+def fit(texts: Iterable[str], toxic: list[int], prior: float | None = None) -> Model:
     """A model from labelled texts; `prior` is the share of toxic ones among all labelled rows.
 
-    Without texts of both classes the model is a constant: the share of toxic texts, 0 if there is none.
+    Without texts of both classes, or words in them, the model is a constant: the share of toxic texts, 0 if there is none.
     """
     y = np.array(toxic, bool)
-    if y.all() or not y.any():
+    vocabulary, bags = _numbered(texts)
+    if not any(b.size for b, t in zip(bags, y) if t) or not any(b.size for b, t in zip(bags, y) if not t):
         return Model(constant=float(y.mean()) if len(y) else 0.0)
-    bags = [{p for p in map(plain, tokens(t)) if p} for t in texts]
-    if not any(bags[k] for k in np.flatnonzero(y)) or not any(bags[k] for k in np.flatnonzero(~y)):
-        return Model(constant=float(y.mean()))
-    trainer = _Trainer(bags, y)
+    trainer = _Trainer(vocabulary, bags, y)
     fold = np.zeros(len(y), int)
     for label in (True, False):
         same = np.flatnonzero(y == label)
@@ -302,9 +320,14 @@ def fit(texts: list[str], toxic: list[int], prior: float | None = None) -> Model
     for part in range(FOLDS):
         train = np.flatnonzero(fold != part) if y[fold != part].any() else np.arange(len(y))
         half = Model(*trainer.fit(train))
-        known = _Margins(half)
-        for k in np.flatnonzero(fold == part):
-            x[k] = _features(known.of(bags[k]))
+        margin = np.zeros(len(vocabulary))
+        held = np.flatnonzero(fold == part)
+        asked = np.unique(np.concatenate([bags[k] for k in held])) if len(held) else np.zeros(0, int)
+        for at in range(0, len(asked), POOL):
+            some = asked[at:at + POOL]
+            margin[some] = half.margins([vocabulary[k] for k in some])
+        for k in held:
+            x[k] = _features(margin[bags[k]])
     share = y.mean()
     prior = share if prior is None else min(max(prior, 1e-6), 1 - 1e-6)
     weight = np.where(y, prior / share, (1 - prior) / (1 - share))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # Columns that the operators use inside, or return.
 CLASHING = ["score", "predicted", "fp", "component", "fingerprint", "term", "pos", "start", "length", "blob", "found", "part", "node",
-            "__x", "label", "w", "mask", "size"]
+            "__x", "label", "w", "mask", "size", "__id", "__th", "__text", "__doc", "__blob", "__found", "__new", "__row", "__y", "a.b"]
 
 
 def docs(spark, rows, clashing=False):

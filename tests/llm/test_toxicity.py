@@ -61,7 +61,7 @@ def scored(model, texts):
 
 def test_kernel_is_the_gapped_subsequence_kernel():
     words = ["idiot", "idxiot", "moron", "theory", "a", "é"]
-    trainer = T._Trainer([{"idiot", "moron", "wretch"}, {"theory", "other", "words"}], np.array([True, False]))
+    trainer = T._Trainer(["idiot", "moron", "wretch", "theory", "other", "words"], [np.arange(3), np.arange(3, 6)], np.array([True, False]))
     got = trainer._kernel([T._pieces(w)[0] for w in words])
     for i, w in enumerate(words):
         for j, mark in enumerate(trainer.landmarks):
@@ -90,7 +90,7 @@ def test_long_words_are_scored_whole(model):
 
 def test_nothing_to_learn_from():
     assert T.fit([], []).constant == 0.0 and T.fit(["a b"], [0]).constant == 0.0 and T.fit(["a b"], [1]).constant == 1.0
-    assert T.fit(["...", "a b"], [1, 0]).constant == 0.5
+    assert T.fit(["...", "a b"], [1, 0]).constant == 0.5 and T.fit(["a b", None], [1, 0]).constant == 0.5
 
 
 def test_awkward_rows(spark):
