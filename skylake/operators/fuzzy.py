@@ -26,12 +26,18 @@ def _probe(text: Column, position: Column | int, kind: int) -> Column:
     return F.xxhash64(text, place.cast("int"), F.lit(kind))
 
 
+def _tagged(probes: Column, equal: bool) -> Column:
+    return F.transform(probes, lambda p: F.struct(p.alias("__probe"), F.lit(equal).alias("__equal")))
+
+
 def _short_probes(name: Column, whole: int, shorter: int) -> Column:
-    """Probes of a name that may pair with one of `SHORT` characters or fewer."""
+    """Probes of a name that may pair with one of `SHORT` characters or fewer; they meet every pair exactly once, an equal one by
+    the probe that is tagged so."""
     positions = F.when(F.length(name) > 0, F.sequence(F.lit(1), F.length(name))).otherwise(F.array().cast("array<int>"))
     substituted = F.transform(positions, lambda i: _probe(_without(name, i), i, SUBSTITUTED))
-    cut = F.transform(positions, lambda i: _probe(_without(name, i), 0, shorter))
-    return F.concat(F.array(_probe(name, 0, EQUAL), _probe(name, 0, whole)), substituted, cut)
+    cut = F.array_distinct(F.transform(positions, lambda i: _probe(_without(name, i), 0, shorter)))
+    rest = F.concat(F.array(_probe(name, 0, whole)), substituted, cut)
+    return F.concat(_tagged(F.array(_probe(name, 0, EQUAL)), True), _tagged(rest, False))
 
 
 def _long_probes(name: Column) -> Column:
@@ -44,14 +50,15 @@ def _long_probes(name: Column) -> Column:
             _probe(F.substring(name, F.length(name) - (least - half) + 1, least - half), least, SECOND),
         )).otherwise(F.array().cast("array<bigint>"))
 
-    return F.concat(halves(F.length(name)), halves(F.length(name) - 1))
+    return _tagged(F.concat(halves(F.length(name)), halves(F.length(name) - 1)), False)
 
 
-def _probes(name: Column, whole: int, shorter: int) -> Column:
-    none = F.array().cast("array<bigint>")
-    short = F.when(F.length(name) <= SHORT + 1, _short_probes(name, whole, shorter)).otherwise(none)
-    long = F.when(F.length(name) > SHORT, _long_probes(name)).otherwise(none)
-    return F.array_distinct(F.concat(short, long))
+def _probed(names: DataFrame, name: str, whole: int, shorter: int) -> DataFrame:
+    """(name, `__probe`, `__equal`, `__long`) of all probes of the names."""
+    size = F.length(name)
+    short = names.where(size <= SHORT + 1).select(name, F.inline(_short_probes(F.col(name), whole, shorter)), F.lit(False).alias("__long"))
+    long = names.where(size > SHORT).select(name, F.inline(_long_probes(F.col(name))), F.lit(True).alias("__long"))
+    return short.union(long)
 
 
 def near_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
@@ -61,13 +68,23 @@ def near_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     dropping the character at the same position of both (substitution), or when one equals the
     other with one character dropped; long names are met by halves instead. Each case is an equality of
     64-bit probes, so the join is an equi-join, and every pair that it meets is verified. The probes of the right
-    side are written and measured first, and broadcast only if they fit.
+    side are written and measured first, and broadcast only if they fit. Only pairs of long names can be met more than
+    once and are made distinct.
     """
-    a = left.select(left_name, F.explode(_probes(F.col(left_name), RIGHT_SHORTER, LEFT_SHORTER)).alias("__probe"))
-    b = right.select(right_name, F.explode(_probes(F.col(right_name), LEFT_SHORTER, RIGHT_SHORTER)).alias("__probe"))
-    b, small = settle_and_measure(b, "probes")
-    met = a.join(F.broadcast(b) if small else b, "__probe").select(left_name, right_name).distinct()
-    return met.withColumn("distance", F.levenshtein(left_name, right_name, 1)).where(F.col("distance") >= 0)
+    a = _probed(left, left_name, RIGHT_SHORTER, LEFT_SHORTER)
+    b, small = settle_and_measure(_probed(right, right_name, LEFT_SHORTER, RIGHT_SHORTER).drop("__equal"), "probes")
+
+    def met(long: bool) -> DataFrame:
+        of = F.col("__long") == F.lit(long)
+        probes = b.where(of).drop("__long")
+        return a.where(of).drop("__long").join(F.broadcast(probes) if small else probes, "__probe")
+
+    # From 65 characters on a name has probes of both sorts; the shorter name of a pair says which of them count.
+    short = F.least(F.length(left_name), F.length(right_name)) <= SHORT
+    same = F.col(left_name) == F.col(right_name)
+    pairs = met(False).where(short & (F.col("__equal") == same)).select(left_name, right_name)
+    pairs = pairs.union(met(True).where(~short).select(left_name, right_name).distinct())
+    return pairs.withColumn("distance", F.levenshtein(left_name, right_name, 1)).where(F.col("distance") >= 0)
 
 
 def near_lookup(
