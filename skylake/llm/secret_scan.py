@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,10 +72,12 @@ def blob(text_col: str):
     return F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
 
 
-def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    types = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
     for batch in batches:
-        rows = [(b, *s) for b, t in zip(batch["__blob"], batch["__text"]) for s in spans(t or "")]
-        yield pd.DataFrame(rows, columns=["blob", "kind", "start", "end"])
+        rows = [(b.as_py(), *s) for b, t in zip(batch.column(0), batch.column(1)) for s in spans(t.as_py() or "")]
+        columns = list(zip(*rows)) if rows else [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["blob", "kind", "start", "end"])
 
 
 def scan(docs: DataFrame, ledger: Ledger, id_col: str = "doc_id", text_col: str = "text", rules: str = RULES) -> dict[str, int]:
@@ -89,7 +91,7 @@ def scan(docs: DataFrame, ledger: Ledger, id_col: str = "doc_id", text_col: str
         texts = docs.select(F.coalesce(F.col(id_col), F.lit(0)).alias("__id"), F.xxhash64(id_col, text_col).alias("__th"),
                             F.col(text_col).alias("__text"))
         unseen = texts.join(todo.select("__blob", "__id", "__th"), ["__id", "__th"]).select("__blob", "__text")
-        found = unseen.mapInPandas(_scan, f"blob string, {FOUND}")
+        found = unseen.mapInArrow(_scan, f"blob string, {FOUND}")
         ledger.add(found.select("blob", F.lit(rules).alias("rules"), "kind", "start", "end"),
                    todo.select(F.col("__blob").alias("blob"), F.lit(rules).alias("rules")))
     return {"scanned": seen["n"]}
@@ -129,16 +131,17 @@ def op7_secrets(docs: DataFrame) -> DataFrame:
         F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("found")).alias("spans"))
 
 
-def _redacted(text: pd.Series, starts: pd.Series, ends: pd.Series, kinds: pd.Series) -> pd.Series:
+def _redacted(text: pa.Array, starts: pa.Array, ends: pa.Array, kinds: pa.Array) -> pa.Array:
     out = []
-    for t, first, last, kind in zip(text, starts, ends, kinds):
+    for row in zip(text, starts, ends, kinds):
+        t, first, last, kind = (v.as_py() for v in row)
         parts, at = [], 0
         for a, b, k in zip(first, last, kind):
             if a >= at:
                 parts += [t[at:a], f"[{KINDS[k]}]"]
             at = max(at, b)
         out.append("".join([*parts, t[at:]]))
-    return pd.Series(out, dtype=object)
+    return pa.array(out, pa.string())
 
 
 def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", ledger: Ledger | None = None) -> DataFrame:
@@ -152,7 +155,7 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_c
     own = lambda c: F.col("__row").getField(c)
     empty = F.array().cast("array<bigint>")
     part = lambda name: F.coalesce(F.col(f"__found.{name}"), empty)
-    text = F.when(F.col("__found").isNotNull(), F.pandas_udf(_redacted, "string")(F.coalesce(own(text_col), F.lit("")), part("start"), part("end"), part("kind")))
+    text = F.when(F.col("__found").isNotNull(), F.arrow_udf(_redacted, "string")(F.coalesce(own(text_col), F.lit("")), part("start"), part("end"), part("kind")))
     rows = rows.withColumn("__new", text)
     new = F.coalesce("__new", own(text_col))
     columns = [new.alias(c) if c == text_col else

@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +40,7 @@ COST = 8.0
 DECAY, SPAN = 0.7, 5
 LETTERS = 64
 PIECE, OVERLAP = 40, 12
-MEMO = 400_000
+MEMO = 150_000
 THRESHOLD = 0.7
 SURE = 0.6
 FOLDS = 4
@@ -377,14 +377,14 @@ def score(model: Model, docs: DataFrame, text: Column) -> Column:
         return F.lit(model.constant)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
         model = shared.value
         if model.name not in _WORKER:
             _WORKER.clear()
             _WORKER[model.name] = _Margins(model)
         known = _WORKER[model.name]
-        return pd.Series([model.score(known.of(tokens(t))) for t in texts], dtype="float64")
+        return pa.array([model.score(known.of(tokens(t.as_py()))) for t in texts], pa.float64())
 
     return run(text)
 
