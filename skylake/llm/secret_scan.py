@@ -5,7 +5,8 @@ scanned, and another the findings, a row per finding. A scan reads only the blob
 by the row with the smallest id that holds it, however many rows and paths share it. Findings are then joined back to all rows of
 their blob. The ledger is only appended to: findings first, then the pairs, so what a failed scan left is scanned again.
 
-Rules (versioned together by RULES): the three base kinds, and `pem` for the header line of a private key.
+Rules (versioned together by RULES): the three base kinds, and `pem` for a private key from its BEGIN line to the END line of the same name,
+or, where the next such line is another, to the end of its base64 lines.
 """
 
 from __future__ import annotations
@@ -20,12 +21,15 @@ from pyspark.sql import functions as F
 from skylake.llm.common import packed, settle_counted
 from skylake.session import fresh_path, settle
 
-RULES = "base-1"
+RULES = "base-2"
 KINDS = ("assign", "access", "hex", "pem")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")  # a run of 16 or more starts where the run of any length does
-_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----")
+_PEM = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?)-----")
+# What follows a BEGIN line without an END line: header lines, an empty line, base64 lines of which the first is 16 characters or longer.
+_BREAK = r"[ \t]*(?:\r?\n|\r|\\r\\n|\\n)[ \t]*+"
+_BODY = re.compile(rf"(?:{_BREAK}[A-Za-z][A-Za-z-]*:[^\r\n\\]*+)*+(?:{_BREAK})++[A-Za-z0-9+/]{{16,}}+=*+(?:{_BREAK}=?[A-Za-z0-9+/]++=*+(?=[ \t]*(?:[\r\n\\\"',;]|\Z)))*+")
 FOUND = "kind int, start bigint, end bigint"
 LEDGER = "blob string, rules string"
 
@@ -40,10 +44,24 @@ def spans(text: str) -> list[tuple[int, int, int]]:
         found += [(1, m.start(), m.end()) for m in _ACCESS.finditer(text) if len(m.group()) >= 18]
     found += [(2, m.start(), m.end()) for m in _HEX.finditer(text)]
     if "-----BEGIN " in text:
-        found += [(3, m.start(), m.end()) for m in _PEM.finditer(text)]
+        found += _keys(text)
     return sorted(found, key=lambda x: (x[1], x[0], x[2]))
 
 
+def _keys(text: str) -> list[tuple[int, int, int]]:
+    """Private keys, BEGIN line to END line or end of body."""
+    marks, found = list(_PEM.finditer(text)), []
+    for m, after in zip(marks, [*marks[1:], None]):
+        if m[1] == "BEGIN":
+            if after and after[1] == "END" and after[2] == m[2]:
+                end = after.end()
+            else:
+                body = _BODY.match(text, m.end(), after.start() if after else len(text))
+                end = body.end() if body else m.end()
+            found.append((3, m.start(), end))
+    return found
+
+
 class Ledger:
     """Scanned pairs and findings below a folder of the shared store; by default a new, empty one."""
 

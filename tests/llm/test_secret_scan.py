@@ -73,3 +73,20 @@ def test_redact(spark):
 
 def test_empty_table(spark):
     assert S.op7_secrets(docs(spark, [])).count() == 0 and S.redact(docs(spark, [])).count() == 0
+
+
+LINES = "\n".join(["MIIEpAIBAAKCAQEA" + "aB3/" * 12] * 3 + ["Zz9="])
+
+
+def test_private_keys_go_whole(spark):
+    rsa = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n{LINES}\n-----END RSA PRIVATE KEY-----"
+    pgp = f"-----BEGIN PGP PRIVATE KEY BLOCK-----\n\n{LINES}\n=abcd\n-----END PGP PRIVATE KEY BLOCK-----"
+    cut = f"-----BEGIN PRIVATE KEY-----\r\n{LINES}"
+    table = [(1, f"a {rsa} b {rsa} c"), (2, f"a {pgp} b"), (3, f"a {cut}\nplain words follow"), (4, f"a {cut}\n{rsa} z"),
+             (5, "-----BEGIN PRIVATE KEY-----\nopens a key"), (6, "-----BEGIN PRIVATE KEY-----" + f"\n{LINES}".replace("\n", "\\n") + "\" x")]
+    by = {r.doc_id: r.text for r in S.redact(docs(spark, table)).collect()}
+    assert by == {1: "a [pem] b [pem] c", 2: "a [pem] b", 3: "a [pem]\nplain words follow", 4: "a [pem]\n[pem] z", 5: "[pem]\nopens a key", 6: '[pem]" x'}
+
+
+def test_many_open_keys_take_linear_time():
+    assert len(S.spans("-----BEGIN PRIVATE KEY-----\n" * 50_000)) == 50_000
