@@ -158,30 +158,42 @@ def write_warc(records: DataFrame, path: str) -> None:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Headers and block of every record below `path`: (headers map, block). Revisits have a block without payload."""
+    """Headers and block of every record below `path`: (headers map, block). Revisits have a block without payload.
+
+    The reader splits at the first of several line ends, so where a block ends in a line end of its own, part of the closing ones and the next
+    record's headers arrive in one piece; that piece is cut at the declared length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[bytes] = []
         headers, size, need = None, 0, 0
         kind = pa.map_(pa.string(), pa.string())
+
+        def start(chunk: bytes) -> None:
+            nonlocal headers, need, size, parts
+            lines = chunk.decode("utf-8", "replace").split("\r\n")
+            if not lines[0].startswith("WARC/"):
+                raise ValueError(f"no WARC header: {lines[0][:80]!r}")
+            headers = dict(x.split(": ", 1) for x in lines[1:])
+            need, size, parts = int(headers["Content-Length"]), -len(END), []
+
         for batch in batches:
             out: list[tuple] = []
             for chunk in batch.column(0):
                 chunk = chunk.as_py()
                 if headers is None:
-                    lines = chunk.decode("utf-8", "replace").split("\r\n")
-                    if not lines[0].startswith("WARC/"):
-                        raise ValueError(f"no WARC header: {lines[0][:80]!r}")
-                    headers = dict(x.split(": ", 1) for x in lines[1:])
-                    need, size, parts = int(headers["Content-Length"]), -len(END), []
+                    start(chunk)
                     continue
                 parts.append(chunk)
                 size += len(chunk) + len(END)
-                if size == need:
-                    out.append((list(headers.items()), END.join(parts)))
-                    headers = None
-                elif size > need:
+                if size < need:
+                    continue
+                whole = END.join(parts)
+                if size > need and whole[need:need + len(END)] != END:
                     raise ValueError("WARC record is longer than declared")
+                out.append((list(headers.items()), whole[:need]))
+                headers = None
+                if len(whole) > need + len(END):
+                    start(whole[need + len(END):])
             columns = list(zip(*out)) if out else [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], kind), pa.array(columns[1], pa.binary())], names=["headers", "block"])
         if headers is not None:

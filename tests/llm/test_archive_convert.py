@@ -92,3 +92,19 @@ def test_files_are_converted(spark, tmp_path):
 
 def test_same_as_sql(spark):
     assert compare(spark, duck(SF_DIR), "op8", queries.QUERIES["op8_warc"], A.SQL, SF_DIR) is None
+
+
+TAILS = ["\r\n", "\r\n\r\n\r\n", "\r\n\r\n", "\r", "\r\r\n", "\n", "\r\n\r", "\r\n\n", "\r\n\r\n\r", ""]
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_payloads_that_end_in_line_ends(spark, parts):
+    rows = [(i, "u", f"{text}{tail}") for i, (text, tail) in enumerate((a, b) for b in TAILS for a in (f"abc{TAILS.index(b)}", ""))]
+    assert sorted(map(tuple, A.op8_warc(spark.createDataFrame(rows, PAGES).repartition(parts)).collect()), key=repr) == brute(rows)
+
+
+def test_wrong_lengths_are_refused(spark, tmp_path):
+    for k, n in enumerate((2, 9)):
+        (tmp_path / f"{k}.warc").write_bytes(f"WARC/1.1\r\nContent-Length: {n}\r\n\r\nabc\r\n\r\n".encode())
+        with pytest.raises(Exception, match="than declared"):
+            A.read_warc(spark, str(tmp_path / f"{k}.warc")).collect()
