@@ -13,8 +13,8 @@ without meeting any landmark. A sentence takes the margin of its worst word and
 with how many words are on the toxic side and how long the text is, a logistic curve fitted on texts that the machine had not
 seen turns this into the score.
 
-Fitting runs on a bounded sample: SAMPLE_PER_CLASS labelled rows of each class in the order of a hash of the id,
-up to SAMPLE_CHARS characters. Scoring covers every text whole.
+Fitting runs on a bounded sample: of each class SAMPLE_PER_CLASS labelled ids in the order of a hash, one row per id, up to half of SAMPLE_CHARS
+characters; single texts over a hundredth of that half are left out of the sample. Scoring covers every text whole.
 """
 
 from __future__ import annotations
@@ -27,9 +27,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skylake.session import settle
+
 SAMPLE_PER_CLASS = 3_000
 SAMPLE_CHARS = 24_000_000
 LANDMARKS = 240
@@ -355,19 +357,29 @@ _WORKER: dict[str, _Margins] = {}
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           only: Column | None = None) -> Model:
     """A model from the rows of `labels` with an id and a label that `only` admits; of an id that is labelled twice
-    the higher label counts. Texts without a label, or null, take no part."""
+    the higher label counts, of one with several texts that of the least hash. Texts without a label, or null, take no part.
+    Where there are labels and documents, a class without a text to learn from is an error."""
     rows = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).dropna()
     if only is not None:
         rows = rows.where(only)
     rows = rows.groupBy("__id").agg((F.max("__y") > 0).cast("int").alias("__y"))
     counts = {r["__y"]: r["count"] for r in rows.groupBy("__y").count().collect()}
-    order = F.xxhash64(F.col("__id").cast("string"))
-    each = [rows.where(F.col("__y") == y).orderBy(order, "__id").limit(SAMPLE_PER_CLASS) for y in (0, 1)]
-    sample = F.broadcast(each[0].union(each[1]))  # SAMPLE_PER_CLASS rows of two numbers at most, for each class
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(sample, "__id").where("__text is not null")
-    chars = F.sum(F.length("__text")).over(Window.orderBy(order, F.xxhash64("__text")).rowsBetween(Window.unboundedPreceding, 0))
-    picked = texts.withColumn("__sum", chars).where(F.col("__sum") <= SAMPLE_CHARS).select("__text", "__y").collect()
     total = sum(counts.values())
+    texts = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__th"), F.col(text_col).alias("__text"))
+    usable = texts.where(F.length("__text") <= SAMPLE_CHARS // 2 // 100).select("__id", "__th", F.length("__text").alias("__n"))
+    known = settle(rows.join(usable.groupBy("__id").agg(F.min(F.struct("__th", "__n")).alias("__own")), "__id").select("__id", "__y", "__own.*"), "labelled")
+    chosen: list[tuple] = []
+    for y in (0, 1):
+        left = SAMPLE_CHARS // 2
+        for r in known.where(F.col("__y") == y).orderBy(F.xxhash64(F.col("__id").cast("string")), "__id").limit(SAMPLE_PER_CLASS).collect():
+            if r["__n"] <= left:
+                left -= r["__n"]
+                chosen.append((r["__id"], r["__th"], y))
+    if total and len({c[2] for c in chosen}) < 2 and not docs.isEmpty():
+        raise ValueError(f"labelled rows by class {counts}, but texts to learn from only in the classes {sorted({c[2] for c in chosen})}")
+    sample = F.broadcast(docs.sparkSession.createDataFrame(chosen, known.select("__id", "__th", "__y").schema))  # three numbers a row
+    each = texts.join(sample, ["__id", "__th"]).groupBy("__id", "__y").agg(F.first("__text").alias("__text"))
+    picked = each.orderBy(F.xxhash64(F.col("__id").cast("string")), "__id").select("__text", "__y").collect()
     return fit([r[0] for r in picked], [r[1] for r in picked], counts.get(1, 0) / total if total else None)
 
 

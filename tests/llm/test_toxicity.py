@@ -126,3 +126,30 @@ def test_accuracy_on_the_tables(spark):
     caught = sum(r.predicted for r in rows if r.toxic) / sum(r.toxic for r in rows)
     wrong = sum(r.predicted for r in rows if not r.toxic)
     assert right / len(rows) >= 0.96 and caught >= 0.75 and wrong <= 0.005 * len(rows)
+
+
+def sampled(spark, monkeypatch, table, marks):
+    """Texts and labels that training is given."""
+    seen = []
+    monkeypatch.setattr(T, "fit", lambda texts, toxic, prior=None: seen.append((texts, toxic)) or T.Model(constant=0.0))
+    T.train(docs(spark, table), spark.createDataFrame(marks, "doc_id bigint, toxic int"))
+    return seen[0]
+
+
+def test_long_texts_do_not_empty_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(T, "SAMPLE_CHARS", 20_000)
+    table = [(k, "long " * 6000 if k % 3 == 0 else f"text {k} " + "x" * 80) for k in range(300)]
+    texts, toxic = sampled(spark, monkeypatch, table, [(k, k % 2) for k in range(300)])
+    assert toxic.count(0) >= 90 and toxic.count(1) >= 90 and not any("long" in t for t in texts)
+
+
+def test_one_row_of_an_id_is_sampled(spark, monkeypatch):
+    table = [*[(1, "the same row")] * 50, (1, "another"), (2, "clean"), (3, "toxic")]
+    texts, toxic = sampled(spark, monkeypatch, table, [(1, 0), (2, 0), (3, 1)])
+    assert len(texts) == 3 and sorted(toxic) == [0, 0, 1]
+
+
+@pytest.mark.parametrize("marks", [[(1, 0), (2, 0)], [(1, 1), (2, 1)], [(1, 0), (9, 1)]])
+def test_a_class_without_texts_is_an_error(spark, marks):
+    with pytest.raises(ValueError, match="texts to learn from"):
+        T.train(docs(spark, [(1, "a b"), (2, "c d")]), spark.createDataFrame(marks, "doc_id bigint, toxic int"))
