@@ -1,14 +1,17 @@
 """Main text of pages by a site style tree.
 
-The DOMs of a host's pages are merged: elements with the same chain of tags, classes and ids are one node of the tree. For each node the
-contents that the pages have there are counted over the whole host, and its importance follows from their entropy: a content that stands in
-c of the m pages with the node has entropy ln c / ln m, and a node's importance is one minus the mean entropy of its contents, times the share
-of its text that is not inside links. What every page of the site repeats, and what is a list of links, is of low importance.
-Presentation decides first where it says so by itself: branches that are marked as menus, headers, footers, sidebars, notices,
-adverts, forms or reader comments have importance 0, and a page with an article (or main) element has its text there.
-
-From each page the branches of low importance are removed. Whole nodes go or stay, never single contents, so a paragraph
-that many articles share is kept.
+The DOMs of a host's pages are merged: elements with the same chain of tags, classes and ids are one node of the
+tree. For each node the contents and the presentations that the pages have there are counted over the host's different pages; pages with
+equal blocks count once. The entropies are such as do not move with the size of the site: a content on c of the m pages with the node has
+(c - 1) / (m - 1) (Tsallis entropy of order 0, by its maximum), and the content importance is one minus its mean; the presentation importance
+is one minus the sum of p * p over the node's l sequences of children (order 2). The composite importance weighs presentation by 1 - GAMMA ** (l - 1)
+and content by the rest. A node is as important as the greater of its content and its composite, times the share of its text that is not
+inside links. What every page of the site repeats, and what is a list of links, is of low importance.
+
+From each page the branches of low importance are removed, inside an article too. Branches that are marked as menus, headers, footers, sidebars,
+notices, adverts, forms or reader comments have importance 0. An article (or main) element is a prior: inside it half the importance is enough, on the
+rest of such a page three times as much is asked, and nodes of which the site has too few pages are left to it. Whole nodes go or stay, never
+single contents, so a paragraph that many articles share is kept.
 """
 
 from __future__ import annotations
@@ -24,8 +27,11 @@ from pyspark.sql import functions as F
 
 from skylake.llm.common import bounded
 from skylake.llm.url_filter import host
+from skylake.session import settle
 
 LEAST_IMPORTANCE = 0.25
+GAMMA = 0.9
+INSIDE, OUTSIDE = 0.5, 3.0  # times LEAST_IMPORTANCE, on a page with text inside an article
 LEAST_PAGES = 4  # with fewer pages a repeated content says nothing about the site
 
 _TOKEN = re.compile(
@@ -63,11 +69,13 @@ def _element(tag: str, attributes: str) -> tuple[str, bool, bool]:
 
 
 class Parser:
-    """Text blocks of a page in order: (node, text, characters inside links, in the main part). Branches marked as noise give none."""
+    """Text blocks of a page in order: (node, text, characters inside links, in the main part). Branches marked as noise give none.
+    `children` holds the names of the elements below each node of the last page, in order, repeats left out."""
 
     def __init__(self):
         self.known: dict[tuple[str, str], tuple[str, bool, bool]] = {}
         self.nodes: dict[tuple[int, str], int] = {}
+        self.children: dict[int, list[str]] = {}
 
     def _open(self, tag: str, attributes: str, above: tuple) -> tuple:
         key = (tag, attributes)
@@ -83,6 +91,10 @@ class Parser:
                 self.nodes.clear()
             self.nodes[step] = xxhash.xxh64_intdigest(f"{node}/{name}") - (1 << 63)
         noise = noise or tag == "header" and not inside
+        if not noisy:
+            below = self.children.setdefault(node, [])
+            if not below or below[-1] != name:
+                below.append(name)
         return tag, self.nodes[step], noisy or noise, inside or main, linked or tag == "a"
 
     def blocks(self, html: str) -> list[tuple[int, str, int, bool]]:
@@ -90,6 +102,7 @@ class Parser:
         stack: list[tuple] = [("", 0, False, False, False)]
         text: list[str] = []
         linked = 0
+        self.children = {}
 
         def flush() -> None:
             nonlocal linked
@@ -148,65 +161,93 @@ class Parser:
                 return
 
 
-def tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, node, importance) of all nodes outside marked noise. Counts run over all pages of the host; contents are pre-aggregated in the
-    map tasks, so a host with a third of all pages is no single task's work."""
-    rows = pages.select(host(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+def _rows(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    html = F.coalesce(F.col(html_col), F.lit(""))
+    return pages.select("*", host(F.col(url_col)).alias("__host"), html.alias("__html"), F.xxhash64(html).alias("__key"))
+
+
+def _nodes(rows: DataFrame) -> DataFrame:
+    """(host, key, page, node, content, shape, place, chars, linked), written: for each page a row per node with its shape (the children) and its
+    place (0: no text of the page is in an article, 1: inside, 2: outside of it), and a row per node and content. `key` is that of the html, `page` a
+    hash of the blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser()
         for batch in batches:
-            hosts, nodes, contents, chars, links = [], [], [], [], []
-            for name, page in zip(batch.column(0).to_pylist(), batch.column(1)):
+            out: list[tuple] = []
+            for name, key, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 seen: dict[tuple[int, int], list[int]] = {}
-                for node, text, linked, _ in parser.blocks(page.as_py()):
-                    held = seen.setdefault((node, xxhash.xxh64_intdigest(text) - (1 << 63)), [0, 0])
+                place: dict[int, int] = {}
+                whole = xxhash.xxh64()
+                for node, text, linked, inside in parser.blocks(page.as_py()):
+                    content = xxhash.xxh64_intdigest(text) - (1 << 63)
+                    held = seen.setdefault((node, content), [0, 0])
                     held[0] += len(text)
                     held[1] += linked
-                for node in {n for n, _ in seen}:
-                    seen[(node, None)] = [0, 0]
-                for (node, content), (n, linked) in seen.items():
-                    hosts.append(name)
-                    nodes.append(node)
-                    contents.append(content)
-                    chars.append(n)
-                    links.append(linked)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), *(pa.array(c, pa.int64()) for c in (nodes, contents, chars, links))],
-                names=["host", "node", "content", "chars", "linked"])
-
-    found = rows.mapInArrow(run, "host string, node bigint, content bigint, chars bigint, linked bigint")
-    each = found.groupBy("host", "node", "content").agg(F.count(F.lit(1)).alias("c"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+                    place[node] = 1 if inside else place.get(node, 2)
+                    whole.update(f"{node} {content} {linked} {inside}\n")
+                if 1 not in place.values():
+                    place = dict.fromkeys(place, 0)
+                shapes = {n: xxhash.xxh64_intdigest("/".join(parser.children.get(n, ()))) - (1 << 63) for n in place}
+                whole.update(str(list(shapes.values())))
+                mark = whole.intdigest() - (1 << 63)
+                out += [(name, key, mark, n, None, shapes[n], where, 0, 0) for n, where in place.items()]
+                out += [(name, key, mark, n, c, None, None, *counts) for (n, c), counts in seen.items()]
+            kinds = [pa.string(), *[pa.int64()] * 5, pa.int32(), pa.int64(), pa.int64()]
+            columns = list(zip(*out)) if out else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                             names=["host", "key", "page", "node", "content", "shape", "place", "chars", "linked"])
+
+    found = rows.select("__host", "__key", "__html").mapInArrow(
+        run, "host string, key bigint, page bigint, node bigint, content bigint, shape bigint, place int, chars bigint, linked bigint")
+    return settle(found, "nodes")
+
+
+def _importance(nodes: DataFrame) -> DataFrame:
+    once = nodes.select("host", "page", "node", "content", "shape", "chars", "linked")
+    each = once.groupBy("host", "node", "content", "shape").agg(
+        F.count(F.lit(1)).cast("double").alias("c"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
     held = F.col("content").isNotNull()
-    nodes = each.groupBy("host", "node").agg(
-        F.max(F.when(~held, F.col("c"))).alias("m"), F.sum(F.when(held, F.col("c") * F.ln("c"))).alias("repeated"),
-        F.sum(F.when(held, F.col("c"))).alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
-    entropy = F.when(F.col("m") >= LEAST_PAGES, F.col("repeated") / F.col("n") / F.ln("m")).otherwise(0.0)
-    return nodes.select("host", "node", ((1 - entropy) * (1 - F.col("linked") / F.greatest("chars", F.lit(1)))).alias("importance"))
+    c = F.col("c")
+    counted = each.groupBy("host", "node").agg(
+        F.sum(F.when(~held, c)).alias("m"), F.sum(F.when(~held, c * c)).alias("squares"), F.count(F.when(~held, c)).alias("l"),
+        F.sum(F.when(held, c * (c - 1))).alias("repeated"), F.sum(F.when(held, c)).alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    content = F.when(F.col("m") >= LEAST_PAGES, 1 - F.col("repeated") / F.col("n") / (F.col("m") - 1)).otherwise(1.0)
+    presentation = 1 - F.col("squares") / F.col("m") / F.col("m")
+    weight = F.pow(F.lit(GAMMA), F.col("l") - 1)
+    both = F.greatest(content, (1 - weight) * presentation + weight * content)
+    return counted.select("host", "node", "m", (both * (1 - F.col("linked") / F.greatest("chars", F.lit(1)))).alias("importance"))
+
+
+def tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, node, m, importance) of all nodes outside marked noise; m: the host's different pages with the node. Counts run over all pages
+    of the host; they are pre-aggregated in the map tasks, so a host with a third of all pages is no single task's work."""
+    return _importance(_nodes(_rows(pages, url_col, html_col)))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per page `__page` (its id), `__url` and `__text`: its blocks in page order, joined by line ends; empty if there is none.
 
-    Null html is empty, a null address belongs to the host without a name. Equal rows each come out and count as several pages.
+    Null html is empty, a null address belongs to the host without a name. Equal rows each come out. A page is joined with its own removed
+    nodes only: its nodes meet the low ones of the tree by host and node and are put together again by page.
     """
-    low = tree(pages, url_col, html_col).where(F.col("importance") < LEAST_IMPORTANCE)
-    listed = bounded(low.groupBy("host").agg(F.collect_list("node").alias("low")), "low_nodes", F.size("low") * 8)
-    rows = pages.select(F.col(id_col).alias("__page"), F.col(url_col).alias("__url"), F.coalesce(F.col(html_col), F.lit("")).alias("__html"),
-                        host(F.col(url_col)).alias("host")).join(listed, "host", "left")
+    all_rows = _rows(pages.select(F.col(id_col).alias("__page"), F.col(url_col).alias("__url"), F.col(html_col).alias("__source")), "__url", "__source")
+    nodes = _nodes(all_rows)
+    low = _importance(nodes).where((F.col("importance") < OUTSIDE * LEAST_IMPORTANCE) | (F.col("m") < LEAST_PAGES))
+    asked = F.when(F.col("place") == 1, INSIDE).when(F.col("place") == 0, 1.0).otherwise(OUTSIDE) * LEAST_IMPORTANCE
+    places = nodes.where("place is not null").select("host", "key", "node", "place").distinct()
+    gone = places.join(settle(low, "low_nodes"), ["host", "node"]).where(
+        (F.col("importance") < asked) | (F.col("place") == 2) & (F.col("m") < LEAST_PAGES))
+    listed = gone.groupBy("host", "key").agg(F.collect_list("node").alias("low")).toDF("__host", "__key", "low")
+    rows = all_rows.join(bounded(listed, "removed", F.size("low") * 8), ["__host", "__key"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser()
         for batch in batches:
             texts = []
             for page, low in zip(batch.column(2), batch.column(3)):
-                found = parser.blocks(page.as_py())
-                if any(inside for *_, inside in found):
-                    kept = [t for _, t, _, inside in found if inside]
-                else:
-                    gone = set(low.as_py() or ())
-                    kept = [t for node, t, _, _ in found if node not in gone]
-                texts.append("\n".join(kept))
+                gone = set(low.as_py() or ())
+                texts.append("\n".join(t for node, t, _, _ in parser.blocks(page.as_py()) if node not in gone))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["__page", "__url", "__text"])
 
     kind = pages.schema[id_col].dataType.simpleString()

@@ -75,3 +75,33 @@ def test_the_table(spark):
         inner = re.sub("<br>", " ", re.search(r"<article>(.*?)</article>", r.html, re.S)[1])
         blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner))
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
+
+
+def texts(spark, rows):
+    return {r["__page"]: r["__text"] for r in S.main_text(frame(spark, rows)).collect()}
+
+
+def test_notices_inside_an_article_go(spark):
+    rows = [(k, f"http://a.org/{k}", f"<article><p>Story {k}</p><div class='box'>Sign up now</div></article><div class='t'>Tips</div>") for k in range(6)]
+    assert texts(spark, rows) == {k: f"Story {k}" for k in range(6)}
+
+
+def test_an_article_is_only_a_prior(spark):
+    rows = [(k, f"http://a.org/{k}", f"<article><p>Story {k}</p></article><div class='t'>More {k} of it</div><div class='u'>{'same' if k < 5 else k}</div>") for k in range(6)]
+    assert texts(spark, rows) == {k: f"Story {k}\nMore {k} of it" for k in range(6)}
+    few = [(k, f"http://b.org/{k}", f"<article>Story {k}</article><div>More {k}</div>") for k in range(2)]
+    assert texts(spark, few) == {0: "Story 0", 1: "Story 1"}
+
+
+def test_importance_does_not_move_with_the_size(spark):
+    found = []
+    for n in (40, 400):
+        rows = [(k, "http://a.org/", f"<p>{k}</p><div>{'Notice' if k % 10 == 0 else f'own {k}'}</div>") for k in range(n)]
+        found.append(min(r.importance for r in S.tree(frame(spark, rows)).collect()))
+    assert found[0] > 0.95 and abs(found[0] - found[1]) < 0.02
+
+
+def test_presentation_counts(spark):
+    rows = [(k, f"http://a.org/{k}", f"<i>{k}</i><p><b>Same</b></p><div><{'bisu'[k % 4]}>Same</{'bisu'[k % 4]}></div>") for k in range(8)]
+    got = {round(r.importance, 3) for r in S.tree(frame(spark, rows)).collect()}
+    assert got == {1.0, 0.0, round((1 - 0.9 ** 3) * 0.75, 3)}
