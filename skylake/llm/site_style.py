@@ -204,7 +204,7 @@ def _nodes(rows: DataFrame) -> DataFrame:
 
 
 def _importance(nodes: DataFrame) -> DataFrame:
-    once = nodes.select("host", "page", "node", "content", "shape", "chars", "linked")
+    once = nodes.select("host", "page", "node", "content", "shape", "chars", "linked").distinct()
     each = once.groupBy("host", "node", "content", "shape").agg(
         F.count(F.lit(1)).cast("double").alias("c"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
     held = F.col("content").isNotNull()

@@ -93,6 +93,13 @@ def test_an_article_is_only_a_prior(spark):
     assert texts(spark, few) == {0: "Story 0", 1: "Story 1"}
 
 
+def test_equal_pages_count_once(spark):
+    page = "<div class='top'>Welcome</div><div class='box'><p>The only story</p></div>"
+    rows = [(k, f"http://a.org/{k}", page) for k in range(40)] + [(100, "http://a.org/x", page.replace("only", "other"))]
+    got = texts(spark, rows)
+    assert got[0] == "Welcome\nThe only story" and got[100] == "Welcome\nThe other story"
+
+
 def test_importance_does_not_move_with_the_size(spark):
     found = []
     for n in (40, 400):
