@@ -1,6 +1,6 @@
 """Main text of pages by a site style tree.
 
-The DOMs of a host's pages are merged: elements with the same chain of tags, classes and ids are one node of the
+The DOMs of a host's pages are merged: elements with the same chain of tags, classes and ids (numbers in them left out) are one node of the
 tree. For each node the contents and the presentations that the pages have there are counted over the host's different pages; pages with
 equal blocks count once. The entropies are such as do not move with the size of the site: a content on c of the m pages with the node has
 (c - 1) / (m - 1) (Tsallis entropy of order 0, by its maximum), and the content importance is one minus its mean; the presentation importance
@@ -53,6 +53,7 @@ newsletter subscribe subscription share sharing social related recommended comme
 login signup search widget toolbar pager pagination""".split())
 _MAIN_NAMES = frozenset("article post entry story content main body".split())
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_NUMBER = re.compile(r"(?=[a-f]{0,7}\d)[0-9a-f]{8,}|\d+")
 
 
 def _element(tag: str, attributes: str) -> tuple[str, bool, bool]:
@@ -65,7 +66,7 @@ def _element(tag: str, attributes: str) -> tuple[str, bool, bool]:
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
     noise = hidden or tag in _NOISE_TAGS or role in _NOISE_ROLES or bool(names & _NOISE_NAMES) and not (
         names & _MAIN_NAMES and not names & (_NOISE_NAMES - {"header"}))
-    return f"{tag}.{' '.join(sorted(set(kind.split())))}" if kind else tag, noise, not noise and (tag in ("article", "main") or role in ("article", "main"))
+    return f"{tag}.{' '.join(sorted(set(_NUMBER.sub('0', kind).split())))}" if kind else tag, noise, not noise and (tag in ("article", "main") or role in ("article", "main"))
 
 
 class Parser:

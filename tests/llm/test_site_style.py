@@ -112,3 +112,20 @@ def test_presentation_counts(spark):
     rows = [(k, f"http://a.org/{k}", f"<i>{k}</i><p><b>Same</b></p><div><{'bisu'[k % 4]}>Same</{'bisu'[k % 4]}></div>") for k in range(8)]
     got = {round(r.importance, 3) for r in S.tree(frame(spark, rows)).collect()}
     assert got == {1.0, 0.0, round((1 - 0.9 ** 3) * 0.75, 3)}
+
+
+def test_numbered_names_are_one_node(spark):
+    rows = [(k, f"http://a.org/{k}", f"<p>Story {k}</p><div id='rel-{k}' class='x7f3a9c{k:02d}'>Read this too</div>") for k in range(6)]
+    assert texts(spark, rows) == {k: f"Story {k}" for k in range(6)}
+    assert S.tree(frame(spark, rows)).count() == 2
+
+
+def test_a_page_is_joined_with_its_own_nodes_only(spark):
+    rows = [(k, "http://a.org/", f"<p>Story {k}</p><div class='{'abcdefghijklmnopqrst'[k % 20]}'><a href='x'>link {k}</a></div>") for k in range(200)]
+    seen, keep = [], S.bounded
+    S.bounded = lambda df, *a: (seen.append(df), keep(df, *a))[1]
+    try:
+        assert texts(spark, rows) == {k: f"Story {k}" for k in range(200)}
+    finally:
+        S.bounded = keep
+    assert {len(r.low) for r in seen[0].collect()} == {1}
