@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skylake.llm import (
     archive_convert, chat_format, decontamination, packing, secret_scan, simhash, site_style, toxicity, url_filter, weighted_sampling,
+    whitening,
 )
 from skylake.llm.common import load
 
@@ -29,6 +30,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc": _over(archive_convert.op8_warc, "pages"),
     "op9_main_text": _over(site_style.op9_main_text, "pages"),
     "op10_fingerprints": _over(weighted_sampling.op10_fingerprints, "documents"),
+    "op11_whitening": _over(whitening.op11_whitening, "embeddings"),
 }
 
 ORACLE_SQL: dict[str, str] = {
