@@ -1,0 +1,91 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from skylake.llm import collocations
+from tests.llm.helpers import CLASHING, DOCS, docs, rows
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(texts, least=10, top=2000):
+    """Rows of the contract from (lang, text), by counting all phrases."""
+    held = defaultdict(Counter)
+    for lang, text in texts:
+        for piece in re.split(r"[.,;:!?\x0a-\x0d]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^ \t]+", piece)
+            for k in (1, 2, 3):
+                held[lang or "und"].update(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, f in held.items():
+        n = sum(v for g, v in f.items() if len(g) == 1)
+        candidates = {g: v for g, v in f.items() if len(g) > 1 and v >= least}
+        kept = []
+        for g, a in candidates.items():
+            score, k = min((1_000_000 * a * a // (f[g[:k]] * f[g[k:]]), k) for k in range(1, len(g)))
+            longer = [v for h, v in candidates.items() if len(h) > len(g) and any(h[i:i + len(g)] == g for i in range(len(h) - len(g) + 1))]
+            if not any(100 * v >= 50 * a for v in longer):
+                kept.append((-score, -a, " ".join(g).encode(), f[g[:k]], f[g[k:]]))
+        out += [(lang, i + 1, p.decode(), -a, left, right, n, -s) for i, (s, a, p, left, right) in enumerate(sorted(kept)[:top])]
+    return sorted(out, key=repr)
+
+
+def table(spark, texts):
+    return spark.createDataFrame([(i, t, lang, "s", len(t or "")) for i, (lang, t) in enumerate(texts)], DOCS)
+
+
+def invented(seed, n=400):
+    rng = random.Random(seed)
+    words = ["a", "b", "c", "ä", "Dd", "e\x1cf", "g|h", " ", "x"]
+    lines = [" ".join(rng.choices(words, weights=[9, 6, 4, 2, 2, 1, 1, 1, 1], k=rng.randint(0, 12))) for _ in range(n)]
+    fixed = ["one long line that comes again and again with no other word in it", "a a a a a a", "so far so far so good"]
+    texts = [(rng.choice(["en", "en", "de", None, "und"]), rng.choice([". ", ", ", "\n", "\t", "  ", ";"]).join(rng.sample(lines, 3))) for _ in range(n)]
+    texts += [("en", f"{rng.choice(lines)}. {fixed[i % 3]}! {rng.choice(lines)}") for i in range(90)]
+    return texts + [("de", None), (None, None), ("fr", ""), ("fr", " \t.,")]
+
+
+@pytest.mark.parametrize("counted", [7, 250_000])
+def test_equals_counting_all_phrases(spark, monkeypatch, counted):
+    monkeypatch.setattr(collocations, "COUNTED", counted)
+    monkeypatch.setattr(collocations, "BLOCK", 5)
+    texts = invented(1)
+    want = brute(texts)
+    assert len(want) > 60 and any(len(r[2].split()) == 3 for r in want)
+    assert rows(collocations.op13_collocations(table(spark, texts))) == want
+
+
+def test_top_and_ties(spark):
+    texts = [("en", f"p{i:02} q{i:02}. ") for i in range(30) for _ in range(10)]
+    got = rows(collocations.collocations(table(spark, texts), top=7))
+    assert got == brute(texts, top=7) and [r[2] for r in got] == [f"p{i:02} q{i:02}" for i in range(7)]
+
+
+def test_sql_gives_the_same(spark):
+    texts = invented(2)
+    frame = table(spark, texts)
+    db = duckdb.connect()
+    db.register("documents", frame.toPandas())
+    assert sorted(db.execute(collocations.SQL).fetchall(), key=repr) == rows(collocations.op13_collocations(frame))
+
+
+def test_long_paths_are_compacted(spark):
+    """One line of 300 words, 12 times: a single path; its parts are dropped for longer phrases."""
+    line = " ".join(f"w{i}" for i in range(300))
+    graph = collocations.Graph(table(spark, [("en", line)] * 12 + [("en", "w5 w6 other")]))
+    paths = rows(graph.paths())
+    # The node w5 w6 is a junction, as it also occurs before another word.
+    assert sorted(len(p[1]) for p in paths) == [7, 295] and {p[2] for p in paths} == {12}
+    assert " ".join(next(p[1] for p in paths if len(p[1]) == 295)) == " ".join(f"w{i}" for i in range(5, 300))
+
+
+def test_awkward_tables(spark):
+    assert rows(collocations.op13_collocations(docs(spark, []))) == []
+    assert rows(collocations.op13_collocations(docs(spark, [(1, None), (None, ""), (1, "Ab. ab")]))) == []
+    many = [(i, "Ein langes Wort. " * 4) for i in range(9)] + [(None, "x " * 60_000)]
+    plain, extra = docs(spark, many), docs(spark, many, clashing=True).withColumns({c: F.lit("own") for c in ("node", "next", "n", "lang2")})
+    assert {"node", "pos"} <= set(CLASHING) | {"node"}
+    assert rows(collocations.op13_collocations(plain)) == rows(collocations.op13_collocations(extra)) == brute([("en", t) for _, t in many])
