@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skylake.llm import (
-    archive_convert, chat_format, collocations, decontamination, packing, secret_scan, simhash, site_style, toxicity, url_filter,
+    archive_convert, chat_format, collocations, decontamination, packing, pii, secret_scan, simhash, site_style, toxicity, url_filter,
     weighted_sampling, whitening,
 )
 from skylake.llm.common import load
@@ -31,6 +31,7 @@ QUERIES: dict[str, Query] = {
     "op9_main_text": _over(site_style.op9_main_text, "pages"),
     "op10_fingerprints": _over(weighted_sampling.op10_fingerprints, "documents"),
     "op11_whitening": _over(whitening.op11_whitening, "embeddings"),
+    "op12_pii": _over(pii.op12_pii, "documents"),
     "op13_collocations": _over(collocations.op13_collocations, "documents"),
 }
 
