@@ -24,6 +24,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,24 +41,26 @@ MAX_ROUNDS = 40
 
 
 def grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, node, next, n): occurrences of three-word runs as their first two words and the third; with next null those of the
-    two words, and of the one word, that end a piece. The same run can have several rows, at most one for each block of COUNTED."""
+    """(node, next, n): occurrences of three-word runs as their first two words and the third; with next null those of the two words,
+    and of the one word, that end a piece. A node is its words, a tab and the language. The same run can have several rows, at most one
+    for each block of COUNTED; a block is sorted, so that a shuffle compresses it better."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
         size = 0
 
         def rows() -> pa.RecordBatch:
-            langs, nodes, nexts, counts = [], [], [], []
+            nodes, nexts, counts = [], [], []
             for lang, counted in held.items():
-                langs += [lang] * len(counted)
+                mark = b"\t" + lang.encode()
                 counts += counted.values()
                 for key in counted:
-                    nodes.append(b" ".join(key[:2]))
+                    nodes.append(b" ".join(key[:2]) + mark)
                     nexts.append(key[2] if len(key) == 3 else None)
             held.clear()
             text = [pa.array(c, pa.binary()).cast(pa.string()) for c in (nodes, nexts)]
-            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), *text, pa.array(counts, pa.int64())], names=["lang", "node", "next", "n"])
+            batch = pa.RecordBatch.from_arrays([*text, pa.array(counts, pa.int64())], names=["node", "next", "n"])
+            return batch.take(pc.sort_indices(batch, sort_keys=[("node", "ascending"), ("next", "ascending")]))
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
@@ -83,19 +86,19 @@ def grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
             yield rows()
 
     wanted = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")), F.col(f"`{text_col}`").cast("binary"))
-    return wanted.mapInArrow(run, "lang string, node string, next string, n bigint")
+    return wanted.mapInArrow(run, "node string, next string, n bigint")
 
 
 def flows(counted: DataFrame, least: int = LEAST) -> DataFrame:
-    """(lang, node, next, n), written: with next null the flow of each node, of two words or one; else an edge of `least` or more.
+    """(node, next, n), written: with next null the flow of each node, of two words or one; else an edge of `least` or more.
 
     One shuffle by node serves both: edges are summed, and their sums again by node.
     """
-    edges = counted.repartition("lang", "node").groupBy("lang", "node", "next").agg(F.sum("n").alias("n"))
+    edges = counted.repartition("node").groupBy("node", "next").agg(F.sum("n").alias("n"))
     frequent = F.col("next").isNotNull() & (F.col("n") >= least)
     both = F.when(frequent, F.array(F.lit(None).cast("string"), F.col("next"))).otherwise(F.array(F.lit(None).cast("string")))
-    each = edges.select("lang", "node", F.explode(both).alias("to"), "n")
-    return settle(each.groupBy("lang", "node", "to").agg(F.sum("n").alias("n")).withColumnRenamed("to", "next"), "flows")
+    each = edges.select("node", F.explode(both).alias("to"), "n")
+    return settle(each.groupBy("node", "to").agg(F.sum("n").alias("n")).withColumnRenamed("to", "next"), "flows")
 
 
 def word(column: Column | str, at: int) -> Column:
@@ -106,7 +109,9 @@ class Graph:
     """`words`: (lang, word, n) of all words; `nodes`: (lang, node, n) and `edges`: (lang, edge, tail, head, n) of `least` or more."""
 
     def __init__(self, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST):
-        found = flows(grams(docs, text_col, lang_col), least)
+        tab = F.instr("node", "\t")
+        found = flows(grams(docs, text_col, lang_col), least).select(
+            F.col("node").substr(tab + 1, F.length("node")).alias("lang"), F.col("node").substr(F.lit(1), tab - 1).alias("node"), "next", "n")
         flow = found.where("next is null").select("lang", "node", "n")
         self.words = settle(flow.groupBy("lang", word("node", 1).alias("word")).agg(F.sum("n").alias("n")), "words")
         self.nodes = flow.where((F.col("n") >= least) & F.contains("node", F.lit(" ")))
