@@ -63,7 +63,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 def remove_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; call it when no result that reads them is needed any more."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    remove(spark, scratch_root(spark))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this application wrote."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 

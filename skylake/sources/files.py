@@ -29,10 +29,10 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
 
 
 def list_files(spark: SparkSession, path: str, suffix: str | None = None) -> DataFrame:
-    """Files below `path` (a folder or a glob) as (path, name, length); contents are not read."""
+    """Files below `path` (a folder or a glob) as (path, name, length, modified); contents are not read."""
     return (
         _reader(spark, suffix).format("binaryFile").load(path)
-        .select("path", base_name("path").alias("name"), "length")
+        .select("path", base_name("path").alias("name"), "length", F.col("modificationTime").alias("modified"))
     )
 
 

@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylake import schemas
 from skylake.functions.numeric import nan_columns_to_null
 from skylake.functions.text import first_part, list_to_text
+from skylake.session import fresh_path, remove
+from skylake.sources import manifest
+
+
+class Split(NamedTuple):
+    """A scan that was parsed once and written: both sides, how many there are, and the files they come from."""
+
+    good: DataFrame
+    rejects: DataFrame
+    files: DataFrame
+    n_good: int
+    n_rejected: int
 
 
 class Scan:
@@ -23,23 +39,44 @@ class Scan:
         """`lines` has the text of a document in `value`; `file_path` says where it came from."""
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
         parsed = F.from_json("value", schemas.with_corrupt(schema), options)
-        self._parsed = lines.where(F.length(F.trim("value")) > 0).select("file_path", "value", parsed.alias("p"))
+        self._parsed = lines.select(*manifest.FILE_COLUMNS, "value", parsed.alias("p"))
+        self._blank = F.length(F.trim("value")) == 0
         self._fits = F.col("p").isNotNull() & F.col(f"p.{schemas.CORRUPT}").isNull()
 
     @property
     def good(self) -> DataFrame:
-        return self._parsed.where(self._fits).select("p.*").drop(schemas.CORRUPT)
+        return self._parsed.where(~self._blank & self._fits).select("p.*").drop(schemas.CORRUPT)
 
     def rejects(self) -> DataFrame:
         """(file_path, record text)."""
-        return self._parsed.where(~self._fits).select("file_path", F.col("value").alias("record"))
+        return self._parsed.where(~self._blank & ~self._fits).select("file_path", F.col("value").alias("record"))
+
+    @contextmanager
+    def split(self) -> Iterator[Split]:
+        """Both sides from one parse: every line goes to a written table, in a folder by its outcome, and is counted in the same job.
+        The table goes when the block ends, so what is to last is written inside."""
+        spark = self._parsed.sparkSession
+        path, seen = fresh_path(spark, "landed"), Observation()
+        outcome = F.when(self._blank, "blank").when(self._fits, "good").otherwise("rejected")
+        said = lambda side: F.coalesce(F.sum((F.col("outcome") == side).cast("int")), F.lit(0)).alias(side)
+        rows = self._parsed.select(
+            *manifest.FILE_COLUMNS, outcome.alias("outcome"), F.when(outcome == "rejected", F.col("value")).alias("record"),
+            F.when(outcome == "good", F.col("p").dropFields(schemas.CORRUPT)).alias("p"))
+        rows.observe(seen, said("good"), said("rejected")).write.partitionBy("outcome").parquet(path)
+        stored = spark.read.schema(rows.schema).parquet(path)
+        side = lambda name: stored.where(F.col("outcome") == name)
+        try:
+            yield Split(side("good").select("p.*"), side("rejected").select("file_path", "record"), manifest.of_rows(stored),
+                        seen.get["good"], seen.get["rejected"])
+        finally:
+            remove(spark, path)
 
 
 def text_lines(reader, path: str, suffix: str | None, whole: bool = False) -> DataFrame:
-    """(value, file_path) of the documents below `path`: one per line, or one per file."""
+    """(value, file_path, file_length, file_modified) of the documents below `path`: one per line, or one per file."""
     reader = reader.option("recursiveFileLookup", "true")
     reader = reader.option("pathGlobFilter", f"*{suffix}") if suffix else reader
-    return reader.text(path, wholetext=whole).select("value", F.col("_metadata.file_path").alias("file_path"))
+    return manifest.with_file(reader.text(path, wholetext=whole)).select("value", *manifest.FILE_COLUMNS)
 
 
 def scan_payloads(spark: SparkSession, path: str, multiline: bool = True, suffix: str | None = ".json") -> Scan:

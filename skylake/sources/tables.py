@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from skylake.functions.text import dated_file_name, file_date
 from skylake.session import settle
-from skylake.sources import files, landing
+from skylake.sources import files, landing, manifest
 from skylake.sources.landing import conform
 
 
@@ -145,52 +145,46 @@ def rejects_path(raw_root: str, extraction_date: str) -> str:
 def compact_envelopes(spark: SparkSession, source: str, raw_root: str, staging: str, extraction_date: str,
                       suffix: str | None = ".jsonl", delete_source: bool = False) -> Compaction:
     """Landed JSON lines to Parquet: bad lines to their own folder, the dated raw folder, then the staging snapshot
-    from it; every line is in one of the two. With `delete_source` the landed files go after all is stored."""
-    scan = landing.scan_envelopes(spark, source, suffix)
-    bad, good = Observation(), Observation()
-    one = F.count(F.lit(1)).alias("n")
-    scan.rejects().observe(bad, one).write.mode("overwrite").parquet(rejects_path(raw_root, extraction_date))
-    days = landing.flatten_envelopes(scan.good.observe(good, one))
-    _sized(days).write.mode("overwrite").parquet(f"{raw_root}/extraction_date={extraction_date}")
-    stored = spark.read.schema(days.schema).parquet(f"{raw_root}/extraction_date={extraction_date}")
-    store_snapshot(stored, staging)
-    if delete_source:
-        delete_files(spark, source, suffix)
-    return Compaction(good.get["n"], bad.get["n"])
-
-
-def delete_files(spark: SparkSession, path: str, suffix: str | None = None) -> int:
-    """Delete the files below `path` that end in `suffix` and say how many; call it after the compaction committed.
+    from it; every line is parsed once and is in one of the two.
 
-    Without a suffix the folder goes in one call. Names are listed in blocks, so the driver holds one block.
+    With `delete_source` the files that were read, and no others, go after all is stored (`manifest`): a file that lands during the run stays
+    for the next one, which adds a batch to the same date. Without it a repeated run replaces its batch.
     """
-    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    if suffix is None:
-        n = files.list_files(spark, path).count()
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(hadoop).delete(folder, True)
-        return n
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    system = root.getFileSystem(hadoop)
-    listed = system.listFiles(root, True)
-    deleted = 0
-    while listed.hasNext():
-        target = listed.next().getPath()
-        if target.getName().endswith(suffix):
-            system.delete(target, False)
-            deleted += 1
-    return deleted
+    log = f"{raw_root.rstrip('/')}-manifests/extraction_date={extraction_date}"
+    dated = f"{raw_root}/extraction_date={extraction_date}"
+    batch = manifest.next_batch(spark, log)
+    with landing.scan_envelopes(spark, source, suffix).split() as found:
+        found.rejects.write.mode("overwrite").parquet(f"{rejects_path(raw_root, extraction_date)}/batch={batch}")
+        days = landing.flatten_envelopes(found.good)
+        _sized(days).write.mode("overwrite").parquet(f"{dated}/batch={batch}")
+        stored = spark.read.schema(days.schema).parquet(dated).select(*days.columns)
+        store_snapshot(stored, staging)
+        if delete_source:
+            manifest.commit(found.files, log, batch)
+            manifest.delete(spark, manifest.read(spark, log, batch))
+    return Compaction(found.n_good, found.n_rejected)
+
+
+def delete_files(spark: SparkSession, path: str, suffix: str) -> int:
+    """Delete the files below `path` that end in `suffix`, whoever wrote them and whether they were read or not, and say how many. After a
+    compaction its manifest says what may go (`manifest.delete`)."""
+    listed = files.list_files(spark, path, suffix)
+    return manifest.delete(spark, listed.select("path", "length", F.unix_millis("modified").alias("modified")))
 
 
 def csv_to_parquet(spark: SparkSession, source: str, target: str, schema: T.StructType, delete_source: bool = False) -> None:
-    """CSV files to one Parquet dataset with each file's new dated name and its date as columns; with `delete_source`
-    the CSV files go after the dataset is written."""
-    df = files.read_csv(spark, source, schema)
+    """CSV files to one Parquet dataset with each file's new dated name and its date as columns. With `delete_source` the files
+    that were read go after the dataset is written, and a later run adds a batch to it; else it is replaced."""
+    log = f"{target.rstrip('/')}-manifests"
+    batch = manifest.next_batch(spark, log)
     name = F.col("_metadata.file_name")
-    df.select("*", dated_file_name(name).alias("file_name"), file_date(name).alias("file_date")) \
-        .write.mode("overwrite").parquet(target)
+    rows = manifest.with_file(files.read_csv(spark, source, schema)
+                              .select("*", dated_file_name(name).alias("file_name"), file_date(name).alias("file_date"), "_metadata"))
+    stored = settle(rows.drop("_metadata"), "csv")
+    stored.drop(*manifest.FILE_COLUMNS).write.mode("overwrite").parquet(f"{target}/batch={batch}")
     if delete_source:
-        delete_files(spark, source, ".csv")
+        manifest.commit(manifest.of_rows(stored), log, batch)
+        manifest.delete(spark, manifest.read(spark, log, batch))
 
 
 def append_history(df: DataFrame, path: str, part: str) -> None:

@@ -40,10 +40,10 @@ def ingest_envelopes(
     aside = rejects or f"{target.rstrip('/')}-rejects"
 
     def load(batch: DataFrame, part: str) -> None:
-        scan = landing.Scan(batch, schemas.ENVELOPE)
-        scan.rejects().write.mode("overwrite").parquet(f"{aside}/part={part}")
-        days = landing.to_warehouse_form(landing.flatten_envelopes(scan.good))
-        days.write.mode("overwrite").parquet(f"{target}/part={part}")
+        with landing.Scan(batch, schemas.ENVELOPE).split() as found:
+            found.rejects.write.mode("overwrite").parquet(f"{aside}/part={part}")
+            days = landing.to_warehouse_form(landing.flatten_envelopes(found.good))
+            days.write.mode("overwrite").parquet(f"{target}/part={part}")
 
     return _start(spark, lines, checkpoint, load)
 

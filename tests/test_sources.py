@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skylake import schemas
 from skylake.session import fresh_path, shared_dir
-from skylake.sources import archive, files, landing, tables
+from skylake.sources import archive, files, landing, served, tables
 from skylake.streaming import ingest
 
 
@@ -123,7 +123,118 @@ def test_compaction_then_delete(spark, tmp_path):
     write_lines(landed, [envelope("k1", "Aude", [day("2025-01-01")])])
     tables.compact_envelopes(spark, landed, raw, staged, "2025-01-07", delete_source=True)
     assert [f for f in os.listdir(landed) if f.endswith(".jsonl")] == []
-    assert tables.delete_files(spark, staged) >= 1 and not os.path.exists(staged)
+    assert tables.delete_files(spark, staged, ".parquet") >= 1 and files.list_files(spark, staged, ".parquet").count() == 0
+
+
+def landed_names(landed):
+    return sorted(f for f in os.listdir(landed) if f.endswith((".jsonl", ".csv")))
+
+
+def test_a_file_that_lands_during_a_compaction_survives(spark, tmp_path, monkeypatch):
+    landed, raw, staged = (str(tmp_path / x) for x in ("lan ded", "raw", "staged"))
+    write_lines(landed, [envelope("k1", "Aude", [day("2025-01-01")]), "no json", " "])
+    plain = landing.flatten_envelopes
+
+    def late(envelopes):
+        write_lines(landed, [envelope("k2", "Gard", [day("2025-01-01")])])
+        with open(os.path.join(landed, "0.jsonl"), "a") as f:
+            f.write("\n" + json.dumps(envelope("k3", "Lot", [day("2025-01-02")])))
+        return plain(envelopes)
+
+    monkeypatch.setattr(landing, "flatten_envelopes", late)
+    assert tables.compact_envelopes(spark, landed, raw, staged, "2025-01-05", delete_source=True) == (1, 1)
+    # The late file is there, and so is the one that has grown since it was read.
+    assert landed_names(landed) == ["0.jsonl", "1.jsonl"]
+    monkeypatch.setattr(landing, "flatten_envelopes", plain)
+    tables.compact_envelopes(spark, landed, raw, staged, "2025-01-05", delete_source=True)
+    assert landed_names(landed) == []
+    assert {r._airbyte_ab_id for r in files.read_parquet(spark, staged).collect()} == {"k1", "k2", "k3"}
+
+
+def test_a_run_after_a_failed_deletion_deletes_the_same_files(spark, tmp_path, monkeypatch):
+    landed, raw, staged = (str(tmp_path / x) for x in ("landed", "raw", "staged"))
+    write_lines(landed, [envelope("k1", "Aude", [day("2025-01-01")])])
+    write_lines(landed, [envelope("k2", "Gard", [day("2025-01-01")])])
+
+    def fails(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables.manifest, "delete", fails)
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.compact_envelopes(spark, landed, raw, staged, "2025-01-05", delete_source=True)
+    assert landed_names(landed) == ["0.jsonl", "1.jsonl"]
+    write_lines(landed, [envelope("k3", "Lot", [day("2025-01-01")])])
+    # What was committed goes first, unread files are stored once.
+    assert tables.compact_envelopes(spark, landed, raw, staged, "2025-01-05", delete_source=True) == (1, 0)
+    assert landed_names(landed) == []
+    assert sorted(r._airbyte_ab_id for r in files.read_parquet(spark, staged).collect()) == ["k1", "k2", "k3"]
+    with monkeypatch.context() as m:  # a run that fails before it commits is replaced by the next
+        write_lines(landed, [envelope("k4", "Lot", [day("2025-01-01")])])
+        m.setattr(tables, "store_snapshot", fails)
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.compact_envelopes(spark, landed, raw, staged, "2025-01-05", delete_source=True)
+    tables.compact_envelopes(spark, landed, raw, staged, "2025-01-05", delete_source=True)
+    assert sorted(r._airbyte_ab_id for r in files.read_parquet(spark, staged).collect()) == ["k1", "k2", "k3", "k4"]
+
+
+def test_landed_lines_are_parsed_once(spark, tmp_path, plan):
+    landed = str(tmp_path / "landed")
+    write_lines(landed, [envelope("k1", "Aude", [day("2025-01-01")]), *BAD, ""])
+    with landing.scan_envelopes(spark, landed).split() as found:
+        assert (found.n_good, found.n_rejected) == (1, len(BAD))
+        assert found.good.count() == 1 and sorted(r.record for r in found.rejects.collect()) == sorted(BAD)
+        for df in (found.good, found.rejects, found.files):
+            text = plan(df)
+            assert "from_json" not in text and "FileScan text" not in text
+        assert [r.path.rsplit("/", 1)[1] for r in found.files.collect()] == ["0.jsonl"]
+
+
+def test_csv_that_lands_during_a_conversion_survives(spark, tmp_path, monkeypatch):
+    source, target = tmp_path / "csv", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a_20250101-000000.csv").write_text("department,dep_current_code\nAin,01")
+    plain = tables.manifest.commit
+
+    def late(*args):
+        (source / "b_20250102-000000.csv").write_text("department,dep_current_code\nGuyane,973")
+        plain(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(tables.manifest, "commit", late)
+        tables.csv_to_parquet(spark, str(source), target, schemas.DEPARTMENT_CODES, delete_source=True)
+    assert landed_names(source) == ["b_20250102-000000.csv"]
+    tables.csv_to_parquet(spark, str(source), target, schemas.DEPARTMENT_CODES, delete_source=True)
+    assert landed_names(source) == []
+    assert rows(files.read_parquet(spark, target).select("department")) == [("Ain",), ("Guyane",)]
+
+
+def test_refresh_rewrites_touched_months_only(spark, tmp_path, monkeypatch):
+    root, target = str(tmp_path / "archive"), str(tmp_path / "served")
+    files_of = lambda: {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(target) for f in names if f.endswith(".parquet")}
+    full = lambda: rows(archive.latest(archive.read_archive(spark, root)).select("dates", "department", "temp", "extraction_date", "yyyymm"))
+    held = lambda: rows(served.read(spark, target).select("dates", "department", "temp", "extraction_date", "yyyymm"))
+    with pytest.raises(Exception):
+        served.refresh(spark, root, target)  # no archive yet
+    archive.append_batch(mart(spark, [("a", "2025-01-30", "Aude", "11", 1.0), ("a", "2025-02-01", "Aude", "11", 2.0)]), root, "2025-01-30")
+    assert served.refresh(spark, root, target) == ["202501", "202502"] and held() == full()
+    assert served.refresh(spark, root, target) == []
+    before = files_of()
+    archive.append_batch(mart(spark, [("b", "2025-02-01", "Aude", "11", 3.0), ("b", "2025-02-02", "Gard", "30", 4.0)]), root, "2025-01-31")
+    assert served.refresh(spark, root, target) == ["202502"] and held() == full() and len(held()) == 3
+    assert {f for f in files_of() if f not in before} and all(files_of()[f] == t for f, t in before.items())
+    assert all("yyyymm=202502" in f for f in files_of() if f not in before)
+    # A load that is replaced by one of other months touches both; a failure before the log leaves the version before.
+    archive.append_batch(mart(spark, [("c", "2025-03-01", "Aude", "11", 5.0)]), root, "2025-01-31")
+    seen = held()
+    with monkeypatch.context() as m:
+        m.setattr(spark.createDataFrame([], "x int").write.__class__, "parquet", lambda self, path, *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            served.refresh(spark, root, target)
+    assert held() == seen
+    assert served.refresh(spark, root, target) == ["202502", "202503"] and held() == full() and len(held()) == 3
+    assert served.vacuum(spark, target) and held() == full()
+    assert rows(served.read(spark, target).where("yyyymm = '202503'").select("temp")) == [(5.0,)]
 
 
 def test_only_bad_lines_are_an_error_and_are_kept(spark, tmp_path):

@@ -231,6 +231,12 @@ SQL["archive_stream"] = \
     f"select * replace (temp + 1.0e0 as temp), date '{EXTRACTED}' as extraction_date from archive"
 SQL["archive_two_streams"] = f"select distinct *, date '{EXTRACTED}' as extraction_date from mart_newdata"
 SQL["archive_compacted"] = "select * from newest"
+SQL["archive_refreshed"] = "select * from newest"
+# The second load rewrites the months of the mart, the third that of its first day; months that only the history has stay as written.
+SQL["archive_months_rewritten"] = """select yyyymm, cast(case
+    when yyyymm = (select strftime(min(dates), '%Y%m') from mart_newdata_) then 2
+    when yyyymm in (select strftime(dates, '%Y%m') from mart_newdata_) then 1 else 0 end as int) as held
+  from (select distinct yyyymm from newest) m"""
 
 _OF_DEPARTMENT = f"department = '{DEPARTMENT}'"
 SQL["get_data"] = "select * from mart_newdata_"
@@ -345,6 +351,7 @@ left join (select * from raw_depcode_ where reg_name <> 'ASIA') n on cast(c_nati
 _LANDED = f"select {', '.join(schemas.LANDED_COLUMNS)} from landed"
 SQL["flatten_jsonl"] = _LANDED
 SQL["compact_jsonl"] = _LANDED
+SQL["compact_late_arrival"] = _LANDED.replace(" from landed", ", true as late_lines_kept, 0 as n_left from landed")
 SQL["stream_ingest"] = _LANDED
 SQL["flatten_payload"] = f"""select * replace (sha256(concat(resolvedAddress, '|{EXTRACTION}')) as id,
   {_LISTED} as preciptype, concat('["', icon, '"]') as stations) from raw_weather_"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from unittest import mock
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from skylake.functions import geometry, labels, numeric, sql, text
 from skylake.operators import chunks, fuzzy, quality
 from skylake.plans import build, dimension, marts, serving, staging, views
 from skylake.session import fresh_path
-from skylake.sources import archive, files, landing, tables
+from skylake.sources import archive, files, landing, served, tables
 from skylake.streaming import ingest
 from workload import inputs
 from workload.inputs import table
@@ -273,6 +274,27 @@ def archive_compacted(spark, sf):
     return archive.read_archive(spark, target)
 
 
+@query
+def archive_refreshed(spark, sf):
+    """The served archive after a refresh for each of two loads: equal to a full compaction."""
+    root, target, mart = fresh_path(spark, "archive"), fresh_path(spark, "served"), stored_mart(spark, sf)
+    for rows, day in ((_history(mart), EXTRACTED_BEFORE), (mart, EXTRACTED)):
+        archive.append_batch(rows, root, day)
+        served.refresh(spark, root, target)
+    return served.read(spark, target)
+
+
+@query
+def archive_months_rewritten(spark, sf):
+    """The version that holds each month after three loads; the last has one day only and rewrites its month alone."""
+    root, target, mart = fresh_path(spark, "archive"), fresh_path(spark, "served"), stored_mart(spark, sf)
+    first = mart.agg(F.min("dates")).first()[0]
+    for rows, day in ((_history(mart), EXTRACTED_BEFORE), (mart, EXTRACTED), (mart.where(F.col("dates") == F.lit(first)), "2024-02-03")):
+        archive.append_batch(rows, root, day)
+        served.refresh(spark, root, target)
+    return served.held_months(spark, target)
+
+
 # --- served queries -------------------------------------------------------------------------------
 
 _ARCHIVES: dict[tuple[str, str], str] = {}
@@ -657,6 +679,28 @@ def compact_rejects(spark, sf):
         {"n_good": F.lit(counts.good), "n_rejected": F.lit(counts.rejected), "n_left": F.lit(left)})
 
 
+@query
+def compact_late_arrival(spark, sf):
+    """Two compactions of one date; half of the lines land while the first is running. They are kept and stored by the second."""
+    lines = spark.read.text(_envelopes(spark, sf))
+    late = F.crc32(F.col("value").cast("binary")) % 2 == 1
+    landed, raw, staged = (fresh_path(spark, x) for x in ("landed", "raw", "staging"))
+    lines.where(~late).write.text(landed)
+    plain = tables.store_snapshot
+
+    def arrives(*args):
+        lines.where(late).write.mode("append").text(landed)
+        plain(*args)
+
+    with mock.patch.object(tables, "store_snapshot", arrives):
+        tables.compact_envelopes(spark, landed, raw, staged, EXTRACTION, suffix=".txt", delete_source=True)
+    kept = spark.read.text(landed, pathGlobFilter="*.txt").count()
+    tables.compact_envelopes(spark, landed, raw, staged, EXTRACTION, suffix=".txt", delete_source=True)
+    left = files.list_files(spark, landed, ".txt").where("length > 0").count()
+    rows = landing.to_warehouse_form(files.read_parquet(spark, staged))
+    return rows.withColumns({"late_lines_kept": F.lit(kept == lines.where(late).count()), "n_left": F.lit(left)})
+
+
 @query
 def stream_rejects(spark, sf):
     """The same lines through the stream, in two files sets and two runs."""
