@@ -22,8 +22,11 @@ from skylake.session import settle
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _ADDRESS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _REST = r"(?s)^.*?://([^#]*)"
-_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
-_REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\bcontent\s*=\s*["'][^"'>]*?url\s*=\s*([^"'\s>]+)"""
+_CANONICAL = r"""(?is)<link\b(?=[^>]*(?<![\w-])rel\s*=\s*["']?canonical\b)[^>]*?(?<![\w-])href\s*=\s*["']?([^"'\s>]+)"""
+_REFRESH = r"""(?is)<meta\b(?=[^>]*(?<![\w-])http-equiv\s*=\s*["']?refresh\b)[^>]*?(?<![\w-])content\s*=\s*["'][^"'>]*?url\s*=\s*([^"'\s>]+)"""
+
+_UNSEEN = r"(?is)<!--.*?(?:-->|$)|<(script|style|noscript|template|textarea|title)\b.*?(?:</\1\s*>|$)"  # what a browser takes no link from
+_SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 
 # The rules of the registered query.
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -40,20 +43,35 @@ def path(url: Column) -> Column:
 
 
 def node(url: Column) -> Column:
-    """What makes two addresses the same: host, path and query, whatever the scheme and the fragment; null without a host."""
-    rest = F.regexp_extract(url, _REST, 1)
-    own = F.concat(host(url), F.substr(rest, F.length(F.regexp_extract(url, _ADDRESS, 1)) + 1))
-    return F.when(host(url) != "", own)
+    """What makes two addresses the same: host without the scheme's own port, path without dot segments (`/` if it is empty) and query,
+    whatever the scheme and the fragment; null without a host."""
+    scheme = F.lower(F.regexp_extract(url, _SCHEME, 1))
+    port = F.when(scheme == "https", r":443$").otherwise(r":80$")
+    query = F.regexp_extract(F.regexp_extract(url, _REST, 1), r"(?s)^[^?]*(\?.*)?$", 1)
+    return F.when(host(url) != "", F.concat(F.regexp_replace(host(url), port, F.lit("")), plain_path(path(url)), query))
+
+
+def plain_path(path: Column) -> Column:
+    """A path from its root, dot segments resolved; they stay ends of folders (`/a/..` is `/`)."""
+    parts = F.split(F.regexp_replace(path, "^/", ""), "/")
+    up = lambda held: F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0)))
+    empty = F.array().cast("array<string>")
+    kept = F.aggregate(parts, empty, lambda held, x: F.when(x == ".", held).when(x == "..", up(held)).otherwise(F.concat(held, F.array(x))))
+    ends = F.element_at(parts, -1).isin(".", "..")
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(ends & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit("")))
 
 
 def _resolved(url: Column, link: Column) -> Column:
-    """A link's address, seen from the page."""
-    link = F.replace(link, F.lit("&amp;"), F.lit("&"))
-    base = F.concat(F.lit("://"), F.regexp_extract(url, _ADDRESS, 1))
-    folder = F.regexp_replace(F.regexp_extract(url, _ADDRESS, 2), r"[^/]*$", "")
+    """A link's address, seen from the page: with a scheme only if it starts with one; null for the page itself and for what has no host."""
+    link = F.trim(F.replace(link, F.lit("&amp;"), F.lit("&")))
+    scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
+    base = F.concat(scheme, F.lit("://"), F.regexp_extract(url, _ADDRESS, 1))
+    own = F.regexp_extract(url, _ADDRESS, 2)
+    folder = F.regexp_replace(own, r"[^/]*$", "")
     folder = F.when(folder == "", F.lit("/")).otherwise(folder)
-    return (F.when(link == "", F.lit(None)).when(link.contains("://"), link).when(link.startswith("//"), F.concat(F.lit(":"), link))
-            .when(link.startswith("/"), F.concat(base, link)).otherwise(F.concat(base, folder, link)))
+    return (F.when((link == "") | link.startswith("#"), F.lit(None)).when(link.rlike(_SCHEME + "//"), link).when(link.rlike(_SCHEME), F.lit(None))
+            .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link)).when(link.startswith("/"), F.concat(base, link))
+            .when(link.startswith("?"), F.concat(base, own, link)).otherwise(F.concat(base, folder, link)))
 
 
 @dataclass
@@ -77,9 +95,9 @@ class Match:
 
 def edges(pages: DataFrame, url_col: str = "url", html_col: str = "html", redirects: DataFrame | None = None) -> DataFrame:
     """(u, v) of canonical links, meta refreshes and the rows (source, target) of `redirects`."""
-    url, html = F.col(url_col), F.col(html_col)
+    url, html = F.col(url_col), F.regexp_replace(F.col(html_col), _UNSEEN, " ")
     links = F.array(*(_resolved(url, F.regexp_extract(html, p, 1)) for p in (_CANONICAL, _REFRESH)))
-    found = pages.where(html.rlike("(?i)canonical|refresh")).select(node(url).alias("u"), F.explode(links).alias("to"))
+    found = pages.where(F.col(html_col).rlike("(?i)canonical|refresh")).select(node(url).alias("u"), F.explode(links).alias("to"))
     out = found.select("u", node(F.col("to")).alias("v"))
     if redirects is not None:
         out = out.union(redirects.select(node(F.col("source")), node(F.col("target"))))

@@ -1,3 +1,6 @@
+import urllib.parse
+
+import pytest
 from compare import compare, duck
 
 from skylake.llm import queries
@@ -42,6 +45,33 @@ def test_decisions_reach_aliases(spark):
     assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow", 7: "allow", 8: "block", 9: "allow", 10: "block", 11: "block", None: "allow"}
 
 
+def aliases(spark, url, html):
+    frame = spark.createDataFrame([(1, url, html)], PAGES)
+    return [r.v for r in U.edges(frame).collect()]
+
+
+BASE = "http://g.org/a/b?x=1"
+
+
+@pytest.mark.parametrize("link", [
+    "c", "./c", "../c", "../../../c", "/x/./y/../z", "//H.org/p", "HTTP://h.org:80/", "https://h.org:443/q#f", "https://h.org:80/", "?y=2", "/go?u=http://b.net/es/y", "c/..", "c/../", ".", "..",
+    "http://h.org", "http://h.org?q=a/../b", "x:y", "mailto:a@b.c", "#top", "/a/b?x=1"])
+def test_links_resolve_as_they_do_in_a_browser(spark, link):
+    whole = urllib.parse.urlsplit(urllib.parse.urljoin(BASE, link))
+    host = (whole.hostname or "") + (f":{whole.port}" if whole.port and whole.port != {"http": 80, "https": 443}[whole.scheme] else "")
+    want = host + (whole.path or "/") + (f"?{whole.query}" if whole.query else "")
+    want = [want] if host and want != "g.org/a/b?x=1" else []
+    assert aliases(spark, BASE, LINK.format(link)) == want
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<!-- " + LINK.format("http://b.net/es/") + " -->", []), ("<script>'" + LINK.format("http://b.net/es/") + "'</script>", []),
+    ("<link rel=canonical data-href='http://b.net/es/' href='http://h.org/x'>", ["h.org/x"]), ("<link data-rel=canonical href='http://b.net/es/'>", []),
+    ("<!-- <p> --><link href=/c rel='canonical'>", ["g.org/c"]), ("<meta http-equiv='refresh' content='3;url= d/e'>", ["g.org/a/d/e"])])
+def test_links_that_a_browser_would_not_follow(spark, html, want):
+    assert aliases(spark, BASE, html) == want
+
+
 def test_chains_and_hot_targets(spark):
     pages = [(k, f"http://h.org/{k}", LINK.format(f"http://h.org/{k + 1}")) for k in range(40)] + [(1000 + k, f"http://s{k}.org/", LINK.format("http://h.org/0")) for k in range(60)]
     got = verdicts(spark, [*pages, (40, "http://h.org/40", LINK.format("http://q.net/es/"))])
