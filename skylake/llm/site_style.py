@@ -6,11 +6,13 @@ equal blocks count once. The entropies are such as do not move with the size of
 (c - 1) / (m - 1) (Tsallis entropy of order 0, by its maximum), and the content importance is one minus its mean; the presentation importance
 is one minus the sum of p * p over the node's l sequences of children (order 2). The composite importance weighs presentation by 1 - GAMMA ** (l - 1)
 and content by the rest. A node is as important as the greater of its content and its composite, times the share of its text that is not
-inside links. What every page of the site repeats, and what is a list of links, is of low importance.
+inside links; inside an article links count only where contents repeat (their importance under half), so a list of sources stays. What every page of
+the site repeats, and what is a list of links, is of low importance. Headings inside an article stay. A node of one page has content importance 1.
 
 From each page the branches of low importance are removed, inside an article too. Branches that are marked as menus, headers, footers, sidebars,
-notices, adverts, forms or reader comments have importance 0. An article (or main) element is a prior: inside it half the importance is enough, on the
-rest of such a page three times as much is asked, and nodes of which the site has too few pages are left to it. Whole nodes go or stay, never
+notices, adverts, forms or reader comments have importance 0: by tag or role, or by a class or id whose last word says so (`site-footer`, `ad-slot`; not
+`has-comments` or `social-history`), but never the page itself or main. An article (or main) element is a prior: inside it half the
+importance is enough, on the rest of such a page three times as much is asked. Whole nodes go or stay, never
 single contents, so a paragraph that many articles share is kept.
 """
 
@@ -32,7 +34,7 @@ from skylake.session import settle
 LEAST_IMPORTANCE = 0.25
 GAMMA = 0.9
 INSIDE, OUTSIDE = 0.5, 3.0  # times LEAST_IMPORTANCE, on a page with text inside an article
-LEAST_PAGES = 4  # with fewer pages a repeated content says nothing about the site
+REPEATS = 0.5  # content importance below which a node repeats itself
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*>|([^<]+)|(<)""", re.S)
@@ -41,6 +43,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul""".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Open elements that a start tag closes, and the elements that stop the search for them.
 _CLOSES = {"li": "li", "option": "option", "tr": "tr td th", "td": "td th", "th": "td th", "dt": "dt dd", "dd": "dt dd", "tbody": "tr td th thead tbody"}
 _CLOSES = {k: frozenset(v.split()) for k, v in _CLOSES.items()}
@@ -52,6 +55,9 @@ menu menus nav navbar navigation breadcrumb breadcrumbs masthead header footer c
 newsletter subscribe subscription share sharing social related recommended comment comments commentlist disqus respond reply replies
 login signup search widget toolbar pager pagination""".split())
 _MAIN_NAMES = frozenset("article post entry story content main body".split())
+_STATES = frozenset("no has with without is not hide show single page layout".split())  # a name that starts so tells about its element, not what it is
+_BOXES = frozenset("box bar wrap wrapper container area block section slot unit list item items row buttons button links link form inner posts signup".split())
+_WHOLE_TAGS = frozenset("html body main".split())
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _NUMBER = re.compile(r"(?=[a-f]{0,7}\d)[0-9a-f]{8,}|\d+")
 
@@ -62,15 +68,24 @@ def _element(tag: str, attributes: str) -> tuple[str, bool, bool]:
     for m in _ATTRIBUTE.finditer(attributes):
         found.setdefault((m[1] or m[5]).lower(), unescape(m[2] or m[3] or m[4] or ""))
     kind, role = f"{found.get('class', '')} {found.get('id', '')}".strip(), found.get("role", "").lower()
-    names = {n.lower() for n in _NAMES.findall(kind)}
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-    noise = hidden or tag in _NOISE_TAGS or role in _NOISE_ROLES or bool(names & _NOISE_NAMES) and not (
-        names & _MAIN_NAMES and not names & (_NOISE_NAMES - {"header"}))
-    return f"{tag}.{' '.join(sorted(set(_NUMBER.sub('0', kind).split())))}" if kind else tag, noise, not noise and (tag in ("article", "main") or role in ("article", "main"))
+    main = tag in ("article", "main") or role in ("article", "main")
+    noise = hidden or tag not in _WHOLE_TAGS and (tag in _NOISE_TAGS or role in _NOISE_ROLES or any(map(_says_noise, kind.split())))
+    return f"{tag}.{' '.join(sorted(set(_NUMBER.sub('0', kind).split())))}" if kind else tag, noise, not noise and main
+
+
+def _says_noise(name: str) -> bool:
+    """Whether a class or id names noise: by its last word, boxes and numbers left out."""
+    words = [w.lower() for w in _NAMES.findall(name)]
+    if not words or words[0] in _STATES:
+        return False
+    while len(words) > 1 and words[-1] in _BOXES:
+        words.pop()
+    return words[-1] in _NOISE_NAMES and not (words[-1] == "header" and set(words) & _MAIN_NAMES)
 
 
 class Parser:
-    """Text blocks of a page in order: (node, text, characters inside links, in the main part). Branches marked as noise give none.
+    """Text blocks of a page in order: (node, text, characters inside links, in the main part: 0 no, 1 yes, 2 a heading there). Branches marked as noise give none.
     `children` holds the names of the elements below each node of the last page, in order, repeats left out."""
 
     def __init__(self):
@@ -98,8 +113,8 @@ class Parser:
                 below.append(name)
         return tag, self.nodes[step], noisy or noise, inside or main, linked or tag == "a"
 
-    def blocks(self, html: str) -> list[tuple[int, str, int, bool]]:
-        out: list[tuple[int, str, int, bool]] = []
+    def blocks(self, html: str) -> list[tuple[int, str, int, int]]:
+        out: list[tuple[int, str, int, int]] = []
         stack: list[tuple] = [("", 0, False, False, False)]
         text: list[str] = []
         linked = 0
@@ -112,7 +127,7 @@ class Parser:
                 text.clear()
                 if words:
                     block = next((e for e in reversed(stack) if e[0] in _BLOCK), stack[0])
-                    out.append((block[1], words, min(linked, len(words)), stack[-1][3]))
+                    out.append((block[1], words, min(linked, len(words)), stack[-1][3] and 1 + (block[0] in _HEADINGS)))
                 linked = 0
 
         at, end, match = 0, len(html), _TOKEN.match
@@ -169,7 +184,7 @@ def _rows(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
 
 def _nodes(rows: DataFrame) -> DataFrame:
     """(host, key, page, node, content, shape, place, chars, linked), written: for each page a row per node with its shape (the children) and its
-    place (0: no text of the page is in an article, 1: inside, 2: outside of it), and a row per node and content. `key` is that of the html, `page` a
+    place (0: no text of the page is in an article, 1: inside, 2: outside of it, 3: a heading inside), and a row per node and content. `key` is that of the html, `page` a
     hash of the blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,9 +200,9 @@ def _nodes(rows: DataFrame) -> DataFrame:
                     held = seen.setdefault((node, content), [0, 0])
                     held[0] += len(text)
                     held[1] += linked
-                    place[node] = 1 if inside else place.get(node, 2)
+                    place[node] = (2, 1, 3)[inside] if inside else place.get(node, 2)
                     whole.update(f"{node} {content} {linked} {inside}\n")
-                if 1 not in place.values():
+                if not {1, 3} & set(place.values()):
                     place = dict.fromkeys(place, 0)
                 shapes = {n: xxhash.xxh64_intdigest("/".join(parser.children.get(n, ()))) - (1 << 63) for n in place}
                 whole.update(str(list(shapes.values())))
@@ -213,15 +228,17 @@ def _importance(nodes: DataFrame) -> DataFrame:
     counted = each.groupBy("host", "node").agg(
         F.sum(F.when(~held, c)).alias("m"), F.sum(F.when(~held, c * c)).alias("squares"), F.count(F.when(~held, c)).alias("l"),
         F.sum(F.when(held, c * (c - 1))).alias("repeated"), F.sum(F.when(held, c)).alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
-    content = F.when(F.col("m") >= LEAST_PAGES, 1 - F.col("repeated") / F.col("n") / (F.col("m") - 1)).otherwise(1.0)
+    content = F.when(F.col("m") > 1, 1 - F.col("repeated") / F.col("n") / (F.col("m") - 1)).otherwise(1.0)
     presentation = 1 - F.col("squares") / F.col("m") / F.col("m")
     weight = F.pow(F.lit(GAMMA), F.col("l") - 1)
     both = F.greatest(content, (1 - weight) * presentation + weight * content)
-    return counted.select("host", "node", "m", (both * (1 - F.col("linked") / F.greatest("chars", F.lit(1)))).alias("importance"))
+    unlinked = both * (1 - F.col("linked") / F.greatest("chars", F.lit(1)))
+    return counted.select("host", "node", "m", unlinked.alias("importance"), F.when(content < REPEATS, unlinked).otherwise(both).alias("inside"))
 
 
 def tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, node, m, importance) of all nodes outside marked noise; m: the host's different pages with the node. Counts run over all pages
+    """(host, node, m, importance, inside) of all nodes outside marked noise; m: the host's different pages with the node, inside: the importance of
+    what is in an article. Counts run over all pages
     of the host; they are pre-aggregated in the map tasks, so a host with a third of all pages is no single task's work."""
     return _importance(_nodes(_rows(pages, url_col, html_col)))
 
@@ -234,11 +251,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """
     all_rows = _rows(pages.select(F.col(id_col).alias("__page"), F.col(url_col).alias("__url"), F.col(html_col).alias("__source")), "__url", "__source")
     nodes = _nodes(all_rows)
-    low = _importance(nodes).where((F.col("importance") < OUTSIDE * LEAST_IMPORTANCE) | (F.col("m") < LEAST_PAGES))
+    low = _importance(nodes).where(F.least("importance", "inside") < OUTSIDE * LEAST_IMPORTANCE)
     asked = F.when(F.col("place") == 1, INSIDE).when(F.col("place") == 0, 1.0).otherwise(OUTSIDE) * LEAST_IMPORTANCE
-    places = nodes.where("place is not null").select("host", "key", "node", "place").distinct()
-    gone = places.join(settle(low, "low_nodes"), ["host", "node"]).where(
-        (F.col("importance") < asked) | (F.col("place") == 2) & (F.col("m") < LEAST_PAGES))
+    places = nodes.where("place < 3").select("host", "key", "node", "place").distinct()
+    gone = places.join(settle(low, "low_nodes"), ["host", "node"]).where(F.when(F.col("place") == 1, F.col("inside")).otherwise(F.col("importance")) < asked)
     listed = gone.groupBy("host", "key").agg(F.collect_list("node").alias("low")).toDF("__host", "__key", "low")
     rows = all_rows.join(bounded(listed, "removed", F.size("low") * 8), ["__host", "__key"], "left")
 

@@ -46,7 +46,7 @@ def site(n):
 def test_repeated_branches_go(spark):
     got = {r["__page"]: r["__text"] for r in S.main_text(frame(spark, [*site(8), *[(100 + k, f"http://few.org/{k}", p) for k, _, p in site(2)]])).collect()}
     assert all(got[k] == f"Text {k} of its own\nshared" for k in range(8))
-    assert got[100] == "Welcome to the site\nText 0 of its own\nshared\nAll rights"
+    assert got[100] == "Text 0 of its own\nshared"  # two pages are judged as eight are
 
 
 def test_importance(spark):
@@ -90,14 +90,30 @@ def test_an_article_is_only_a_prior(spark):
     rows = [(k, f"http://a.org/{k}", f"<article><p>Story {k}</p></article><div class='t'>More {k} of it</div><div class='u'>{'same' if k < 5 else k}</div>") for k in range(6)]
     assert texts(spark, rows) == {k: f"Story {k}\nMore {k} of it" for k in range(6)}
     few = [(k, f"http://b.org/{k}", f"<article>Story {k}</article><div>More {k}</div>") for k in range(2)]
-    assert texts(spark, few) == {0: "Story 0", 1: "Story 1"}
+    assert texts(spark, few) == {0: "Story 0\nMore 0", 1: "Story 1\nMore 1"}
+    alone = [(0, "http://c.org/", "<article>Story</article><div>More</div>")]
+    assert texts(spark, alone) == {0: "Story\nMore"}
 
 
 def test_equal_pages_count_once(spark):
     page = "<div class='top'>Welcome</div><div class='box'><p>The only story</p></div>"
     rows = [(k, f"http://a.org/{k}", page) for k in range(40)] + [(100, "http://a.org/x", page.replace("only", "other"))]
     got = texts(spark, rows)
-    assert got[0] == "Welcome\nThe only story" and got[100] == "Welcome\nThe other story"
+    assert got[0] == "The only story" and got[100] == "The other story"
+
+
+@pytest.mark.parametrize("page", [
+    "<body class='single-post right-sidebar'><p>Story</p></body>", "<article class='post has-comments'><p>Story</p></article>", "<div class='main with-menu'>Story</div>",
+    "<div id='content' class='no-sidebar'>Story</div>", "<article><section class='social-history'>Story</section></article>",
+    "<article>Story<div class='related-posts'>x</div><div class='siteFooter'>x</div><div class='ad-slot'>x</div><article class='comment'>x</article></article>"])
+def test_names_that_tell_about_an_element_do_not_empty_it(page):
+    assert [t for _, t, _, _ in S.Parser().blocks(page)] == ["Story"]
+
+
+def test_sources_and_equal_headings_in_an_article_stay(spark):
+    rows = [(k, f"http://a.org/{k}", f"<article><h1>Weekly report</h1><p>Story {k}</p><ul><li><a href='x'>source {k}</a></li></ul><div class='more'><a href='y'>Read more</a></div></article>"
+             f"<div class='list'><a href='z'>other {k}</a></div>") for k in range(6)]
+    assert texts(spark, rows) == {k: f"Weekly report\nStory {k}\nsource {k}" for k in range(6)}
 
 
 def test_importance_does_not_move_with_the_size(spark):
