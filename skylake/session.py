@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -81,3 +82,10 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished jobs that nothing refers to any more. It does so when the driver's heap is collected, which a
+    large heap may put off until disks are full; call it after a large shuffle was settled."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
