@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylake.llm.common import settle_counted
-from skylake.session import settle
+from skylake.session import release, settle
 
 LEAST = 10
 TOP = 2000
@@ -92,13 +92,19 @@ def grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
 def flows(counted: DataFrame, least: int = LEAST) -> DataFrame:
     """(node, next, n), written: with next null the flow of each node, of two words or one; else an edge of `least` or more.
 
-    One shuffle by node serves both: edges are summed, and their sums again by node.
+    One shuffle by node serves both: edges are summed, and their sums again by node. Of a node below `least` the first word is written
+    only: its flow counts for that word and for nothing else.
     """
     edges = counted.repartition("node").groupBy("node", "next").agg(F.sum("n").alias("n"))
     frequent = F.col("next").isNotNull() & (F.col("n") >= least)
     both = F.when(frequent, F.array(F.lit(None).cast("string"), F.col("next"))).otherwise(F.array(F.lit(None).cast("string")))
     each = edges.select("node", F.explode(both).alias("to"), "n")
-    return settle(each.groupBy("node", "to").agg(F.sum("n").alias("n")).withColumnRenamed("to", "next"), "flows")
+    summed = each.groupBy("node", "to").agg(F.sum("n").alias("n"))
+    rare = F.col("to").isNull() & (F.col("n") < least)
+    node = F.when(rare, F.regexp_replace("node", "^([^ \t]*) [^\t]*", "$1")).otherwise(F.col("node"))
+    found = settle(summed.select(node.alias("node"), F.col("to").alias("next"), "n"), "flows")
+    release(counted.sparkSession)
+    return found
 
 
 def word(column: Column | str, at: int) -> Column:
