@@ -101,7 +101,9 @@ def flows(counted: DataFrame, least: int = LEAST) -> DataFrame:
     each = edges.select("node", F.explode(both).alias("to"), "n")
     summed = each.groupBy("node", "to").agg(F.sum("n").alias("n"))
     rare = F.col("to").isNull() & (F.col("n") < least)
-    node = F.when(rare, F.regexp_replace("node", "^([^ \t]*) [^\t]*", "$1")).otherwise(F.col("node"))
+    tab = F.instr("node", "\t")
+    first = F.substring_index(F.substring("node", F.lit(1), tab - 1), " ", 1)
+    node = F.when(rare, F.concat(first, F.col("node").substr(tab, F.length("node")))).otherwise(F.col("node"))
     found = settle(summed.select(node.alias("node"), F.col("to").alias("next"), "n"), "flows")
     release(counted.sparkSession)
     return found
