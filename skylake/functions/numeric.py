@@ -64,6 +64,10 @@ def _mean(parts: list[Column], rest: Column, n: Column) -> Column:
     return total / n
 
 
+# What `exact_sums` adds to a name, with the types, for stored sums.
+SUM_PARTS = (*((str(k), T.LongType()) for k in range(len(_GRID))), ("rest", T.DoubleType()), ("n", T.LongType()))
+
+
 def exact_sums(c: Column | str, name: str) -> list[Column]:
     """The sums behind `exact_avg`, to be aggregated once more by `avg_of_sums`."""
     *parts, rest = _parts(c)

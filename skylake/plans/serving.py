@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylake.functions.numeric import exact_avg, round_half_even, rounded_avg
+from skylake.functions.numeric import avg_of_sums, exact_avg, round_half_even, rounded_avg
 from skylake.operators.topk import top_k
+from skylake.schemas import HISTORY_MEASURES
 
 PANEL_M2 = 2.7
 PANEL_EFFICIENCY = 0.217
@@ -23,7 +24,6 @@ FEATURES = """
     dates department reg_name windspeed windgust pressure solarenergy_kwhpm2 temp feelslike precip
 """.split()
 SUNSHINE = ["dates", "reg_name", "department", "solarenergy_kwhpm2", "solarradiation"]
-HISTORY_MEASURES = ["solarenergy_kwhpm2", "solarradiation", "temp", "precip", "uvindex"]
 STATS = {
     "temperature": ("temp", 1), "humidity": ("humidity", 1), "windspeed": ("windspeed", 1),
     "pressure": ("pressure", 1), "cloudcover": ("cloudcover", 1), "solarradiation": ("solarradiation", 1),
@@ -96,6 +96,12 @@ def get_entire_region_data(archive: DataFrame, region: str) -> DataFrame:
     )
 
 
+def get_region_history(sums: DataFrame, region: str) -> DataFrame:
+    """`get_entire_region_data` from the stored sums (`served.region_sums`), a row per date and region instead of the archive's rows."""
+    averages = [round_half_even(avg_of_sums(m), 1).alias(m) for m in HISTORY_MEASURES]
+    return sums.where(_of("reg_name", region)).groupBy("dates", "reg_name").agg(*averages).orderBy("dates", "reg_name")
+
+
 def get_ml_data(archive: DataFrame) -> DataFrame:
     """The whole archive, for a training export."""
     return archive

@@ -108,3 +108,6 @@ CORRUPT = "_corrupt_record"
 
 def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+# Measures averaged in the history of a department or region.
+HISTORY_MEASURES = ["solarenergy_kwhpm2", "solarradiation", "temp", "precip", "uvindex"]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skylake import schemas
+from skylake.plans import serving
 from skylake.session import fresh_path, shared_dir
 from skylake.sources import archive, files, landing, served, tables
 from skylake.streaming import ingest
@@ -237,6 +238,25 @@ def test_refresh_rewrites_touched_months_only(spark, tmp_path, monkeypatch):
     assert rows(served.read(spark, target).where("yyyymm = '202503'").select("temp")) == [(5.0,)]
 
 
+def test_region_sums_follow_replaced_loads(spark, tmp_path):
+    root, target = str(tmp_path / "archive"), str(tmp_path / "served")
+    loads = [("2025-01-30", [("a", "2025-01-30", "Aude", "11", 1.0), ("a", "2025-02-01", "Aude", "11", 2.0), ("a", "2025-02-01", "Gard", "30", None)]),
+             ("2025-01-31", [("b", "2025-02-01", "Aude", "11", 30.25), ("b", "2025-02-01", "Lot", "46", 1e16)]),
+             ("2025-01-31", [("b", "2025-02-01", "Gard", "30", 4.5), ("b", "2025-02-02", "Lot", "46", float("nan"))])]
+    for day, some in loads:
+        one = mart(spark, some).withColumn("reg_name", F.expr("if(department = 'Lot', null, 'Sud')"))
+        archive.append_batch(one, root, day)
+        served.refresh(spark, root, target)
+        latest = archive.latest(archive.read_archive(spark, root))
+        sums = served.region_sums(spark, target)
+        stored, whole = serving.get_region_history(sums, "Sud"), serving.get_entire_region_data(latest, "Sud")
+        assert stored.schema == whole.schema and rows(stored) == rows(whole)
+        assert sums.count() == latest.select("dates", "reg_name").distinct().count()
+    assert [r.temp for r in stored.collect()] == [1.0, 3.2]
+    assert stored.inputFiles() and all(f"{target}-sums/" in f for f in stored.inputFiles())
+    assert served.vacuum(spark, target) and rows(serving.get_region_history(served.region_sums(spark, target), "Sud")) == rows(whole)
+
+
 def test_only_bad_lines_are_an_error_and_are_kept(spark, tmp_path):
     landed, raw, staged = (str(tmp_path / x) for x in ("landed", "raw", "staged"))
     write_lines(landed, BAD)

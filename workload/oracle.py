@@ -258,6 +258,7 @@ SQL["get_entire_department_data"] = f"""select dates, department, {", ".join(f"{
   from archive where {_OF_DEPARTMENT} order by dates"""
 SQL["get_entire_region_data"] = f"""select dates, reg_name, {", ".join(f"{rnd(1, avg(m))} as {m}" for m in _HISTORY)}
   from archive where reg_name = '{REGION}' group by dates, reg_name order by dates, reg_name"""
+SQL["region_history_sums"] = SQL["get_entire_region_data"].replace("from archive", "from newest")
 SQL["landed_build"] = SQL["get_entire_region_data"]
 SQL["get_ml_data"] = "select * from archive"
 SQL["get_today_stats"] = "select * from mart_today_stats"
