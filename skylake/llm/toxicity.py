@@ -14,7 +14,9 @@ with how many words are on the toxic side and how long the text is, a logistic c
 seen turns this into the score.
 
 Fitting runs on a bounded sample: of each class SAMPLE_PER_CLASS labelled ids in the order of a hash, one row per id, up to half of SAMPLE_CHARS
-characters; single texts over a hundredth of that half are left out of the sample. Scoring covers every text whole.
+characters; single texts over a hundredth of that half are left out of the sample. Every toxic text of the sample takes part with
+the SUSPECTS words, among those no clean text has, that most other toxic texts share; START clean words take part from the beginning and
+after each round the STEP worst judged of all the sample's clean words. Scoring covers every text whole.
 """
 
 from __future__ import annotations
@@ -35,8 +37,9 @@ from skylake.session import settle
 SAMPLE_PER_CLASS = 3_000
 SAMPLE_CHARS = 24_000_000
 LANDMARKS = 240
-INSTANCES = 8_000
-POOL = 40_000
+SUSPECTS = 16
+START, STEP = 6_000, 1_000
+BLOCK = 40_000
 ROUNDS = 5
 COST = 8.0
 DECAY, SPAN = 0.7, 5
@@ -202,9 +205,10 @@ class _Trainer:
             if b.size:
                 groups.setdefault(int(self.hash[b].min()), []).append(b)
         self.support = self._count(np.unique(np.concatenate(g)) for g in groups.values())
-        ranked = self._first(-self.support, self.support > 0)[:INSTANCES]
-        frequent = self._first(-good, good > 0)[:INSTANCES // 2]
-        self.clean = self._first(np.zeros(size), good > 0)[:POOL]
+        self.suspects = [b[np.lexsort((self.hash[b], -self.support[b]))[:SUSPECTS]] for b in self.suspects]
+        ranked = self._first(-self.support, self._count(self.suspects) > 0)
+        frequent = self._first(-good, good > 0)
+        self.clean = self._first(np.zeros(size), good > 0)
         part = LANDMARKS // 4
         spread = ranked[2 * part::max(1, (len(ranked) - 2 * part) // part)][:part]
         chosen = dict.fromkeys(np.concatenate([ranked[:2 * part], spread, frequent[:part]]).tolist())
@@ -212,7 +216,7 @@ class _Trainer:
         self._prepare()
         self.row = np.full(size, -1, np.int32)
         self.z = np.zeros((0, self.whiten.shape[1] + 1), np.float32)
-        self.add(np.concatenate([ranked, frequent, self.clean[:INSTANCES // 4]]))
+        self.add(np.concatenate([ranked, frequent[:2 * START // 3], self.clean[:START // 3]]))
 
     def _count(self, bags) -> np.ndarray:
         out = np.zeros(len(self.vocabulary), np.int64)
@@ -264,14 +268,19 @@ class _Trainer:
             out[at:at + 1024] = sums / _norms(codes)[:, None]
         return out
 
+    def margins(self, model: Model, words: np.ndarray) -> np.ndarray:
+        """Margins of words, a block at a time."""
+        blocks = [model.margins([self.vocabulary[k] for k in words[at:at + BLOCK]]) for at in range(0, len(words), BLOCK)]
+        return np.concatenate([np.zeros(0), *blocks])
+
     def fit(self, chosen: np.ndarray) -> tuple[np.ndarray, float]:
         """Weights per triple and bias from the chosen texts. Starts from the suspects that most separate toxic
-        texts share; each round keeps the words on the toxic side and adds the clean words that were misjudged."""
+        texts share; each round keeps the words on the toxic side and adds the STEP clean words, of all there are,
+        that are misjudged worst."""
         seen = self._count(self.bags[k] for k in chosen if not self.toxic[k]) > 0
         pool = self.clean[seen[self.clean]]
         good = np.flatnonzero(seen & (self.row >= 0))
-        bags = [b[self.row[b] >= 0] for b in (self.suspects[k] for k in chosen if self.toxic[k])]
-        bags = [b for b in bags if b.size]
+        bags = [b for b in (self.suspects[k] for k in chosen if self.toxic[k]) if b.size]
         table, bias, w = np.zeros(LETTERS ** 3, np.float32), 0.0, None
         for step in range(ROUNDS):
             picked: list[np.ndarray] = []
@@ -289,8 +298,8 @@ class _Trainer:
             table[self.index] = self.images[1:] @ (self.whiten @ w[:-1])
             bias = float(w[-1])
             if pool.size and step < ROUNDS - 1:
-                found = Model(table, bias).margins([self.vocabulary[k] for k in pool])
-                order = np.argsort(-found, kind="stable")[:INSTANCES // 8]
+                found = self.margins(Model(table, bias), pool)
+                order = np.argsort(-found, kind="stable")[:STEP]
                 worst = pool[order[found[order] > -0.7]]
                 self.add(worst)
                 good = np.union1d(good, worst)
@@ -325,9 +334,7 @@ def fit(texts: Iterable[str], toxic: list[int], prior: float | None = None) -> M
         margin = np.zeros(len(vocabulary))
         held = np.flatnonzero(fold == part)
         asked = np.unique(np.concatenate([bags[k] for k in held])) if len(held) else np.zeros(0, int)
-        for at in range(0, len(asked), POOL):
-            some = asked[at:at + POOL]
-            margin[some] = half.margins([vocabulary[k] for k in some])
+        margin[asked] = trainer.margins(half, asked)
         for k in held:
             x[k] = _features(margin[bags[k]])
     share = y.mean()

@@ -153,3 +153,21 @@ def test_one_row_of_an_id_is_sampled(spark, monkeypatch):
 def test_a_class_without_texts_is_an_error(spark, marks):
     with pytest.raises(ValueError, match="texts to learn from"):
         T.train(docs(spark, [(1, "a b"), (2, "c d")]), spark.createDataFrame(marks, "doc_id bigint, toxic int"))
+
+
+def test_every_toxic_text_and_the_whole_clean_vocabulary_take_part(monkeypatch):
+    monkeypatch.setattr(T, "SUSPECTS", 2)
+    monkeypatch.setattr(T, "START", 6)
+    monkeypatch.setattr(T, "STEP", 3)
+    monkeypatch.setattr(T, "BLOCK", 7)
+    clean = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(200)]
+    toxic = [f"only{chr(97 + k)}" for k in range(12)]
+    vocabulary = [*clean, "idiot", *toxic]
+    bags = [np.arange(k, k + 20) for k in range(0, 180, 20)] + [np.array([k, 200, 201 + k]) for k in range(12)]
+    trainer = T._Trainer(vocabulary, bags, np.array([0] * 9 + [1] * 12))
+    assert all(200 in b and b.size == 2 for b in trainer.suspects[9:])
+    assert set(trainer.clean) >= set(range(180))
+    model = trainer.fit(np.arange(len(bags)))
+    model = T.Model(*model) if isinstance(model, tuple) else model
+    assert trainer.margins(model, np.array([200]))[0] > trainer.margins(model, np.arange(180)).max()
+    assert trainer.margins(model, np.zeros(0, int)).size == 0
