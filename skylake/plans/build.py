@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from skylake.plans import marts, staging, views
-from skylake.sources.tables import materialise, publish_view, store
+from skylake.sources.tables import ORDER, materialise, publish_view, store
 
 
 def build_current(raw_weather_: DataFrame, raw_depcode_: DataFrame, root: str) -> dict[str, DataFrame]:
@@ -17,8 +17,8 @@ def build_current(raw_weather_: DataFrame, raw_depcode_: DataFrame, root: str) -
     }
     models["int_depcode_"] = staging.int_depcode_(models["stg_depcode_"])
     models["int_most_recent_weather_"] = staging.int_most_recent_weather_(models["stg_most_recent_weather_"])
-    mart = marts.mart_newdata_(models["int_most_recent_weather_"], models["int_depcode_"])
-    mart, first_day = store(mart, f"{root}/mart_newdata_")
+    mart = marts.mart_newdata_(models["int_most_recent_weather_"], models["int_depcode_"], order=ORDER)
+    mart, first_day = store(mart, f"{root}/mart_newdata_", ordered=True)
     models["mart_newdata_"] = mart
     models["mart_today"] = today = views.mart_today(mart, first_day)
     models["mart_next_3_days"] = following = views.mart_next_3_days(mart, first_day)
@@ -37,6 +37,6 @@ def build_landed(raw_weather: DataFrame, raw_depcode: DataFrame, root: str, best
     }
     models["int_depcode"] = staging.int_depcode(models["stg_depcode"])
     models["int_most_recent_weather"] = staging.int_most_recent_weather(models["stg_most_recent_weather"])
-    mart = marts.mart_newdata(models["int_most_recent_weather"], models["int_depcode"], best_only)
-    models["mart_newdata"] = materialise(mart, f"{root}/mart_newdata")
+    mart = marts.mart_newdata(models["int_most_recent_weather"], models["int_depcode"], best_only, order=ORDER)
+    models["mart_newdata"] = materialise(mart, f"{root}/mart_newdata", ordered=True)
     return {name: publish_view(df, name) for name, df in models.items()}

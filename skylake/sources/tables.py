@@ -211,20 +211,28 @@ class Stored(NamedTuple):
     first: object
 
 
-def materialise(df: DataFrame, path: str, order: Sequence[str] = ("dates", "department")) -> DataFrame:
+ORDER = ("dates", "department")
+
+
+def in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """One shuffle by the first sort column; Spark cuts a hot value into several parts and each part is sorted."""
+    return df.hint("rebalance", order[0]).sortWithinPartitions(*order)
+
+
+def materialise(df: DataFrame, path: str, order: Sequence[str] = ORDER, ordered: bool = False) -> DataFrame:
     """Write a model as a dataset sorted by `order` and return the written table.
 
-    One shuffle by the first sort column; Spark cuts a hot value into several files and each file is
-    sorted, so readers skip row groups by that column.
+    Each file is sorted, so readers skip row groups by the first sort column. Rows that come in order already (`ordered`) are written
+    as they come, without a shuffle.
     """
-    return store(df, path, order).table
+    return store(df, path, order, ordered).table
 
 
-def store(df: DataFrame, path: str, order: Sequence[str] = ("dates", "department")) -> Stored:
+def store(df: DataFrame, path: str, order: Sequence[str] = ORDER, ordered: bool = False) -> Stored:
     """`materialise`, with the least value of the first column noted while it is written."""
     seen = Observation()
     noted = df.observe(seen, F.min(order[0]).alias("first"))
-    noted.hint("rebalance", order[0]).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    (noted if ordered else in_order(noted, order)).write.mode("overwrite").parquet(path)
     return Stored(df.sparkSession.read.schema(df.schema).parquet(path), seen.get["first"])
 
 

@@ -78,8 +78,8 @@ def int_most_recent_weather_(spark, sf):
 
 
 @query
-def mart_newdata(spark, sf):
-    return marts.mart_newdata(int_most_recent_weather(spark, sf), int_depcode(spark, sf))
+def mart_newdata(spark, sf, order=()):
+    return marts.mart_newdata(int_most_recent_weather(spark, sf), int_depcode(spark, sf), order=order)
 
 
 @query
@@ -88,8 +88,8 @@ def mart_newdata_best(spark, sf):
 
 
 @query
-def mart_newdata_(spark, sf):
-    return marts.mart_newdata_(int_most_recent_weather_(spark, sf), int_depcode_(spark, sf))
+def mart_newdata_(spark, sf, order=()):
+    return marts.mart_newdata_(int_most_recent_weather_(spark, sf), int_depcode_(spark, sf), order=order)
 
 
 _STORED: dict[tuple[str, str, str], tables.Stored] = {}
@@ -99,7 +99,7 @@ def stored(spark, sf, name: str) -> tables.Stored:
     """A mart, built and written once per session and data folder; reports and served queries read it."""
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _STORED:
-        _STORED[key] = tables.store(QUERIES[name](spark, sf), fresh_path(spark, name))
+        _STORED[key] = tables.store(QUERIES[name](spark, sf, order=tables.ORDER), fresh_path(spark, name), ordered=True)
     return _STORED[key]
 
 
