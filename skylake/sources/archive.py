@@ -8,6 +8,9 @@ history size and never reads what it overwrites. Readers keep the latest version
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +18,7 @@ from pyspark.sql import types as T
 from skylake import schemas
 from skylake.functions.labels import month_key
 from skylake.operators.latest import latest_version
+from skylake.operators.lookup import settle_and_measure
 from skylake.sources.tables import require_rows
 
 KEYS = ("dates", "department")
@@ -27,31 +31,40 @@ def archived_data(history: DataFrame, mart: DataFrame) -> DataFrame:
 
 
 DAILY = "daily"
+OPEN_FILES = 16
+
+
+@contextmanager
+def _files_open(spark: SparkSession):
+    """A task keeps up to OPEN_FILES folders open (a load has few months), instead of sorting its whole rows by folder; beyond that
+    Spark sorts the rows that are left."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, OPEN_FILES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def append_batch(mart: DataFrame, root: str, extraction_date: str) -> None:
     """Load one day's mart; loading the same day again leaves one copy.
 
-    The rebalance shuffles once by month and lets Spark cut a hot month into several files, where a
-    range partitioning would compute the mart a second time to sample it.
+    Rows are written as they come, so a stored mart keeps its order and nothing is shuffled or sorted.
     """
     require_rows(mart, "Data to be archived")
-    monthly = mart.withColumn("yyyymm", month_key("dates")).hint("rebalance", "yyyymm")
-    monthly.sortWithinPartitions("yyyymm", *KEYS).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "static").partitionBy("yyyymm") \
-        .parquet(f"{root}/extraction_date={extraction_date}/part={DAILY}")
+    with _files_open(mart.sparkSession):
+        mart.withColumn("yyyymm", month_key("dates")).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "static").partitionBy("yyyymm") \
+            .parquet(f"{root}/extraction_date={extraction_date}/part={DAILY}")
 
 
 def append_dated(mart: DataFrame, root: str, part: str) -> None:
-    """Load rows that carry their `extraction_date`; loading the same `part` again leaves one copy.
-
-    Ranges over the keys and the record keep files few and cut a hot month also where Spark does not
-    re-plan at run time, as in a micro-batch.
-    """
+    """Load rows that carry their `extraction_date`, as they come; loading the same `part` again leaves one copy."""
     folders = ["extraction_date", "part", "yyyymm"]
     dated = mart.withColumn("part", F.lit(part)).withColumn("yyyymm", month_key("dates"))
-    dated.repartitionByRange(*folders, *KEYS, "record_id").sortWithinPartitions(*folders, *KEYS) \
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(root)
+    with _files_open(mart.sparkSession):
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(root)
 
 
 def read_archive(spark: SparkSession, root: str, schema: T.StructType = schemas.ARCHIVED_DATA) -> DataFrame:
@@ -73,9 +86,19 @@ def between_dates(archive: DataFrame, first: str, last: str) -> DataFrame:
 
 def latest(archive: DataFrame) -> DataFrame:
     """Latest version of each (dates, department): of the latest extraction the observation with the highest id, and of
-    that observation its closest department, the lowest code first."""
+    that observation its closest department, the lowest code first.
+
+    The versions are compared on the columns that decide, when this is called; the winners, few where they fit a broadcast, then pick their
+    whole rows out of the scan. So no whole row that is not the latest is sorted or moved. More winners than that are compared as whole rows.
+    """
     newest = [F.col("extraction_date").desc_nulls_last()] if "extraction_date" in archive.columns else []
     newest += [F.col("record_id").desc_nulls_last(), F.col("dep_distance").asc_nulls_last(), F.col("dep_code").asc_nulls_last()]
+    deciding = [*KEYS, *(c for c in ("extraction_date", "record_id", "dep_distance", "dep_code") if c in archive.columns)]
+    winners, small = settle_and_measure(latest_version(archive.select(*deciding), KEYS, newest), "latest")
+    if small:
+        renamed = F.broadcast(winners.toDF(*(f"__{c}" for c in deciding)))
+        same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in deciding))
+        archive = archive.join(renamed, same, "left_semi")
     return latest_version(archive, KEYS, newest)
 
 
@@ -86,6 +109,12 @@ def latest_between(archive: DataFrame, first: str, last: str) -> DataFrame:
 
 
 def compact(archive: DataFrame, target: str) -> None:
-    """Write the latest versions to a new root; readers switch to it when it is complete. Served queries read this
+    """Write the latest versions to a new root, sorted; readers switch to it when it is complete. Served queries read this
     table: it has one version per key, so a filter on any column reaches the files."""
-    append_dated(latest(archive).drop("yyyymm"), target, "compacted")
+    append_dated(by_month(latest(archive)).drop("yyyymm"), target, "compacted")
+
+
+def by_month(rows: DataFrame) -> DataFrame:
+    """One shuffle by month, cut into several parts where a month is large, each sorted. A range partitioning would compute the rows a
+    second time to sample them."""
+    return rows.hint("rebalance", "yyyymm").sortWithinPartitions("yyyymm", *KEYS)

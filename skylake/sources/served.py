@@ -70,8 +70,7 @@ def refresh(spark: SparkSession, root: str, served: str, schema: T.StructType =
         return []
     rewritten = [m.yyyymm for m in months if m.touched and m.loads]
     rows = archive.latest(archive.read_archive(spark, root, schema).where(F.col("yyyymm").isin(rewritten)))
-    rows.repartitionByRange("yyyymm", *archive.KEYS).sortWithinPartitions("yyyymm", *archive.KEYS) \
-        .write.mode("overwrite").partitionBy("yyyymm").parquet(f"{served}/version={last + 1}")
+    archive.by_month(rows).write.mode("overwrite").partitionBy("yyyymm").parquet(f"{served}/version={last + 1}")
     merged = spark.read.schema(_with_month(schema)).parquet(f"{served}/version={last + 1}")
     # At most a row per day and region in a month.
     merged.groupBy("yyyymm", *SUMMED).agg(*[s for m in schemas.HISTORY_MEASURES for s in exact_sums(m, m)]).repartition("yyyymm") \

@@ -462,3 +462,39 @@ def test_a_cluster_needs_a_shared_folder(folder):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Cluster("yarn", folder))
     assert shared_dir(Cluster("yarn", "hdfs://x/")) == "hdfs://x"
+
+
+def versions(spark, n=40):
+    """Rows of two departments and two months with all columns of the archive, in falling order of their ids."""
+    some = {"record_id": F.format_string("r%03d", n - F.col("id")), "dep_distance": F.lit(0), "dep_code": F.lit("1"), "temp": F.col("id").cast("double"),
+            "dates": F.date_add(F.lit("2024-01-30").cast("date"), (F.col("id") % 4).cast("int")), "department": F.concat(F.lit("d"), F.col("id") % 2)}
+    return spark.range(0, n, 1, 1).select(*[some.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.ARCHIVED_DATA.fields])
+
+
+def test_latest_moves_whole_rows_of_winners_only(spark, tmp_path, plan):
+    archive.append_batch(versions(spark), str(tmp_path), "2024-02-01")
+    archive.append_batch(versions(spark, 20), str(tmp_path), "2024-02-02")
+    found = archive.latest(archive.read_archive(spark, str(tmp_path)))
+    assert "LeftSemi" in plan(found)
+    best = {(r.dates, r.department): r.record_id for r in versions(spark, 20).orderBy("record_id").collect()}
+    assert rows(found.select("dates", "department", "record_id", F.col("extraction_date").cast("string"))) == sorted((*k, v, "2024-02-02") for k, v in best.items())
+
+
+def test_many_winners_are_compared_as_whole_rows(spark, monkeypatch, plan):
+    few = archive.latest(versions(spark))
+    monkeypatch.setattr("skylake.operators.lookup.MAX_ROWS", 1)
+    many = archive.latest(versions(spark))
+    assert "LeftSemi" in plan(few) and "LeftSemi" not in plan(many) and rows(few) == rows(many)
+
+
+def test_a_load_is_written_as_it_comes(spark, tmp_path):
+    archive.append_batch(versions(spark), str(tmp_path), "2024-02-01")
+    for month in ("202401", "202402"):
+        held = spark.read.parquet(f"{tmp_path}/extraction_date=2024-02-01/part=daily/yyyymm={month}").coalesce(1).collect()
+        assert held and [r.record_id for r in held] == sorted((r.record_id for r in held), reverse=True)
+
+
+def test_a_mart_in_order_is_stored_without_a_shuffle(spark, tmp_path):
+    stored = tables.store(versions(spark), str(tmp_path / "m"), ordered=True)
+    assert [r.record_id for r in stored.table.coalesce(1).collect()] == [r.record_id for r in versions(spark).collect()]
+    assert stored.first == datetime.date(2024, 1, 30)
