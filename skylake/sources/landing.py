@@ -39,8 +39,9 @@ class Scan:
         """`lines` has the text of a document in `value`; `file_path` says where it came from."""
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
         parsed = F.from_json("value", schemas.with_corrupt(schema), options)
-        self._parsed = lines.select(*manifest.FILE_COLUMNS, "value", parsed.alias("p"))
-        self._blank = F.length(F.trim("value")) == 0
+        # The list of one keeps Spark from parsing once for each condition on `p` and again for its fields.
+        self._parsed = lines.select(*manifest.FILE_COLUMNS, "value", F.explode(F.array(parsed)).alias("p"))
+        self._blank = F.trim("value") == ""
         self._fits = F.col("p").isNotNull() & F.col(f"p.{schemas.CORRUPT}").isNull()
 
     @property

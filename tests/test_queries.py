@@ -1,9 +1,13 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry_point
 from compare import compare, duck
+from skylake.session import scratch_root
+from workload.queries import _payloads
 
 SF_DIR = "/root/testdata/sf0.001"
 TEXT = entry_point.TEXT_QUERIES  # these have tests of their own
@@ -45,3 +49,12 @@ def test_the_archive_reads_only_the_months_in_range(spark, plan):
 
 def test_a_region_is_filtered_in_the_files(spark, plan):
     assert "EqualTo(reg_name,EUROPE)" in plan(QUERIES["get_entire_region_data"](spark, SF_DIR))
+
+
+def test_indented_documents_are_a_file_each_and_nothing_beside(spark):
+    root = scratch_root(spark)
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    n = QUERIES["flatten_payload_multiline"](spark, SF_DIR).count()
+    [folder] = [f"{root}/{d}" for d in set(os.listdir(root)) - before]
+    names = sorted(set(os.listdir(folder)) - {"_SUCCESS"})
+    assert n == 1000 and len(names) == _payloads(spark, SF_DIR).count() > 1 and all(x.startswith("part-") and x.endswith(".txt") for x in names)

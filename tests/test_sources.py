@@ -61,6 +61,13 @@ def test_payloads(spark, payload_dir):
     assert rows(landing.dropped_locations(landing.records(scan.good)).select("resolvedAddress")) == [("None",), ("Nowhere",)]
 
 
+def test_a_document_is_parsed_once(spark, plan, payload_dir):
+    """Conditions on the parsed document and its fields share one parse, in flattened rows and in rejects."""
+    scan = landing.scan_payloads(spark, payload_dir)
+    for df in (landing.to_warehouse_form(landing.flatten_payloads(scan.good, "2025-01-05")), scan.rejects()):
+        assert plan(df).count("from_json(") == 1
+
+
 def test_warehouse_form_and_schema(spark, payload_dir):
     flat = landing.flatten_payloads(landing.scan_payloads(spark, payload_dir).good, "2025-01-05")
     loaded = landing.conform(landing.to_warehouse_form(flat.withColumn("extra", F.lit(1))), schemas.RAW_WEATHER_)

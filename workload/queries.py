@@ -639,12 +639,20 @@ def flatten_payload(spark, sf):
     return landing.to_warehouse_form(landing.flatten_payloads(scan.good, EXTRACTION))
 
 
+# For writes of many small files: tasks move their own files into place (the folder is read after the job only, and a repeated task writes
+# the same names), and a file system of the machine writes no checksum file and sets no permissions beside each file.
+SMALL_FILES = {
+    "mapreduce.fileoutputcommitter.algorithm.version": "2",
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true",
+}
+
+
 @query
 def flatten_payload_multiline(spark, sf):
     """One indented document per file."""
     path = fresh_path(spark, "landed")
     text = _payloads(spark, sf).select(F.to_json(F.struct("locations"), {"pretty": "true"}).alias("value"))
-    text.write.option("maxRecordsPerFile", 1).text(path)
+    text.write.options(maxRecordsPerFile=1, **SMALL_FILES).text(path)
     scan = landing.scan_payloads(spark, path, suffix=".txt")
     return landing.to_warehouse_form(landing.flatten_payloads(scan.good, EXTRACTION))
 
