@@ -20,9 +20,11 @@ by piece. An empty table gives no phrases.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -34,58 +36,61 @@ from skylake.session import release, settle
 LEAST = 10
 TOP = 2000
 SHARE = 50  # per cent of a phrase's occurrences inside a longer one, from which on it is dropped
-COUNTED = 250_000
+COUNTED = 1_000_000
 BLOCK = 50_000
-_PIECES = bytes.maketrans(b".,;:!?\r\x0b\x0c", b"\n" * 9)
+BITS = 21  # of a word's number; COUNTED and a BLOCK are fewer words than these hold
+_PIECES = bytes.maketrans(b",;:!?\n\r\x0b\x0c", b"." * 9)
 MAX_ROUNDS = 40
 
 
 def grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(run, n): occurrences of three-word runs as the third word, a tab and their node; with nothing before the tab those of the two words,
     and of the one word, that end a piece. A node is its words, a tab and the language. A run is one text, as two would take a quarter more
-    of the shuffle. The same run can have several rows, at most one for each block of COUNTED; a block is sorted by node, so that a shuffle compresses it better."""
+    of the shuffle. The same run can have several rows, at most one for each block of about COUNTED words; a block is sorted by node, so that
+    a shuffle compresses it better.
+
+    In a block words are numbers, the end of a piece is 0, and each word starts one run: with the two numbers after it, up to an end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = {}
+        held: dict[str, list[np.ndarray]] = {}
+        numbers: defaultdict[bytes, int] = defaultdict()
+        numbers.default_factory = numbers.__len__
         size = 0
 
-        def rows() -> pa.RecordBatch:
-            nodes, nexts, counts = [], [], []
-            for lang, counted in held.items():
-                mark = b"\t" + lang.encode()
-                counts += counted.values()
-                for key in counted:
-                    nodes.append(b" ".join(key[:2]) + mark)
-                    nexts.append(key[2] if len(key) == 3 else None)
+        def rows() -> Iterator[pa.RecordBatch]:
+            words = pa.array([None, *islice(numbers, 1, None)], pa.binary()).cast(pa.string())
+            order = pc.array_sort_indices(words, null_placement="at_start")
+            words, rank = words.take(order), np.empty(len(words), np.int64)
+            rank[order.to_numpy()] = np.arange(len(words))
+            for lang, parts in held.items():
+                at = np.concatenate([*parts, np.zeros(2, np.int32)])
+                starts = np.flatnonzero(at > 0)
+                second = rank[np.abs(at[starts + 1])]
+                third = np.where(second > 0, rank[np.abs(at[starts + 2])], 0)
+                keys, counts = np.unique(rank[at[starts]] << 2 * BITS | second << BITS | third, return_counts=True)
+                for i in range(0, len(keys), BLOCK):
+                    some = keys[i:i + BLOCK]
+                    first, second, third = (words.take(pa.array(some >> k & (1 << BITS) - 1)) for k in (2 * BITS, BITS, 0))
+                    node = pc.binary_join_element_wise(first, second, " ", null_handling="skip")
+                    joined = pc.binary_join_element_wise(pc.fill_null(third, ""), node, pa.scalar(lang), "\t")
+                    yield pa.RecordBatch.from_arrays([joined, pa.array(counts[i:i + BLOCK], pa.int64())], names=["run", "n"])
             held.clear()
-            text = [pa.array(c, pa.binary()).cast(pa.string()) for c in (nodes, nexts)]
-            batch = pa.RecordBatch.from_arrays([*text, pa.array(counts, pa.int64())], names=["node", "next", "n"])
-            batch = batch.take(pc.sort_indices(batch, sort_keys=[("node", "ascending"), ("next", "ascending")]))
-            joined = pc.binary_join_element_wise(batch["next"], batch["node"], "\t", null_handling="replace", null_replacement="")
-            return pa.RecordBatch.from_arrays([joined, batch["n"]], names=["run", "n"])
+            numbers.clear()
 
         for batch in batches:
-            for lang, text in zip(batch.column(0), batch.column(1)):
-                name = lang.as_py()
-                for piece in (text.as_py() or b"").lower().translate(_PIECES).split(b"\n"):
-                    words = piece.split()
-                    if not words:
-                        continue
-                    counted = held.setdefault(name, Counter())
-                    before = len(counted)
-                    counted[(words[-1],)] += 1
-                    if len(words) > 1:
-                        counted[(words[-2], words[-1])] += 1
-                    for at in range(0, len(words) - 2, BLOCK):
-                        some = words[at:at + BLOCK + 2]
-                        counted.update(zip(some, some[1:], some[2:]))
-                        if size + len(counted) - before > COUNTED:
-                            yield rows()
-                            counted = held.setdefault(name, Counter())
-                            size = before = 0
-                    size += len(counted) - before
-        if held:
-            yield rows()
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = ((text.as_py() or b"").lower().translate(_PIECES) + b".").replace(b".", b" . ").split()
+                for at in range(0, len(words), BLOCK):
+                    numbers[b"."]  # 0
+                    some = words[at:at + BLOCK + 2]
+                    part = np.fromiter(map(numbers.__getitem__, some), np.int32, len(some))
+                    part[BLOCK:] *= -1  # these start their runs in the next part
+                    held.setdefault(lang, []).append(part)
+                    size += len(part)
+                    if size > COUNTED:
+                        yield from rows()
+                        size = 0
+        yield from rows()
 
     wanted = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")), F.col(f"`{text_col}`").cast("binary"))
     return wanted.mapInArrow(run, "run string, n bigint")

@@ -58,6 +58,28 @@ def test_equals_counting_all_phrases(spark, monkeypatch, counted):
     assert rows(collocations.op13_collocations(table(spark, texts))) == want
 
 
+def test_runs_of_a_task_are_counted_before_the_shuffle(spark):
+    """Two equal texts of 300,000 words: a row for each run, of whatever length, though the texts are read in blocks."""
+    words = [f"w{i}" for i in range(300_000)]
+    got = collocations.grams(table(spark, [("en", " ".join(words))] * 2).coalesce(1)).toPandas()
+    assert len(got) == 300_000 and set(got["n"]) == {2} and {"\tw299999\ten", "\tw299998 w299999\ten", "w7\tw5 w6\ten"} <= set(got["run"])
+
+
+@pytest.mark.parametrize("counted, block", [(1, 1), (1, 2), (3, 3), (50, 4)])
+def test_blocks_lose_no_run(spark, monkeypatch, counted, block):
+    monkeypatch.setattr(collocations, "COUNTED", counted)
+    monkeypatch.setattr(collocations, "BLOCK", block)
+    texts = [("en", "a b c d e f. g h; i"), ("de", "a\tb  A"), ("en", "..x"), (None, " . "), ("en", None), ("en", "a b c d e f g")]
+    got = collocations.grams(table(spark, texts)).groupBy("run").agg(F.sum("n").alias("n"))
+    want = Counter()
+    for lang, text in texts:
+        for piece in re.split("[.;]", (text or "").lower()):
+            words = piece.split() + [None, None]
+            for a, b, c in zip(words, words[1:], words[2:]):
+                want["\t".join([c or "", f"{a} {b}" if b else a, lang or "und"])] += 1
+    assert {r.run: r.n for r in got.collect()} == want
+
+
 def test_top_and_ties(spark):
     texts = [("en", f"p{i:02} q{i:02}. ") for i in range(30) for _ in range(10)]
     got = rows(collocations.collocations(table(spark, texts), top=7))
