@@ -14,8 +14,8 @@ junctions, from the flow.
 Grams are counted in the tasks, COUNTED at a time, before they are shuffled by their node; edges below the least count are kept in
 the flow of their node only. Everything after that works on frequent nodes and edges.
 
-Cases: null and empty texts have no words, a null language is `und`. Rows are counted as often as they occur. Texts are read whole, piece
-by piece. An empty table gives no phrases.
+Cases: null and empty texts have no words, a null language is `und`. Rows are counted as often as they occur. Texts are read whole, a block
+of words at a time. An empty table gives no phrases.
 """
 
 from __future__ import annotations
@@ -38,11 +38,27 @@ TOP = 2000
 SHARE = 50  # per cent of a phrase's occurrences inside a longer one, from which on it is dropped
 COUNTED = 1_000_000
 BLOCK = 50_000
+SLICE = 1_000_000
 BITS = 21  # of a word's number; COUNTED and a BLOCK are fewer words than these hold
-_PIECES = bytes.maketrans(b",;:!?\n\r\x0b\x0c", b"." * 9)
+_PIECES = bytes.maketrans(b",;:!?\n\r\x0b\x0c\t", b"." * 9 + b" ")
 MAX_ROUNDS = 40
 
 
+def blocks(text: bytes, block: int, size: int) -> Iterator[list[bytes]]:
+    """The words of a text, `block` at a time, each time with the two that follow; a point stands for the end of a piece. The text is split
+    `size` bytes at a time, so that a long one is never held as words."""
+    text = (text.lower().translate(_PIECES) + b".").replace(b".", b" . ")
+    words, at = [], 0
+    while at < len(text):
+        end = text.find(b" ", at + size)
+        end = len(text) if end < 0 else end
+        words += text[at:end].split()
+        at = end
+        while len(words) > block + 2 or (words and at == len(text)):
+            yield words[:block + 2]
+            del words[:block]
+
+
 def grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(run, n): occurrences of three-word runs as the third word, a tab and their node; with nothing before the tab those of the two words,
     and of the one word, that end a piece. A node is its words, a tab and the language. A run is one text, as two would take a quarter more
@@ -79,10 +95,8 @@ def grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = ((text.as_py() or b"").lower().translate(_PIECES) + b".").replace(b".", b" . ").split()
-                for at in range(0, len(words), BLOCK):
+                for some in blocks(text.as_py() or b"", BLOCK, SLICE):
                     numbers[b"."]  # 0
-                    some = words[at:at + BLOCK + 2]
                     part = np.fromiter(map(numbers.__getitem__, some), np.int32, len(some))
                     part[BLOCK:] *= -1  # these start their runs in the next part
                     held.setdefault(lang, []).append(part)

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import duckdb
@@ -65,10 +66,19 @@ def test_runs_of_a_task_are_counted_before_the_shuffle(spark):
     assert len(got) == 300_000 and set(got["n"]) == {2} and {"\tw299999\ten", "\tw299998 w299999\ten", "w7\tw5 w6\ten"} <= set(got["run"])
 
 
-@pytest.mark.parametrize("counted, block", [(1, 1), (1, 2), (3, 3), (50, 4)])
-def test_blocks_lose_no_run(spark, monkeypatch, counted, block):
-    monkeypatch.setattr(collocations, "COUNTED", counted)
-    monkeypatch.setattr(collocations, "BLOCK", block)
+def test_a_long_text_is_not_held_as_words():
+    text = b"ab cd\t\tEF. " * 100_000
+    tracemalloc.start()
+    n = sum(len(some[:10]) for some in collocations.blocks(text, 10, 1000))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 400_001 and peak < 5 * len(text)
+
+
+@pytest.mark.parametrize("counted, block, size", [(1, 1, 1), (1, 2, 4), (3, 3, 2), (50, 4, 9), (7, 50, 1), (7, 1, 50)])
+def test_blocks_lose_no_run(spark, monkeypatch, counted, block, size):
+    for name, value in (("COUNTED", counted), ("BLOCK", block), ("SLICE", size)):
+        monkeypatch.setattr(collocations, name, value)
     texts = [("en", "a b c d e f. g h; i"), ("de", "a\tb  A"), ("en", "..x"), (None, " . "), ("en", None), ("en", "a b c d e f g")]
     got = collocations.grams(table(spark, texts)).groupBy("run").agg(F.sum("n").alias("n"))
     want = Counter()
