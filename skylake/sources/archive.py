@@ -19,6 +19,7 @@ from skylake import schemas
 from skylake.functions.labels import month_key
 from skylake.operators.latest import latest_version
 from skylake.operators.lookup import settle_and_measure
+from skylake.session import settle
 from skylake.sources.tables import require_rows
 
 KEYS = ("dates", "department")
@@ -102,6 +103,49 @@ def latest(archive: DataFrame) -> DataFrame:
     return latest_version(archive, KEYS, newest)
 
 
+_ROW_BITS, _BLOCK_BITS = 40, 15  # of a row's number in its file; of its number in a block of 32,768, for which one bitmap says what stays
+
+
+def distinct(archive: DataFrame) -> DataFrame:
+    """The different rows of an archive (or of any table that is read from Parquet files), as `DataFrame.distinct` gives them.
+
+    Whole rows are not moved. Two 64-bit hashes of a row, of its columns and of what is null in either order (arrays by type, since a hash of
+    many columns is more code than the JVM compiles), and its place, a file and a row number, are shuffled instead, when this is called; of a
+    billion rows two different ones share both hashes with a probability of 10^-21. The first place of each row stays, as a bit, and the scan picks
+    its rows by the broadcast bits. Bits beyond a broadcast, and tables with nested columns, whose nulls those hashes do not tell apart, are
+    compared as whole rows.
+    """
+    fields = archive.schema.fields
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in fields):
+        return archive.distinct()
+    rows = archive.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+    numbered = rows.select("__path").distinct().coalesce(1).withColumn("__file", F.monotonically_increasing_id())
+    files = F.broadcast(settle(numbered, "files"))
+    # As in a grouping, negative zero is zero.
+    same = [F.col(f"`{f.name}`") + F.lit(0).cast(f.dataType) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`") for f in fields]
+    kinds: dict = {}
+    for f, c in zip(fields, same):
+        kinds.setdefault(f.dataType, []).append(c)
+    told = [F.array(*(c.isNull() for c in same)), *(F.array(*some) for some in kinds.values())]
+    back = [*(F.array(*some[::-1]) for some in reversed(kinds.values())), told[0]]
+    place = F.shiftleft("__file", _ROW_BITS) + F.col("__row")
+    hashed = rows.join(files, "__path").select(F.xxhash64(*told).alias("a"), F.xxhash64(*back).alias("b"), place.alias("place"))
+    first = hashed.groupBy("a", "b").agg(F.min("place").alias("place"))
+    block = lambda row: F.shiftright(row, _BLOCK_BITS).alias("__block")
+    at = lambda row: row.bitwiseAND((1 << _BLOCK_BITS) - 1).cast("int")
+    row = F.col("place").bitwiseAND((1 << _ROW_BITS) - 1)
+    bits = first.groupBy(F.shiftright("place", _ROW_BITS).alias("__file"), block(row)) \
+        .agg(F.bitmap_construct_agg(at(row)).alias("__bits"), F.max(at(row)).alias("__last"))
+    bits = bits.withColumn("__bits", F.substring("__bits", F.lit(1), F.shiftright("__last", 3) + 1)).drop("__last")
+    kept, small = settle_and_measure(bits.join(files, "__file").drop("__file"), "distinct")
+    if not small:
+        return archive.distinct()
+    byte = F.conv(F.hex(F.substring("__bits", F.shiftright(at(F.col("__row")), 3) + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.select("*", block(F.col("__row"))).join(F.broadcast(kept), ["__path", "__block"])
+    stays = F.getbit(byte, at(F.col("__row")).bitwiseAND(7)) == 1
+    return found.where(stays).select(*(c.alias(f.name) for c, f in zip(same, fields)))
+
+
 def latest_between(archive: DataFrame, first: str, last: str) -> DataFrame:
     """Latest versions with first <= dates <= last. All versions of a row carry its date, so the months are filtered
     before versions are compared, and only theirs are read."""

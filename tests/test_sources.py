@@ -10,6 +10,7 @@ from skylake.plans import serving
 from skylake.session import fresh_path, shared_dir
 from skylake.sources import archive, files, landing, served, tables
 from skylake.streaming import ingest
+from workload.queries import QUERIES
 
 
 def rows(df):
@@ -505,3 +506,32 @@ def test_a_mart_in_order_is_stored_without_a_shuffle(spark, tmp_path):
     stored = tables.store(versions(spark), str(tmp_path / "m"), ordered=True)
     assert [r.record_id for r in stored.table.coalesce(1).collect()] == [r.record_id for r in versions(spark).collect()]
     assert stored.first == datetime.date(2024, 1, 30)
+
+
+def test_distinct_tells_rows_apart_like_spark(spark, tmp_path):
+    n = F.col("id") % 40_000
+    odd = spark.range(90_000).select(
+        n.alias("k"), F.when(n % 3 == 0, "a").alias("s"), F.when(n % 3 == 1, "a").alias("t"), F.when(F.col("id") < 40_000, -0.0).otherwise(0.0).alias("x"),
+        F.when(n % 5 == 0, float("nan")).when(n % 5 == 1, F.lit(None)).otherwise(1.5).cast("float").alias("y"), (n % 2 == 0).alias("b"))
+    for part, some in enumerate((odd.coalesce(1), odd.where("k < 7"), odd.where("k is null"), odd.drop("k").withColumn("k", F.lit(None).cast("bigint")))):
+        some.select(*odd.columns).write.parquet(f"{tmp_path}/part={part}")
+    stored = spark.read.parquet(str(tmp_path)).drop("part")
+    found, want = archive.distinct(stored), stored.distinct()
+    assert found.dtypes == want.dtypes and sorted(map(repr, found.collect())) == sorted(map(repr, want.collect())) and want.count() > 40_000
+
+
+def test_distinct_moves_no_whole_rows(spark, tmp_path, plan, monkeypatch):
+    for part in "ab":
+        archive.append_dated(versions(spark, 50).withColumn("extraction_date", F.lit("2024-02-01").cast("date")), str(tmp_path), part)
+    stored = archive.read_archive(spark, str(tmp_path)).drop("yyyymm")
+    found = archive.distinct(stored)
+    assert rows(found) == rows(stored.distinct()) and found.count() == stored.count() / 2
+    assert "Exchange hashpartitioning" not in plan(found)
+    monkeypatch.setattr("skylake.operators.lookup.MAX_BYTES", 1)
+    assert rows(archive.distinct(stored)) == rows(found)
+    nested = stored.withColumn("list", F.array("record_id"))
+    assert archive.distinct(nested).count() == found.count()
+
+
+def test_two_streams_shuffle_no_whole_rows(spark, plan):
+    assert "Exchange hashpartitioning" not in plan(QUERIES["archive_two_streams"](spark, "/root/testdata/sf0.001"))

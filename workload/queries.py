@@ -264,7 +264,7 @@ def archive_two_streams(spark, sf):
         part.write.parquet(drop)
     for drop in (*drops, drops[0]):
         ingest.archive_daily(spark, drop, root, fresh_path(spark, "marks")).awaitTermination()
-    return archive.read_archive(spark, root).drop("yyyymm").distinct()
+    return archive.distinct(archive.read_archive(spark, root).drop("yyyymm"))
 
 
 @query
