@@ -171,21 +171,21 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def named(rows: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame:
-    """`rows` with the component of each: the least id (`least` of `classes`) reachable over the links (u, v) of their `fp`."""
+    """`rows` with the component of each: `label`, its least `fp`, and `component`, the least id (`least` of `classes`) reachable over the links
+    (u, v) of their `fp`. Ids may be null or repeat, so only the label tells components apart."""
     label = components(linked)
     joined = classes.join(label, classes["fp"] == label["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("label"))
     smallest = joined.groupBy("label").agg(F.min("least").alias("component"))
-    found = joined.join(smallest, "label").select("fp", "component")
-    return rows.join(found, "fp").select("__id", "__th", "__doc", "fp", "component")
+    found = joined.join(smallest, "label").select("fp", "label", "component")
+    return rows.join(found, "fp").select("__id", "__th", "__doc", "fp", "label", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule=near_copies) -> DataFrame:
     """`docs` with one row of each component: that of the smallest id, the smaller text hash first; equal rows
-    count as one. Rows without an id stay only where their component has no id at all."""
+    count as one. A row without an id stays only where its component has no id at all, and then one."""
     found = rule(docs, id_col, text_col)
-    best = found.groupBy("component", F.when(F.col("component").isNull(), F.col("fp")).alias("__fp")).agg(
-        F.min_by(F.struct("__id", "__th"), F.struct(F.col("__doc").isNull(), "__id", "__th")).alias("__k"))
+    best = found.groupBy("label").agg(F.min_by(F.struct("__id", "__th"), F.struct(F.col("__doc").isNull(), "__id", "__th")).alias("__k"))
     kept = best.select(F.col("__k.__id").alias("__ki"), F.col("__k.__th").alias("__kt"))
     marked = docs.select(packed(docs), *row_key(id_col, text_col))
     same = (F.col("__id") == F.col("__ki")) & (F.col("__th") == F.col("__kt"))
